@@ -157,8 +157,8 @@ def expected_pages(totals: DataFrame, bundle: str, total: str = "total_pages",
     blocks = t.select(bundle, total, F.explode(F.sequence(
         F.lit(0), F.floor((F.col(total) - 1) / F.lit(block)).cast("int"))).alias("__b"))
     return blocks.select(bundle, F.explode(F.sequence(
-        F.col("__b") * F.lit(block),
-        F.least(F.col(total), (F.col("__b") + 1) * F.lit(block)) - 1)).cast("int").alias(page))
+        (F.col("__b") * F.lit(block)).cast("int"),
+        (F.least(F.col(total), (F.col("__b") + 1) * F.lit(block)) - 1).cast("int"))).alias(page))
 
 
 def expected_present(expected: DataFrame, present: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -90,12 +90,33 @@ def segment_range_join(pages: DataFrame, ranges: DataFrame, keys: Sequence[str],
 
 
 def write_segments(seg_pages: DataFrame, path: str, keys: Sequence[str], page_col: str = "page_number",
-                   mode: str = "overwrite", pages_per_file: int = 100_000) -> None:
-    """One output folder per segment, ``<key>=../segment_id=..``.
-
-    Rows are shuffled on ``(keys, segment_id, page block)``: a giant segment
-    is written by many tasks (several files in its folder), never by one.
+                   mode: str = "overwrite", layout: str = "clustered",
+                   pages_per_file: int = 100_000) -> None:
+    """Write every segment so it can be read on its own.
+
+    ``clustered`` (default): one table range-partitioned and sorted by
+    ``(keys, segment_id, page)``; a segment is a contiguous run of rows that
+    Parquet min/max statistics prune to, and the file count does not grow
+    with the number of segments.  ``folders``: one folder per segment,
+    ``<key>=../segment_id=..`` (the one-output-per-segment layout); rows are
+    shuffled on ``(keys, segment_id, page block)`` so a giant segment is
+    written by many tasks.
     """
-    block = F.floor(F.col(page_col) / F.lit(pages_per_file))
-    seg_pages.repartition(*keys, "segment_id", block).write.mode(mode) \
-        .partitionBy(*keys, "segment_id").parquet(path)
+    order = [*keys, "segment_id", page_col]
+    if layout == "clustered":
+        seg_pages.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).parquet(path)
+    elif layout == "folders":
+        block = F.floor(F.col(page_col) / F.lit(pages_per_file))
+        seg_pages.repartition(*keys, "segment_id", block).write.mode(mode) \
+            .partitionBy(*keys, "segment_id").parquet(path)
+    else:
+        raise ValueError(f"unknown layout {layout!r}")
+
+
+def read_segment(spark, path: str, key_values: dict, segment_id: int) -> DataFrame:
+    """One segment's pages from a ``write_segments`` output (pruned read)."""
+    df = spark.read.parquet(path)
+    cond = F.col("segment_id") == F.lit(segment_id)
+    for k, v in key_values.items():
+        cond = cond & (F.col(k) == F.lit(v))
+    return df.where(cond)

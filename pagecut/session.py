@@ -25,6 +25,7 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
