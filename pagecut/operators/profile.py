@@ -55,7 +55,7 @@ def quality_profile(df: DataFrame, cols: Sequence[str], probs: Sequence[float] =
         rows.append((c, int(m[f"{c}__n"]), int(m[f"{c}__nulls"] or 0), m[f"{c}__mean"], m[f"{c}__std"],
                      m[f"{c}__min"], *q, m[f"{c}__max"]))
     names = ["p" + str(int(round(p * 100))) for p in probs]
-    schema = ("column string, count bigint, null_count bigint, mean double, stddev double, min double, "
+    schema = ("col_name string, count bigint, null_count bigint, mean double, stddev double, min double, "
               + ", ".join(f"{n} double" for n in names) + ", max double")
     return df.sparkSession.createDataFrame(rows, schema)
 
