@@ -77,7 +77,7 @@ def shift_nearest(a: Column, h: int, w: int, dx: Column, dy: Column) -> Column:
         return F.least(F.lit(hi), F.greatest(F.lit(0), v))
 
     return F.transform(F.sequence(F.lit(0), F.lit(h * w - 1)), lambda i: F.element_at(
-        a, clamp(F.floor(i / w) - dy, h - 1) * F.lit(w) + clamp(i % w - dx, w - 1) + F.lit(1)))
+        a, (clamp(F.floor(i / w) - dy, h - 1) * F.lit(w) + clamp(i % w - dx, w - 1) + F.lit(1)).cast("int")))
 
 
 def dot(a: Column, weights: list[float]) -> Column:

@@ -35,18 +35,20 @@ def split_hash(df: DataFrame, id_col: str, test_percent: int = 20, seed: int = 4
 
 def split_exact(df: DataFrame, id_col: str, test_fraction: float = 0.2, seed: int = 42,
                 name: str = "split", strata: str | None = None, strategy: str = "auto") -> DataFrame:
-    """Exactly ``ceil(test_fraction * n)`` rows to ``test`` (per stratum when
+    """Exactly ``ceil(n * test_fraction)`` rows (fraction in whole percent) to ``test`` (per stratum when
     ``strata`` is given): rows ranked by ``(hash, id)``; rank from
     ``running_sums``, so the global ordering is not a single-task window."""
     keyed = df.withColumn("__h", hash32(F.col(id_col), seed))
     keys = [strata] if strata else []
     ranked = running_sums(keyed, {"__rank": F.lit(1)}, ["__h", id_col], keys, strategy=strategy)
+    # ceil(n * percent / 100) in integers: no float rounding at exact multiples
+    pct = int(round(test_fraction * 100))
     if strata:
         sizes = df.groupBy(strata).agg(F.count(F.lit(1)).alias("__n"))
         ranked = ranked.join(sizes, strata, "left")
-        cut = F.ceil(F.col("__n") * F.lit(test_fraction))
+        cut = F.floor((F.col("__n") * F.lit(pct) + F.lit(99)) / F.lit(100))
     else:
-        cut = F.lit(math.ceil(df.count() * test_fraction))
+        cut = F.lit((df.count() * pct + 99) // 100)
     out = ranked.withColumn(name, F.when(F.col("__rank") <= cut, F.lit("test")).otherwise(F.lit("train")))
     return out.drop("__h", "__rank", "__n")
 
