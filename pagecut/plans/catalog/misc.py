@@ -1,2 +1,73 @@
-QUERIES = {}
-SQL = {}
+"""Raw files (``pages``), plain aggregates (``orders``) and the suffix filter
+(``part``)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pagecut.plans.catalog.common import r6
+from pagecut.session import scratch_path
+from pagecut.sinks import write_lines, write_parquet
+from pagecut.sources.files import list_files, paths_frame
+from pagecut.sources.tables import table
+
+
+def q_paths_frame(spark, root):
+    return paths_frame(table(spark, root, "pages"), "url")
+
+
+def q_default_label(spark, root):
+    p = table(spark, root, "pages")
+    return p.select(F.col("url").alias("path"), F.col("url").alias("image"), F.lit(0).alias("label"))
+
+
+def q_text_roundtrip(spark, root):
+    path = scratch_path(spark, "paths")
+    write_lines(table(spark, root, "pages"), "url", path)
+    return spark.read.text(path)
+
+
+def q_scan_files(spark, root):
+    pages = table(spark, root, "pages").withColumn("lang", F.regexp_extract("url", r"/([a-z]{2})/", 1))
+    path = scratch_path(spark, "rawfiles")
+    pages.select("lang", "html").write.mode("overwrite").partitionBy("lang").text(path)
+    files = list_files(spark, path, "*.txt", recursive=True)
+    return files.select(F.regexp_extract("path", r"lang=([^/]*)/", 1).alias("lang"), "length")
+
+
+def q_parquet_roundtrip(spark, root):
+    path = scratch_path(spark, "parquet")
+    write_parquet(table(spark, root, "embeddings"), path)
+    back = spark.read.parquet(path)
+    return back.select("vec_id", "label", F.size("embedding").alias("n"),
+                       r6(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double"))).alias("total"))
+
+
+def q_global_avg(spark, root):
+    o = table(spark, root, "orders")
+    return o.groupBy().agg(r6(F.avg("o_totalprice")).alias("avg_totalprice"), F.count(F.lit(1)).alias("n"))
+
+
+def q_suffix_filter(spark, root):
+    return table(spark, root, "part").where(F.col("p_name").endswith("ring")).select("p_partkey", "p_name")
+
+
+QUERIES = {
+    "paths_frame": q_paths_frame,
+    "default_label": q_default_label,
+    "text_roundtrip": q_text_roundtrip,
+    "scan_files": q_scan_files,
+    "parquet_roundtrip": q_parquet_roundtrip,
+    "global_avg": q_global_avg,
+    "suffix_filter": q_suffix_filter,
+}
+
+SQL = {
+    "paths_frame": "SELECT url AS pdf_path FROM pages",
+    "default_label": "SELECT url AS path, url AS image, 0 AS label FROM pages",
+    "text_roundtrip": "SELECT url AS value FROM pages",
+    "parquet_roundtrip": """SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS n,
+        round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS total FROM embeddings""",
+    "global_avg": "SELECT round(avg(o_totalprice), 6) AS avg_totalprice, count(*) AS n FROM orders",
+    "suffix_filter": "SELECT p_partkey, p_name FROM part WHERE p_name LIKE '%ring'",
+}

@@ -1,2 +1,126 @@
-QUERIES = {}
-SQL = {}
+"""Training, tuning, prediction and model storage on ``embeddings`` (label
+``y``), image decoding and augmentation, and the streaming page split.
+These are checked on rows and by property tests (``tests/test_ml.py``), except
+the streaming split, whose output equals the batch split."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from pagecut.functions.image import augment_udf, image_2d_udf, png_udf
+from pagecut.ml import models
+from pagecut.plans import standins as S
+from pagecut.plans.jobs import predict_first_pages, train, tune
+from pagecut.session import scratch_path
+from pagecut.sinks.files import write_binary_files
+from pagecut.sources.files import read_images
+from pagecut.sources.tables import table
+from pagecut.streaming import page_stream, write_page_stream
+
+
+def _metrics_frame(spark, metrics: dict):
+    return spark.createDataFrame([(k, float(v)) for k, v in sorted(metrics.items())], "metric string, value double")
+
+
+def _rows(spark, root):
+    return S.embedding_rows(spark, root).select("vec_id", "y", F.col("embedding").alias("features"))
+
+
+def q_train_lr(spark, root):
+    res = train(_rows(spark, root), "vec_id", "y")
+    return _metrics_frame(spark, res.metrics)
+
+
+def q_train_mlp(spark, root):
+    res = train(_rows(spark, root), "vec_id", "y", classifier=models.mlp(64, (16,)))
+    return _metrics_frame(spark, res.metrics)
+
+
+def q_job_train(spark, root):
+    path = scratch_path(spark, "model")
+    res = train(_rows(spark, root), "vec_id", "y", model_path=path)
+    m = dict(res.metrics)
+    m["model_saved"] = float(os.path.exists(path[len("file:"):] if path.startswith("file:") else path)
+                             or "://" in path)
+    return _metrics_frame(spark, m)
+
+
+def q_model_roundtrip(spark, root):
+    path = scratch_path(spark, "model")
+    res = train(_rows(spark, root), "vec_id", "y", model_path=path)
+    reloaded = models.load_model(path)
+    test = res.test_predictions.select("vec_id", "features_vector",
+                                       vector_to_array("probability")[1].alias("p_fit"))
+    again = reloaded.transform(test).select("vec_id", "p_fit", vector_to_array("probability")[1].alias("p_loaded"))
+    return again.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("p_fit") - F.col("p_loaded"))).alias("max_abs_diff"))
+
+
+def q_job_predict(spark, root):
+    path = scratch_path(spark, "model")
+    train(_rows(spark, root), "vec_id", "y", model_path=path)
+    pages = _rows(spark, root).withColumn("bundle", F.lit("embeddings")).withColumn("page_number", F.col("vec_id"))
+    return predict_first_pages(pages, path, ["bundle", "page_number"])
+
+
+def q_training_history(spark, root):
+    res = train(_rows(spark, root), "vec_id", "y")
+    return models.history_table(res.model, spark)
+
+
+def q_job_tune(spark, root):
+    _, grid = tune(_rows(spark, root), "vec_id", "y", model_path=scratch_path(spark, "tuned"))
+    return grid
+
+
+def _image_dir(spark, root):
+    px = S.embedding_rows(spark, root).select("vec_id", S.pixels(F.col("embedding")).alias("px"))
+    files = px.select(F.format_string("img_%d.png", "vec_id").alias("name"),
+                      png_udf(S.IMG_H, S.IMG_W)(F.col("px")).alias("png"))
+    path = scratch_path(spark, "images")
+    write_binary_files(files, "name", "png", path)
+    return path
+
+
+def q_image_features_2d(spark, root):
+    img = read_images(spark, _image_dir(spark, root))
+    f = img.select(F.col("image.origin").alias("origin"), image_2d_udf(4, 4)(F.col("image")).alias("f"))
+    return f.select("origin", F.size("f").alias("rows"), F.size(F.col("f")[0]).alias("cols"))
+
+
+def q_augment_full(spark, root):
+    px = S.embedding_rows(spark, root).select("vec_id", S.pixels(F.col("embedding")).cast("array<double>").alias("px"))
+    run = augment_udf(S.IMG_H, S.IMG_W, variants=2)
+    return px.mapInPandas(lambda it: run(it, "vec_id", "px"), "vec_id long, variant long, px array<double>") \
+        .select("vec_id", "variant", F.size("px").alias("n_pixels"))
+
+
+def q_stream_bundle_to_pages(spark, root):
+    schema = table(spark, root, "documents").schema
+    pages = page_stream(spark, root, schema, "doc_id", "text", pattern="documents.parquet")
+    sink = scratch_path(spark, "stream-pages")
+    q = write_page_stream(pages, sink, scratch_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    return spark.read.parquet(sink).select("doc_id", "page_number", "page_text")
+
+
+QUERIES = {
+    "train_lr": q_train_lr,
+    "train_mlp": q_train_mlp,
+    "job_train": q_job_train,
+    "model_roundtrip": q_model_roundtrip,
+    "job_predict": q_job_predict,
+    "training_history": q_training_history,
+    "job_tune": q_job_tune,
+    "image_features_2d": q_image_features_2d,
+    "augment_full": q_augment_full,
+    "stream_bundle_to_pages": q_stream_bundle_to_pages,
+}
+
+SQL = {
+    "stream_bundle_to_pages": """
+        SELECT doc_id, CAST(generate_subscripts(parts, 1) - 1 AS INTEGER) AS page_number, unnest(parts) AS page_text
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)""",
+}
