@@ -12,10 +12,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagecut.operators.prefix import running_sums
 
-MAX_CLASSES = 10_000
+MAX_CLASSES = 1_000
 
 
 def ratio(num: Column, den: Column) -> Column:
@@ -32,34 +33,47 @@ def threshold(score: Column, t: float = 0.5) -> Column:
     return (score > F.lit(t)).cast("int")
 
 
-def _classes(df: DataFrame, label: str, prediction: str) -> list:
-    vals = (df.select(F.col(label).alias("c")).union(df.select(F.col(prediction).alias("c")))
-            .distinct().limit(MAX_CLASSES + 1).collect())
-    if len(vals) > MAX_CLASSES:
+def pair_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    return df.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("count"))
+
+
+def pair_table(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """``(label, prediction, count)`` computed in one pass over the data and
+    held as a small local table (at most ``MAX_CLASSES^2`` rows, checked), so
+    every report derived from it reuses the single aggregate instead of
+    re-scanning the data."""
+    limit = MAX_CLASSES * MAX_CLASSES
+    got = pair_counts(df, label, prediction).limit(limit + 1).collect()
+    if len(got) > limit:
         raise ValueError(f"more than {MAX_CLASSES} classes")
-    return sorted(r["c"] for r in vals if r["c"] is not None)
+    schema = T.StructType([df.schema[label], df.schema[prediction],
+                           T.StructField("count", T.LongType())])
+    return df.sparkSession.createDataFrame([tuple(r) for r in got], schema)
 
 
-def pair_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    return df.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("count"))
+def _classes(pairs: DataFrame, label: str, prediction: str) -> list:
+    vals = {r[0] for r in pairs.select(label).collect()} | {r[0] for r in pairs.select(prediction).collect()}
+    return sorted(v for v in vals if v is not None)
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction",
                      classes: Sequence | None = None) -> DataFrame:
     """All ``k x k`` cells ``(label, prediction, count)``, zeros included."""
     spark = df.sparkSession
-    classes = list(classes) if classes is not None else _classes(df, label, prediction)
+    pairs = pair_table(df, label, prediction)
+    classes = list(classes) if classes is not None else _classes(pairs, label, prediction)
     ltype = df.schema[label].dataType
     ptype = df.schema[prediction].dataType
     grid = spark.createDataFrame([(a, b) for a in classes for b in classes], [label, prediction]) \
         .select(F.col(label).cast(ltype), F.col(prediction).cast(ptype))
-    return grid.join(pair_counts(df, label, prediction), [label, prediction], "left") \
+    return grid.join(pairs, [label, prediction], "left") \
         .withColumn("count", F.coalesce("count", F.lit(0)).cast("bigint"))
 
 
 def per_class(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """``(class, tp, n_pred, support, precision, recall, f1)`` per class."""
-    pairs = pair_counts(df, label, prediction)
+    """``(class, tp, n_pred, support, precision, recall, f1)`` per class,
+    from the pair table (one pass over ``df``)."""
+    pairs = pair_table(df, label, prediction)
     by_label = pairs.groupBy(F.col(label).alias("class")).agg(
         F.sum("count").alias("support"),
         F.sum(F.when(F.col(label) == F.col(prediction), F.col("count")).otherwise(0)).alias("tp"))

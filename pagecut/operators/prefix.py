@@ -19,9 +19,13 @@ a single task by construction.
    over at most ``2 n`` rows) and adds it back through a broadcast join whose
    size is bounded by ``n``, a setting, not by the data.
 
-The ``window`` strategy is the plain window; ``auto`` uses it unless a group
-is larger than ``hot_rows`` (measured with one cheap aggregate over the key
-columns).
+The ``window`` strategy is the plain window (one shuffle on the keys).
+``auto`` measures group sizes with one aggregate over the key columns; groups
+above ``hot_rows`` go through the chunked path and all other groups through
+the plain window, and the two results are unioned.  The hot-key list used to
+split the input has at most ``total_rows / hot_rows`` entries, so it is
+broadcast with a proven bound.  The number of chunks grows with the rows that
+take the chunked path (``rows_per_chunk``).
 """
 
 from __future__ import annotations
@@ -35,6 +39,8 @@ from pyspark.sql import types as T
 
 # Groups above this many rows are treated as hot by the ``auto`` strategy.
 DEFAULT_HOT_ROWS = 2_000_000
+# Target rows per chunk of the chunked strategy.
+DEFAULT_ROWS_PER_CHUNK = 4_000_000
 
 
 def _names(cols: Sequence[str | Column]) -> list[str]:
@@ -56,8 +62,8 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
 
 def running_sums(df: DataFrame, values: dict[str, Column], order: Sequence[str],
                  keys: Sequence[str] = (), *, strategy: str = "auto",
-                 num_chunks: int | None = None,
-                 hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                 num_chunks: int | None = None, hot_rows: int = DEFAULT_HOT_ROWS,
+                 rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
     """Add one inclusive running-sum column per ``values`` entry.
 
     Rows are ordered by ``order`` within each ``keys`` group (all rows form
@@ -70,16 +76,44 @@ def running_sums(df: DataFrame, values: dict[str, Column], order: Sequence[str],
     order = _names(order)
     if strategy not in ("auto", "window", "chunked"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    if strategy == "auto":
-        strategy = "chunked" if largest_group(df, keys) > hot_rows else "window"
     if strategy == "window":
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        out = df
-        for name, expr in values.items():
-            out = out.withColumn(name, F.sum(expr).over(w))
-        return out
-    return _chunked(df, values, order, keys, num_chunks)
+        return _window(df, values, order, keys)
+    if strategy == "chunked":
+        return _chunked(df, values, order, keys, num_chunks)
+    # auto: measure, then route hot groups to the chunked path
+    if not keys:
+        total = df.count()
+        if total <= hot_rows:
+            return _window(df, values, order, keys)
+        n = num_chunks or _chunks_for(df, total, rows_per_chunk)
+        return _chunked(df, values, order, keys, n)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    stats = sizes.agg(F.max("__n").alias("m"), F.sum(F.when(F.col("__n") > hot_rows, F.col("__n")))
+                      .alias("hot")).first()
+    if (stats["m"] or 0) <= hot_rows:
+        return _window(df, values, order, keys)
+    hot_keys = sizes.where(F.col("__n") > hot_rows).select(*keys)
+    hot_keys = F.broadcast(hot_keys)  # at most total_rows / hot_rows entries
+    cond = [df[k].eqNullSafe(hot_keys[k]) for k in keys]
+    hot = df.join(hot_keys, on=cond, how="left_semi")
+    cold = df.join(hot_keys, on=cond, how="left_anti")
+    n = num_chunks or _chunks_for(df, int(stats["hot"]), rows_per_chunk)
+    out_hot = _chunked(hot, values, order, keys, n)
+    out_cold = _window(cold, values, order, keys)
+    return out_cold.unionByName(out_hot.select(*out_cold.columns))
+
+
+def _chunks_for(df: DataFrame, rows: int, rows_per_chunk: int) -> int:
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(base, -(-rows // rows_per_chunk))
+
+
+def _window(df: DataFrame, values: dict[str, Column], order: list[str], keys: list[str]) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = df
+    for name, expr in values.items():
+        out = out.withColumn(name, F.sum(expr).over(w))
+    return out
 
 
 def _chunked(df: DataFrame, values: dict[str, Column], order: list[str],

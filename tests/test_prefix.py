@@ -51,3 +51,13 @@ def test_auto_picks_chunked_for_hot_group(spark):
 def test_empty_input(spark):
     df = spark.createDataFrame([], "k int, t long, v int")
     assert running_sums(df, {"s": F.col("v")}, ["t"], ["k"], strategy="chunked").count() == 0
+
+
+def test_auto_splits_hot_and_cold(spark):
+    df = _data(spark, n=4000, hot_share=0.4)
+    a = running_sums(df, {"c": F.lit(1), "s": F.col("v")}, ["t"], ["k"], strategy="auto", hot_rows=500,
+                     rows_per_chunk=300)
+    b = running_sums(df, {"c": F.lit(1), "s": F.col("v")}, ["t"], ["k"], strategy="window")
+    assert rows(a, "k", "t", "c", "s") == rows(b, "k", "t", "c", "s")
+    g = running_sums(df, {"s": F.col("v")}, ["t"], strategy="auto", hot_rows=1000, rows_per_chunk=700)
+    assert rows(g, "t", "s") == rows(running_sums(df, {"s": F.col("v")}, ["t"], strategy="window"), "t", "s")
