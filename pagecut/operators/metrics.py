@@ -159,15 +159,28 @@ def _totals(counts: DataFrame) -> tuple[int, int]:
 
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score",
-              strategy: str = "auto") -> DataFrame:
+              strategy: str = "auto", drop_intermediate: bool = False) -> DataFrame:
     """``(threshold, fpr, tpr)`` at every distinct score, plus the start
     ``(+inf, 0, 0)``.  Running true/false positive counts by descending score
     come from ``running_sums`` over the per-score counts (no single-task
-    window); totals are one scalar aggregate."""
+    window); totals are one scalar aggregate.
+
+    ``drop_intermediate`` removes points collinear with both neighbours (the
+    first and last score points are kept; the start is added afterwards).  Neighbours are found by equi-joins on a
+    running point index, not by a global ``lag``/``lead``."""
     counts = _score_counts(df, label, score)
     P, N = _totals(counts)
     ranked = running_sums(counts.withColumn("__desc", -F.col("score")),
-                          {"tp": F.col("pos"), "fp": F.col("neg")}, ["__desc"], strategy=strategy)
+                          {"tp": F.col("pos"), "fp": F.col("neg"), "__i": F.lit(1)}, ["__desc"],
+                          strategy=strategy)
+    if drop_intermediate:
+        pts0 = ranked.select("score", "tp", "fp", "__i")
+        prev = pts0.select((F.col("__i") + 1).alias("__i"), F.col("tp").alias("tp_p"), F.col("fp").alias("fp_p"))
+        nxt = pts0.select((F.col("__i") - 1).alias("__i"), F.col("tp").alias("tp_n"), F.col("fp").alias("fp_n"))
+        j = pts0.join(prev, "__i", "left").join(nxt, "__i", "left")
+        bend = ((F.col("tp_n") - 2 * F.col("tp") + F.col("tp_p")) != 0) | \
+               ((F.col("fp_n") - 2 * F.col("fp") + F.col("fp_p")) != 0)
+        ranked = j.where(F.col("tp_p").isNull() | F.col("tp_n").isNull() | bend)
     pts = ranked.select(F.col("score").alias("threshold"),
                         (F.col("fp") / F.lit(N) if N else F.lit(None).cast("double")).alias("fpr"),
                         (F.col("tp") / F.lit(P) if P else F.lit(None).cast("double")).alias("tpr"))
