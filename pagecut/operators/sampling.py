@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from pagecut.operators.prefix import running_sums
 
+# Copies generated per row at most, per generator call.
+COPY_BLOCK = 4096
+
 
 def hash32(id_col: Column, seed: int | str = 42, salt: str = "") -> Column:
     """First 32 bits of ``md5("<id>:<seed><salt>")`` as a non-negative bigint."""
@@ -81,8 +84,17 @@ def oversample_minority(df: DataFrame, label: str, id_col: str, minority=1, seed
     frac = hash32(F.col(id_col), seed, ":os").cast("double") / F.lit(4294967296.0)
     copies = F.lit(whole) + F.when(frac < F.lit(rem), 1).otherwise(0)
     n_copies = F.when(F.col(label) == minority, copies).otherwise(F.lit(1))
-    return df.withColumn(copy_col, F.explode(F.sequence(F.lit(0), n_copies - 1))) \
-        .where(F.col(copy_col).isNotNull())
+    if whole < COPY_BLOCK:
+        return df.withColumn(copy_col, F.explode(F.sequence(F.lit(0), n_copies - 1)))
+    # a tiny minority against a huge majority: generate copies in blocks and
+    # spread the blocks over tasks before expanding them
+    b = F.lit(COPY_BLOCK)
+    blocks = df.withColumn("__n", n_copies).withColumn(
+        "__b", F.explode(F.sequence(F.lit(0), F.floor((F.col("__n") - 1) / b).cast("int"))))
+    blocks = blocks.repartition(F.col(id_col), F.col("__b"))
+    out = blocks.withColumn(copy_col, F.explode(F.sequence(
+        (F.col("__b") * b).cast("int"), (F.least(F.col("__n"), (F.col("__b") + 1) * b) - 1).cast("int"))))
+    return out.drop("__n", "__b")
 
 
 def seeded_oversample(df: DataFrame, label: str, minority=1, seed: int = 42) -> DataFrame:

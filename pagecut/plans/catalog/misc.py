@@ -48,6 +48,13 @@ def q_global_avg(spark, root):
     return o.groupBy().agg(r6(F.avg("o_totalprice")).alias("avg_totalprice"), F.count(F.lit(1)).alias("n"))
 
 
+def q_range_square(spark, root):
+    """MTH2 on a corpus column: squares of the order keys."""
+    from pagecut.sources.frames import square
+    o = table(spark, root, "orders")
+    return o.select("o_orderkey", square(F.col("o_orderkey")).alias("square"))
+
+
 def q_suffix_filter(spark, root):
     return table(spark, root, "part").where(F.col("p_name").endswith("ring")).select("p_partkey", "p_name")
 
@@ -60,6 +67,7 @@ QUERIES = {
     "parquet_roundtrip": q_parquet_roundtrip,
     "global_avg": q_global_avg,
     "suffix_filter": q_suffix_filter,
+    "range_square": q_range_square,
 }
 
 SQL = {
@@ -70,4 +78,5 @@ SQL = {
         round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS total FROM embeddings""",
     "global_avg": "SELECT round(avg(o_totalprice), 6) AS avg_totalprice, count(*) AS n FROM orders",
     "suffix_filter": "SELECT p_partkey, p_name FROM part WHERE p_name LIKE '%ring'",
+    "range_square": "SELECT o_orderkey, o_orderkey * o_orderkey AS square FROM orders",
 }

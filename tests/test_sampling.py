@@ -38,3 +38,18 @@ def test_oversample_without_minority_fails_early(spark):
     df = spark.createDataFrame([(1, 0)], "id int, y int")
     with pytest.raises(ValueError):
         oversample_minority(df, "y", "id")
+
+
+def test_oversample_large_ratio_in_blocks(spark):
+    from pagecut.operators import sampling
+    df = spark.range(0, 9000).select(F.col("id").alias("vec_id"), F.lit(0).alias("y")) \
+        .union(spark.createDataFrame([(100000, 1)], "vec_id long, y int"))
+    old = sampling.COPY_BLOCK
+    sampling.COPY_BLOCK = 1000
+    try:
+        o = oversample_minority(df, "y", "vec_id")
+        minor = o.where("y = 1")
+        assert minor.count() == 9000
+        assert minor.select("copy").distinct().count() == 9000
+    finally:
+        sampling.COPY_BLOCK = old
