@@ -14,7 +14,7 @@ a single task by construction.
 2. computes local running sums with a window over ``(keys, chunk)``: no group
    is larger than one chunk;
 3. summarises each chunk by the totals of its first and last key (at most two
-   rows per chunk, one pass over the key and value columns only);
+   rows per chunk) with two small aggregates;
 4. turns the summary into the carry-in of every chunk's first key (a window
    over at most ``2 n`` rows) and adds it back through a broadcast join whose
    size is bounded by ``n``, a setting, not by the data.
@@ -32,7 +32,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -140,51 +139,21 @@ def _chunked(df: DataFrame, values: dict[str, Column], order: list[str],
     for name in values:
         local = local.withColumn(tmp[name], F.sum(tmp[name]).over(w))
 
-    # 3. per-chunk edge totals: first and last key of each chunk
+    # 3. per-chunk edge totals: first and last key of each chunk.  Totals per
+    #    (chunk, key) are small (the chunked path only sees hot keys, or no
+    #    key); min/max of struct(keys, sums) picks the first and last key.
     vcols = [tmp[name] for name in values]
-    key_fields = [ranged.schema[c] for c in keys]
     val_types = {c: ranged.schema[c].dataType for c in vcols}
-    edge_schema = T.StructType(
-        [T.StructField("__chunk", T.IntegerType())]
-        + [T.StructField(f.name, f.dataType) for f in key_fields]
-        + [T.StructField("__first", T.BooleanType())]
-        + [T.StructField(c, val_types[c]) for c in vcols])
-
-    def edges(batches):
-        # first and last key of the chunk with their totals; ``last is first``
-        # while the chunk has shown a single key
-        first = last = None
-        chunk = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            chunk = int(pdf["__chunk"].iloc[0])
-            if keys:
-                g = pdf.groupby(keys, sort=False, dropna=False)[vcols].sum(min_count=1)
-                head_key, tail_key = (_as_tuple(g.index[0]), _as_tuple(g.index[-1]))
-                head, tail = _clean(g.iloc[0]), _clean(g.iloc[-1])
-                single = len(g) == 1
-            else:
-                head_key = tail_key = ()
-                head = tail = _clean(pdf[vcols].sum(min_count=1))
-                single = True
-            if first is None:
-                first = [head_key, head]
-                last = first if single else [tail_key, tail]
-            elif _same(last[0], head_key):
-                last[1] = [_add(a, b) for a, b in zip(last[1], head)]
-                if not single:
-                    last = [tail_key, tail]
-            else:
-                last = [tail_key, tail]
-        if first is None:
-            return
-        rows = [[chunk, *first[0], True, *first[1]]]
-        if last is not first:
-            rows.append([chunk, *last[0], False, *last[1]])
-        yield pd.DataFrame(rows, columns=edge_schema.fieldNames())
-
-    summary = ranged.select("__chunk", *keys, *vcols).mapInPandas(edges, edge_schema)
+    tot = ranged.groupBy("__chunk", *keys).agg(*[F.sum(c).alias(c) for c in vcols])
+    if keys:
+        st = F.struct(*[F.col(k) for k in keys], *[F.col(c) for c in vcols])
+        e = tot.groupBy("__chunk").agg(F.min(st).alias("__lo"), F.max(st).alias("__hi"))
+        first = e.select("__chunk", F.lit(True).alias("__first"), "__lo.*")
+        last = e.where(~F.col("__lo").eqNullSafe(F.col("__hi"))) \
+            .select("__chunk", F.lit(False).alias("__first"), "__hi.*")
+        summary = first.unionByName(last)
+    else:
+        summary = tot.select("__chunk", F.lit(True).alias("__first"), *vcols)
 
     # 4. carry-in of each chunk's first key = totals of the same key in earlier
     #    chunks.  ``summary`` has at most 2 rows per chunk.
@@ -194,8 +163,6 @@ def _chunked(df: DataFrame, values: dict[str, Column], order: list[str],
     else:
         wk = Window.orderBy("__chunk", F.col("__first").desc()).rowsBetween(
             Window.unboundedPreceding, -1)
-    if not keys:
-        summary = summary.where("__first")
     carry = summary
     for c in vcols:
         carry = carry.withColumn("__c" + c, F.coalesce(F.sum(c).over(wk), F.lit(0).cast(val_types[c])))
@@ -220,29 +187,3 @@ def _widen(dtype: T.DataType, expr: Column) -> Column:
     return expr.cast("double")
 
 
-def _as_tuple(idx) -> tuple:
-    return idx if isinstance(idx, tuple) else (idx,)
-
-
-def _clean(row) -> list:
-    return [None if pd.isna(v) else v for v in row]
-
-
-def _same(a: tuple, b: tuple) -> bool:
-    if len(a) != len(b):
-        return False
-    for x, y in zip(a, b):
-        if x is None or (isinstance(x, float) and pd.isna(x)):
-            if not (y is None or (isinstance(y, float) and pd.isna(y))):
-                return False
-        elif x != y:
-            return False
-    return True
-
-
-def _add(a, b):
-    if a is None:
-        return b
-    if b is None:
-        return a
-    return a + b
