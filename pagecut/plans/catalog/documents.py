@@ -94,7 +94,7 @@ def q_pages_partitioned(spark, root):
     path = scratch_path(spark, "pages")
     write_pages(pages, path, "doc_id", "page_number", partition_by=["lang"])
     back = spark.read.parquet(path)
-    return back.select("doc_id", "page_number", "lang", F.length("page_text").alias("n_chars"))
+    return back.select("doc_id", "page_number", "lang", F.length("page_text").cast("bigint").alias("n_chars"))
 
 
 def q_job_prepare(spark, root):
