@@ -21,6 +21,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "128m",
+    # checkpoints of the chunked running sums are removed once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
     "spark.sql.session.timeZone": "UTC",
@@ -50,6 +54,13 @@ def get_spark(app_name: str = "pagecut", master: str | None = None,
     return spark
 
 
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 << 20,
+                           minimum: int = 200) -> int:
+    """Initial shuffle partition count for an input size: about
+    ``target_bytes`` per partition (AQE coalesces what turns out smaller)."""
+    return max(minimum, -(-input_bytes // target_bytes))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared scratch root: the cluster's ``spark.checkpoint.dir``.
 
