@@ -99,7 +99,9 @@ def split_bundles(pages: DataFrame, keys: Sequence[str], order: Sequence[str], i
                   strategy: str = "auto") -> tuple[DataFrame, DataFrame]:
     """Cut bundles at first pages: per-page segment ids and per-segment ranges.
 
-    With ``out_path`` every segment is written under ``<key>=../segment_id=..``.
+    With ``number=False`` the pages are already numbered and ``order[0]`` is
+    the page-number column.  With ``out_path`` every segment is written so it
+    can be read on its own (``write_segments``).
     """
     seg = segment_pages(pages, keys, order, is_first, number=number, include_leading=True,
                         strategy=strategy)
@@ -117,7 +119,10 @@ def evaluate(pred: DataFrame, out_dir: str | None = None, label: str = "label",
     with ``out_dir`` also writes the error table (CSV) and the report (JSON)."""
     report = M.eval_report(pred, label, prediction, score)
     if out_dir:
-        errors = M.error_rows(pred, label, prediction)
+        from pyspark.sql import types as T
+        flat = [f.name for f in pred.schema.fields
+                if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.UserDefinedType))]
+        errors = M.error_rows(pred, label, prediction).select(*flat)
         write_csv(errors, f"{out_dir}/errors")
         write_json(report, f"{out_dir}/report")
     return report

@@ -35,3 +35,21 @@ def test_saved_model_reloads_equal(spark):
 def test_mlp_learns(spark):
     m = train(_rows(spark), "vec_id", "y", classifier=models.mlp(64, (16,))).metrics
     assert m["areaUnderROC"] > 0.85
+
+
+def test_zero_variance_feature_scales_to_zero(spark):
+    df = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(5)], "id int, f array<double>")
+    v = models.to_vector(df, "f")
+    out = models.scaler().fit(v).transform(v).select(vector_to_array("scaled_features").alias("s")).collect()
+    assert all(r["s"][0] == 0.0 for r in out)
+
+
+def test_evaluate_job_writes_flat_errors(spark):
+    from pagecut.plans.jobs import evaluate
+    res = train(_rows(spark), "vec_id", "y")
+    pred = res.test_predictions.withColumn("score", vector_to_array("probability")[1]) \
+        .withColumn("prediction", F.col("prediction").cast("int"))
+    out = scratch_path(spark, "eval")
+    rep = evaluate(pred, out_dir=out).first()
+    assert 0.85 < rep["model_performance"]["auc_roc"] <= 1.0
+    assert spark.read.option("header", True).csv(f"{out}/errors").columns[:2] == ["vec_id", "label"]
