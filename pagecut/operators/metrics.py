@@ -230,7 +230,9 @@ def eval_report(df: DataFrame, label: str = "label", prediction: str = "predicti
     are assembled on the driver instead of joining single rows."""
     acc = accuracy_summary(df, label, prediction).first()
     auc = roc_auc(df, label, score).first()
-    dist = class_distribution(df, label, prediction).collect()
+    dist = class_distribution(df, label, prediction).limit(2 * MAX_CLASSES + 1).collect()
+    if len(dist) > 2 * MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
     actual = {str(r["class"]): int(r["count"]) for r in dist if r["kind"] == "actual"}
     predicted = {str(r["class"]): int(r["count"]) for r in dist if r["kind"] == "predicted"}
     schema = ("model_performance struct<accuracy: double, auc_roc: double, total_samples: bigint, "
