@@ -216,6 +216,17 @@ def error_rows(df: DataFrame, label: str = "label", prediction: str = "predictio
     return df.where(F.col(label) != F.col(prediction))
 
 
+def error_table(df: DataFrame, label: str, prediction: str, confidence: str, bundle: str,
+                page: str) -> DataFrame:
+    """Misclassified pages in the error-analysis layout: ``True_Label,
+    Predicted_Label, Confidence, PDF_Name, Page_Number``; metadata travels
+    with the rows, so no positional join is needed."""
+    return error_rows(df, label, prediction).select(
+        F.col(label).cast("int").alias("True_Label"), F.col(prediction).cast("int").alias("Predicted_Label"),
+        F.col(confidence).cast("float").alias("Confidence"), F.col(bundle).cast("string").alias("PDF_Name"),
+        F.col(page).cast("int").alias("Page_Number"))
+
+
 def first_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     """First ``n`` rows by ``order`` (top-k; the limit is the feature)."""
     return df.orderBy(*order).limit(n)
@@ -224,7 +235,8 @@ def first_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
 def eval_report(df: DataFrame, label: str = "label", prediction: str = "prediction",
                 score: str = "score") -> DataFrame:
     """One nested record: ``model_performance{accuracy, auc_roc, total_samples,
-    error_rate}`` and ``class_distribution{actual, predicted}`` (class -> count maps).
+    error_rate}`` (error rate as a fraction) and ``class_distribution{actual,
+    predicted}`` (class -> count maps).
 
     The parts are one-row aggregates (and at most ``2k`` class counts), so they
     are assembled on the driver instead of joining single rows."""
@@ -238,7 +250,9 @@ def eval_report(df: DataFrame, label: str = "label", prediction: str = "predicti
     schema = ("model_performance struct<accuracy: double, auc_roc: double, total_samples: bigint, "
               "error_rate: double>, class_distribution struct<actual: map<string, bigint>, "
               "predicted: map<string, bigint>>")
-    row = ((float(acc["accuracy"]), float(auc["auc"]), int(acc["total"]), float(acc["error_rate"])),
+    total, errors = int(acc["total"]), int(acc["errors"])
+    # the report's error rate is a fraction (the printed rate is a percentage)
+    row = ((float(acc["accuracy"]), float(auc["auc"]), total, errors / total if total else 0.0),
            (actual, predicted))
     return df.sparkSession.createDataFrame([row], schema)
 

@@ -14,7 +14,7 @@ from pagecut.session import scratch_path
 from pagecut.sinks import write_csv
 from pagecut.sources.tables import table
 
-N_EXAMPLES = 10
+N_EXAMPLES = 5  # the reference's default number of examples
 
 
 def _fx(spark, root):
@@ -154,7 +154,7 @@ _DIST = f"""(SELECT 'actual' AS kind, label AS class, count(*) AS count FROM {_F
 
 _REPORT = f"""
     SELECT round((a.total - a.errors) / a.total, 6) AS accuracy, round(u.auc, 6) AS auc_roc,
-           a.total AS total_samples, round(100.0 * a.errors / a.total, 6) AS error_rate,
+           a.total AS total_samples, round(a.errors / a.total, 6) AS error_rate,
            (SELECT coalesce(sum(count), 0)::BIGINT FROM {_DIST} WHERE kind = 'actual' AND class = 0) AS actual_0,
            (SELECT coalesce(sum(count), 0)::BIGINT FROM {_DIST} WHERE kind = 'actual' AND class = 1) AS actual_1,
            (SELECT coalesce(sum(count), 0)::BIGINT FROM {_DIST} WHERE kind = 'predicted' AND class = 0) AS predicted_0,

@@ -114,15 +114,22 @@ def split_bundles(pages: DataFrame, keys: Sequence[str], order: Sequence[str], i
 
 
 def evaluate(pred: DataFrame, out_dir: str | None = None, label: str = "label",
-             prediction: str = "prediction", score: str = "score", n_examples: int = 10) -> DataFrame:
+             prediction: str = "prediction", score: str = "score", bundle: str | None = None,
+             page: str | None = None) -> DataFrame:
     """Report record (accuracy, AUC, total, error rate, class distribution);
-    with ``out_dir`` also writes the error table (CSV) and the report (JSON)."""
+    with ``out_dir`` also writes the error table (CSV) and the report (JSON).
+
+    With ``bundle`` and ``page`` the CSV has the error-analysis layout
+    (``error_table``); otherwise it holds the flat columns of the errors."""
     report = M.eval_report(pred, label, prediction, score)
     if out_dir:
         from pyspark.sql import types as T
-        flat = [f.name for f in pred.schema.fields
-                if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.UserDefinedType))]
-        errors = M.error_rows(pred, label, prediction).select(*flat)
+        if bundle and page:
+            errors = M.error_table(pred, label, prediction, score, bundle, page)
+        else:
+            flat = [f.name for f in pred.schema.fields
+                    if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.UserDefinedType))]
+            errors = M.error_rows(pred, label, prediction).select(*flat)
         write_csv(errors, f"{out_dir}/errors")
         write_json(report, f"{out_dir}/report")
     return report

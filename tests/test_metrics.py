@@ -83,3 +83,18 @@ def test_class_weights(spark):
     assert abs(w[0] - 10 / 18) < 1e-12 and abs(w[1] - 5.0) < 1e-12
     r = {r["y"]: r["weight"] for r in M.class_weights_ratio(df, "y").collect()}
     assert r == {0: 1.0, 1: 9.0}
+
+
+def test_error_table_layout(spark):
+    df = spark.createDataFrame([("a.pdf", 3, 1, 0, 0.4), ("a.pdf", 4, 1, 1, 0.9)],
+                               "b string, p int, label int, prediction int, score double")
+    t = M.error_table(df, "label", "prediction", "score", "b", "p")
+    assert t.columns == ["True_Label", "Predicted_Label", "Confidence", "PDF_Name", "Page_Number"]
+    assert rows(t, "PDF_Name", "Page_Number") == [("a.pdf", 3)]
+
+
+def test_report_error_rate_is_fraction(spark):
+    df = spark.createDataFrame([(1, 1, 0.9), (0, 1, 0.6), (0, 0, 0.1), (1, 1, 0.8)],
+                               "label int, prediction int, score double")
+    mp = M.eval_report(df).first()["model_performance"]
+    assert mp["error_rate"] == 0.25 and mp["accuracy"] == 0.75 and mp["total_samples"] == 4
