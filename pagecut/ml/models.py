@@ -81,7 +81,21 @@ def positive_probability(df: DataFrame, prob: str = "probability", out: str = "p
 
 
 def evaluate_all(pred: DataFrame, label: str = "label") -> dict[str, float]:
-    """Accuracy, weightedPrecision, weightedRecall, f1 and exact areaUnderROC."""
+    """Accuracy, weightedPrecision, weightedRecall, f1 (weighted) and exact
+    areaUnderROC of a scored DataFrame, from two passes: one pair-count
+    aggregate and one AUC aggregate (equal to the Spark ML evaluators, see
+    ``evaluator_metrics``)."""
+    from pagecut.operators import metrics as M
+    scored = pred.select(F.col(label).cast("double").alias("label"),
+                         F.col("prediction").cast("double").alias("prediction"),
+                         vector_to_array("probability")[1].alias("score"))
+    out = M.weighted_metrics(scored).first().asDict()
+    out["areaUnderROC"] = M.roc_auc(scored).first()["auc"]
+    return {k: float(v) for k, v in out.items()}
+
+
+def evaluator_metrics(pred: DataFrame, label: str = "label") -> dict[str, float]:
+    """The same metrics from Spark ML's evaluators (one job per metric)."""
     out = {}
     for m in ("accuracy", "weightedPrecision", "weightedRecall", "f1"):
         out[m] = MulticlassClassificationEvaluator(labelCol=label, metricName=m).evaluate(pred)

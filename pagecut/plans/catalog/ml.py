@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pagecut.functions.image import augment_udf, image_2d_udf, png_udf
 from pagecut.ml import models
 from pagecut.plans import standins as S
-from pagecut.plans.jobs import predict_first_pages, train, tune
+from pagecut.plans.jobs import (image_pages, predict_first_pages, predict_from_images, train,
+                                train_from_store, tune)
 from pagecut.session import scratch_path
 from pagecut.sinks.files import write_binary_files
 from pagecut.sources.files import read_images
@@ -102,6 +103,48 @@ def _image_dir(spark, root):
     return path
 
 
+def _bundle_images(spark, root):
+    """Embeddings as page images of 10 bundles (``label_<label>``), pages
+    numbered by ``vec_id``; first pages are those with ``y = 1``."""
+    from pagecut.operators.pages import number_pages
+    e = S.embedding_rows(spark, root)
+    pages = number_pages(e.withColumn("bundle", F.format_string("label_%d", "label")), ["bundle"], ["vec_id"])
+    return pages.select("bundle", "page_number", "vec_id", "y", S.pixels(F.col("embedding")).alias("px"))
+
+
+def _write_bundle_images(spark, root):
+    from pagecut.operators import labels as L
+    pages = _bundle_images(spark, root)
+    img_root = scratch_path(spark, "pageimages")
+    files = pages.select(F.format_string("%s/page_%d.png", "bundle", "page_number").alias("name"),
+                         png_udf(S.IMG_H, S.IMG_W)(F.col("px")).alias("png"))
+    write_binary_files(files, "name", "png", img_root)
+    store = scratch_path(spark, "labelstore")
+    L.write_label_store(L.build_label_store(pages, "bundle", "page_number", F.col("y") == 1), store)
+    return img_root, store
+
+
+def q_image_pages(spark, root):
+    img_root, _ = _write_bundle_images(spark, root)
+    p = image_pages(spark, img_root, (S.IMG_H, S.IMG_W))
+    return p.select("pdf_name", "page_number", F.size("features").alias("n_features"),
+                    F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x.cast("double")) * F.lit(255.0))
+                    .cast("bigint").alias("pixel_sum"))
+
+
+def q_job_train_images(spark, root):
+    img_root, store = _write_bundle_images(spark, root)
+    res = train_from_store(spark, store, img_root, scratch_path(spark, "model"), size=(S.IMG_H, S.IMG_W))
+    return _metrics_frame(spark, res.metrics)
+
+
+def q_job_predict_images(spark, root):
+    img_root, store = _write_bundle_images(spark, root)
+    model = scratch_path(spark, "model")
+    train_from_store(spark, store, img_root, model, size=(S.IMG_H, S.IMG_W))
+    return predict_from_images(spark, img_root, model, scratch_path(spark, "firstpages"), size=(S.IMG_H, S.IMG_W))
+
+
 def q_image_features_2d(spark, root):
     img = read_images(spark, _image_dir(spark, root))
     f = img.select(F.col("image.origin").alias("origin"), image_2d_udf(4, 4)(F.col("image")).alias("f"))
@@ -133,12 +176,23 @@ QUERIES = {
     "training_history": q_training_history,
     "job_tune": q_job_tune,
     "cv_best_model": q_cv_best_model,
+    "image_pages": q_image_pages,
+    "job_train_images": q_job_train_images,
+    "job_predict_images": q_job_predict_images,
     "image_features_2d": q_image_features_2d,
     "augment_full": q_augment_full,
     "stream_bundle_to_pages": q_stream_bundle_to_pages,
 }
 
 SQL = {
+    "image_pages": """
+        SELECT 'label_' || CAST(label AS VARCHAR) AS pdf_name,
+               CAST(row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS INTEGER) AS page_number,
+               64 AS n_features,
+               CAST(list_sum(list_transform(embedding,
+                 lambda x: least(255, greatest(0, CAST(floor((CAST(x AS DOUBLE) + 0.6) * 200) AS INTEGER)))))
+                 AS BIGINT) AS pixel_sum
+        FROM embeddings""",
     "stream_bundle_to_pages": """
         SELECT doc_id, CAST(generate_subscripts(parts, 1) - 1 AS INTEGER) AS page_number, unnest(parts) AS page_text
         FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)""",

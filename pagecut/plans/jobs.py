@@ -19,6 +19,7 @@ from pagecut.operators import metrics as M
 from pagecut.operators.pages import pages_per_bundle, text_page_features
 from pagecut.operators.sampling import fold_column, oversample_minority, split_hash
 from pagecut.operators.segments import segment_pages, segment_ranges, write_segments
+from pagecut.session import materialize
 from pagecut.sinks import write_csv, write_json, write_lines, write_parquet
 
 
@@ -67,7 +68,9 @@ def train(rows: DataFrame, id_col: str, label: str, features: str = "features",
     data = rows.where(F.col(features).isNotNull()).select(id_col, F.col(label).cast("int").alias("label"),
                                                           features)
     data = split_hash(data, id_col, test_percent, seed)
-    data = models.to_vector(data, features)
+    # features are computed once: every later pass (counts, fit iterations,
+    # scoring) reads the written table
+    data = models.to_vector(materialize(data, "train-input"), features)
     tr = data.where(F.col("split") == "train")
     te = data.where(F.col("split") == "test")
     if oversample:
@@ -153,3 +156,42 @@ def tune(rows: DataFrame, id_col: str, label: str, features: str = "features",
 
 def bundle_page_counts(pages: DataFrame, bundle: str) -> DataFrame:
     return pages_per_bundle(pages, bundle)
+
+
+def image_pages(spark, root: str, size: tuple[int, int] = (224, 224)) -> DataFrame:
+    """Page images ``<root>/<bundle>/page_<i>.png`` -> ``(pdf_name, page_number,
+    path, features)``; the page number comes from the file name (gaps are
+    kept), undecodable images get null features."""
+    from pagecut.functions.image import image_features
+    from pagecut.functions.paths import basename, page_number_from_path
+    from pagecut.sources.files import read_images
+
+    img = read_images(spark, root)
+    path = F.col("image.origin")
+    folder = F.element_at(F.split(path, "/"), -2)
+    return img.select(folder.alias("pdf_name"), page_number_from_path(basename(path)).alias("page_number"),
+                      path.alias("path"), image_features(F.col("image"), size[0], size[1]).alias("features"))
+
+
+def train_from_store(spark, store_path: str, images_root: str, model_path: str | None = None,
+                     size: tuple[int, int] = (224, 224), **train_args) -> TrainResult:
+    """The training job: for every bundle in the label store, pages
+    ``0 .. total_pages-1`` whose image exists are labelled (1 when listed as a
+    first page), turned into features and used to train."""
+    targets = L.read_store_targets(spark, store_path)
+    totals = L.read_store_totals(spark, store_path)
+    expected = L.expected_pages(totals, "bundle")
+    pages = image_pages(spark, images_root, size).withColumnRenamed("pdf_name", "bundle")
+    present = L.expected_present(expected, pages, ["bundle", "page_number"])
+    labelled = L.attach_labels(present, targets).join(pages, ["bundle", "page_number"], "inner")
+    return train(labelled.withColumn("page_id", F.concat_ws("/", "bundle", F.col("page_number").cast("string"))),
+                 "page_id", "label", model_path=model_path, **train_args)
+
+
+def predict_from_images(spark, images_root: str, model_path: str, paths_out: str | None = None,
+                        size: tuple[int, int] = (224, 224)) -> DataFrame:
+    """The prediction job: score every page image, keep predicted first
+    pages in (bundle, page number) order, optionally write their paths."""
+    pages = image_pages(spark, images_root, size)
+    return predict_first_pages(pages, model_path, ["pdf_name", "page_number"], paths_out=paths_out,
+                               path_col="path")

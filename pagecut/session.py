@@ -83,3 +83,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared scratch root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/pagecut-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet under the shared scratch folder and read
+    it back: later passes read the table instead of recomputing the lineage
+    (image decoding, joins), and a lost executor cannot force a recompute."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -53,3 +53,11 @@ def test_evaluate_job_writes_flat_errors(spark):
     rep = evaluate(pred, out_dir=out).first()
     assert 0.85 < rep["model_performance"]["auc_roc"] <= 1.0
     assert spark.read.option("header", True).csv(f"{out}/errors").columns[:2] == ["vec_id", "label"]
+
+
+def test_dataframe_metrics_equal_evaluators(spark):
+    res = train(_rows(spark), "vec_id", "y")
+    ours = res.metrics
+    theirs = models.evaluator_metrics(res.test_predictions)
+    for k in theirs:
+        assert abs(ours[k] - theirs[k]) < 1e-9, k
