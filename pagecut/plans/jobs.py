@@ -146,7 +146,8 @@ def tune(rows: DataFrame, id_col: str, label: str, features: str = "features",
         id_col, F.col(label).cast("int").alias("label"), features)
     data = models.to_vector(data, features).withColumn("fold", fold_column(F.col(id_col), 3, seed))
     sc = models.scaler().fit(data)
-    scaled = sc.transform(data)
+    # 82 fits read the scaled table: compute it once
+    scaled = materialize(sc.transform(data).select(id_col, "label", "fold", "scaled_features"), "tune-input")
     cv_model = models.cross_validate(scaled, "label", "fold", parallelism)
     table = models.cv_metrics_table(cv_model, rows.sparkSession)
     if model_path:
