@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 LR_MAX_ITER = 20
 LR_REG_PARAM = 0.1
 LR_ELASTIC_NET = 0.8
-GRID_REG_PARAM = [0.01, 0.1, 1.0]
+GRID_REG_PARAM = [0.01, 0.1, 0.5]
 GRID_ELASTIC_NET = [0.0, 0.5, 1.0]
-GRID_MAX_ITER = [10, 20, 30]
+GRID_MAX_ITER = [10, 20, 50]
 CV_FOLDS = 3
 
 

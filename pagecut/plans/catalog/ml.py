@@ -72,37 +72,23 @@ def q_training_history(spark, root):
 
 
 def q_job_tune(spark, root):
-    _, grid = tune(_rows(spark, root), "vec_id", "y", model_path=scratch_path(spark, "tuned"))
-    return grid
+    return tune(_rows(spark, root), "vec_id", "y", model_path=scratch_path(spark, "tuned")).grid
 
 
 def q_cv_best_model(spark, root):
-    """Best grid point of the 3-fold CV and its area under ROC on all rows,
-    from the evaluator (binned, as the reference) and exact (``numBins=0``)."""
+    """Best grid point of the 3-fold CV and its held-out area under ROC, from
+    the evaluator (binned, as the reference) and exact (``numBins=0``)."""
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    rows = _rows(spark, root)
-    best, grid = tune(rows, "vec_id", "y")
-    data = models.to_vector(rows.select("vec_id", F.col("y").alias("label"), "features"), "features")
-    scaled = models.scaler().fit(data).transform(data)
-    pred = best.transform(scaled)
-    binned = BinaryClassificationEvaluator(metricName="areaUnderROC").evaluate(pred)
-    exact = BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0).evaluate(pred)
-    top = grid.where("is_best").first()
+    res = tune(_rows(spark, root), "vec_id", "y")
+    binned = res.held_out_auc
+    exact = BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0).evaluate(res.held_out)
+    top = res.grid.where("is_best").first()
     return spark.createDataFrame([(top["regParam"], top["elasticNetParam"], top["maxIter"], top["avg_auc"],
                                    binned, exact)],
                                  "regParam double, elasticNetParam double, maxIter int, cv_auc double, "
                                  "auc_binned double, auc_exact double")
 
 
-def _image_dir(spark, root):
-    px = S.embedding_rows(spark, root).select("vec_id", S.pixels(F.col("embedding")).alias("px"))
-    files = px.select(F.format_string("img_%d.png", "vec_id").alias("name"),
-                      png_udf(S.IMG_H, S.IMG_W)(F.col("px")).alias("png"))
-    path = scratch_path(spark, "images")
-    write_binary_files(files, "name", "png", path)
-    return path
-
-
 def _bundle_images(spark, root):
     """Embeddings as page images of 10 bundles (``label_<label>``), pages
     numbered by ``vec_id``; first pages are those with ``y = 1``."""

@@ -61,3 +61,12 @@ def test_dataframe_metrics_equal_evaluators(spark):
     theirs = models.evaluator_metrics(res.test_predictions)
     for k in theirs:
         assert abs(ours[k] - theirs[k]) < 1e-9, k
+
+
+def test_tune_grid_and_held_out(spark):
+    from pagecut.plans.jobs import tune
+    res = tune(_rows(spark), "vec_id", "y", parallelism=8)
+    g = res.grid.collect()
+    assert len(g) == 27 and sum(r["is_best"] for r in g) == 1
+    assert {r["regParam"] for r in g} == {0.01, 0.1, 0.5} and {r["maxIter"] for r in g} == {10, 20, 50}
+    assert res.held_out_auc > 0.85
