@@ -141,25 +141,32 @@ def image_features(img: Column, out_h: int = 224, out_w: int = 224) -> Column:
 
 def augment_udf(h: int, w: int, variants: int, rotation: float = 10.0, zoom: float = 0.1,
                 shift: float = 0.1, seed: int = 42):
-    """Grouped-free augmentation for ``mapInPandas``: ``variants`` copies per image.
+    """Batch function for ``mapInPandas``: ``variants`` augmented copies per image.
 
-    Each copy gets rotation (degrees), zoom and shift drawn from a generator
-    seeded by ``(seed, id, variant)``, so a retried task yields the same rows.
-    Nearest-neighbour sampling with nearest-edge fill, no flips.
+    Each copy gets a rotation (degrees), independent x/y zoom factors and
+    x/y shifts (fractions of the size) drawn from a generator seeded by
+    ``(seed, id, variant)``, so a retried task yields the same rows.  Pixels
+    are resampled bilinearly; outside points take the nearest edge pixel; no
+    flips.
     """
     yy, xx = np.mgrid[0:h, 0:w].astype(np.float64)
     cy, cx = (h - 1) / 2.0, (w - 1) / 2.0
 
     def one(img: np.ndarray, rng: np.random.Generator) -> np.ndarray:
         ang = np.deg2rad(rng.uniform(-rotation, rotation))
-        z = rng.uniform(1 - zoom, 1 + zoom)
+        zy, zx = rng.uniform(1 - zoom, 1 + zoom, 2)
         ty, tx = rng.uniform(-shift, shift) * h, rng.uniform(-shift, shift) * w
         cos, sin = np.cos(ang), np.sin(ang)
-        sy = ((yy - cy - ty) * cos - (xx - cx - tx) * sin) / z + cy
-        sx = ((yy - cy - ty) * sin + (xx - cx - tx) * cos) / z + cx
-        iy = np.clip(np.rint(sy), 0, h - 1).astype(np.int64)
-        ix = np.clip(np.rint(sx), 0, w - 1).astype(np.int64)
-        return img[iy, ix]
+        # output pixel -> source coordinate (inverse of rotate, zoom, shift)
+        dy, dx = yy - cy - ty, xx - cx - tx
+        sy = np.clip((dy * cos - dx * sin) * zy + cy, 0, h - 1)
+        sx = np.clip((dy * sin + dx * cos) * zx + cx, 0, w - 1)
+        y0, x0 = np.floor(sy).astype(np.int64), np.floor(sx).astype(np.int64)
+        y1, x1 = np.minimum(y0 + 1, h - 1), np.minimum(x0 + 1, w - 1)
+        fy, fx = sy - y0, sx - x0
+        top = img[y0, x0] * (1 - fx) + img[y0, x1] * fx
+        bot = img[y1, x0] * (1 - fx) + img[y1, x1] * fx
+        return top * (1 - fy) + bot * fy
 
     def run(batches, id_col: str, pix_col: str):
         for pdf in batches:

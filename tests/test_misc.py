@@ -68,4 +68,5 @@ def test_augmentation_is_deterministic():
     a = pd.concat(run(iter([pdf]), "id", "px"))
     b = pd.concat(run(iter([pdf]), "id", "px"))
     assert len(a) == 6 and all(x == y for x, y in zip(a["px"], b["px"]))
-    assert set(a["px"].iloc[0]) <= set(np.arange(64.0))   # nearest sampling keeps pixel values
+    # bilinear resampling of an image stays within its value range
+    assert min(a["px"].iloc[0]) >= 0.0 and max(a["px"].iloc[0]) <= 63.0
