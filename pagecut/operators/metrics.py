@@ -172,7 +172,7 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score",
     P, N = _totals(counts)
     ranked = running_sums(counts.withColumn("__desc", -F.col("score")),
                           {"tp": F.col("pos"), "fp": F.col("neg"), "__i": F.lit(1)}, ["__desc"],
-                          strategy=strategy)
+                          strategy=strategy, max_rows=P + N)
     if drop_intermediate:
         pts0 = ranked.select("score", "tp", "fp", "__i")
         prev = pts0.select((F.col("__i") + 1).alias("__i"), F.col("tp").alias("tp_p"), F.col("fp").alias("fp_p"))

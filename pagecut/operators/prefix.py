@@ -62,14 +62,16 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
 def running_sums(df: DataFrame, values: dict[str, Column], order: Sequence[str],
                  keys: Sequence[str] = (), *, strategy: str = "auto",
                  num_chunks: int | None = None, hot_rows: int = DEFAULT_HOT_ROWS,
-                 rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
+                 rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK, max_rows: int | None = None) -> DataFrame:
     """Add one inclusive running-sum column per ``values`` entry.
 
     Rows are ordered by ``order`` within each ``keys`` group (all rows form
     one group when ``keys`` is empty).  Ties in ``order`` are summed in an
     unspecified order, as with a window; give a unique order for exact
     numbering.  Value expressions must be integral or exact for results to be
-    independent of the strategy.
+    independent of the strategy.  ``max_rows``, an upper bound on the input
+    rows known to the caller, lets ``auto`` skip its measuring job when no
+    group can be hot.
     """
     keys = _names(keys)
     order = _names(order)
@@ -80,6 +82,8 @@ def running_sums(df: DataFrame, values: dict[str, Column], order: Sequence[str],
     if strategy == "chunked":
         return _chunked(df, values, order, keys, num_chunks)
     # auto: measure, then route hot groups to the chunked path
+    if max_rows is not None and max_rows <= hot_rows:
+        return _window(df, values, order, keys)
     if not keys:
         total = df.count()
         if total <= hot_rows:
