@@ -44,30 +44,38 @@ def segment_pages(pages: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def segment_ranges(seg_pages: DataFrame, keys: Sequence[str], page_col: str = "page_number",
-                   total_pages: DataFrame | None = None) -> DataFrame:
-    """``[start_page, end_page)`` of every segment.
+                   total_pages: DataFrame | None = None, contiguous: bool = True) -> DataFrame:
+    """``[start_page, end_page)`` of every segment, with ``n_pages`` and the
+    bundle's ``total_pages``.
 
     ``end_page`` is the next segment's start, or the bundle's total pages for
-    the last one.  Without ``total_pages`` (a ``keys + total_pages`` table)
-    the total is the highest page number + 1.  Aggregates and equi-joins on
-    ``(keys, segment_id)`` only: no per-bundle window, so a hot bundle is
-    spread over many tasks.
+    the last one.  ``seg_pages`` holds every page of the bundles (segment 0
+    included).  ``contiguous`` (pages numbered ``0 .. n-1``, as
+    ``segment_pages`` numbers them) makes this one aggregate per segment:
+    the next start is the segment's last page + 1 and the total is a row
+    count, which Catalyst computes from the scan without the window.  With
+    gaps in the numbering (``contiguous=False``) the next start comes from an
+    equi-join on ``(keys, segment_id + 1)`` and the total defaults to the
+    highest page + 1.  No per-bundle window: a hot bundle is spread over tasks.
     """
     keys = list(keys)
     seg = (seg_pages.where(F.col("segment_id") > 0)
            .groupBy(*keys, "segment_id")
-           .agg(F.min(page_col).alias("start_page"), F.max(page_col).alias("__last"),
+           .agg(F.min(page_col).alias("start_page"), (F.max(page_col) + 1).alias("__end"),
                 F.count(F.lit(1)).alias("n_pages")))
-    nxt = seg.select(*keys, (F.col("segment_id") - 1).alias("segment_id"),
-                     F.col("start_page").alias("__next"))
     if total_pages is None:
-        total_pages = seg_pages.groupBy(*keys).agg((F.max(page_col) + 1).alias("total_pages"))
-    out = (seg.join(nxt, on=[*keys, "segment_id"], how="left")
-           .join(total_pages.select(*keys, "total_pages"), on=keys, how="left")
-           .withColumn("end_page", F.coalesce("__next", "total_pages").cast("int"))
-           .withColumn("segment_name", F.concat(F.lit("segment_"), F.col("segment_id").cast("string")))
-           .drop("__next", "__last"))
-    return out
+        total = F.count(F.lit(1)) if contiguous else F.max(page_col) + 1
+        total_pages = seg_pages.groupBy(*keys).agg(total.cast("int").alias("total_pages"))
+    out = seg.join(total_pages.select(*keys, "total_pages"), on=keys, how="left")
+    if contiguous:
+        end = F.col("__end")
+    else:
+        nxt = seg.select(*keys, (F.col("segment_id") - 1).alias("segment_id"), F.col("start_page").alias("__next"))
+        out = out.join(nxt, on=[*keys, "segment_id"], how="left")
+        end = F.coalesce("__next", "total_pages")
+    return (out.withColumn("end_page", end.cast("int"))
+            .withColumn("segment_name", F.concat(F.lit("segment_"), F.col("segment_id").cast("string")))
+            .drop("__next", "__end"))
 
 
 def segment_range_join(pages: DataFrame, ranges: DataFrame, keys: Sequence[str],

@@ -71,3 +71,14 @@ def test_write_and_read_segment(spark):
         write_segments(seg, path, ["bundle"], layout=layout)
         got = read_segment(spark, path, {"bundle": "b"}, 2)
         assert sorted(r["page_number"] for r in got.collect()) == [4, 5, 6, 7, 8]
+
+
+def test_ranges_with_gaps_use_next_start(spark):
+    # pages 0, 1, 4, 5, 9 present; boundaries at 1 and 5; total 12
+    df = spark.createDataFrame([("b", p, p in (1, 5)) for p in (0, 1, 4, 5, 9)],
+                               "bundle string, page_number int, f boolean")
+    seg = segment_pages(df, ["bundle"], ["page_number"], F.col("f"), number=False, include_leading=True)
+    totals = spark.createDataFrame([("b", 12)], "bundle string, total_pages int")
+    r = segment_ranges(seg, ["bundle"], total_pages=totals, contiguous=False)
+    assert rows(r, "segment_id", "start_page", "end_page", "n_pages") == [(1, 1, 5, 2), (2, 5, 12, 2)]
+    assert rows(segment_ranges(seg, ["bundle"], contiguous=False), "end_page") == [(5,), (10,)]
