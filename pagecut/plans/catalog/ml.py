@@ -89,6 +89,16 @@ def q_cv_best_model(spark, root):
                                  "auc_binned double, auc_exact double")
 
 
+def _image_dir(spark, root):
+    """Embeddings written as 8 x 8 PNG files ``img_<vec_id>.png``."""
+    px = S.embedding_rows(spark, root).select("vec_id", S.pixels(F.col("embedding")).alias("px"))
+    files = px.select(F.format_string("img_%d.png", "vec_id").alias("name"),
+                      png_udf(S.IMG_H, S.IMG_W)(F.col("px")).alias("png"))
+    path = scratch_path(spark, "images")
+    write_binary_files(files, "name", "png", path)
+    return path
+
+
 def _bundle_images(spark, root):
     """Embeddings as page images of 10 bundles (``label_<label>``), pages
     numbered by ``vec_id``; first pages are those with ``y = 1``."""
