@@ -259,7 +259,6 @@ QUERIES = {
     "scan_images": q_scan_images,
 }
 
-_D = "CAST({} AS DOUBLE)"
 _Y = "CAST(list_sum(list_transform(embedding[1:8], lambda x: CAST(x AS DOUBLE))) > 0.45 AS INTEGER)"
 _E = f"(SELECT vec_id, embedding, label, CAST(label = 0 AS INTEGER) AS label_zero, {_Y} AS y FROM embeddings)"
 _PX = """(SELECT vec_id, list_transform(embedding,
@@ -269,7 +268,6 @@ _PXE = f"(SELECT vec_id, CAST(generate_subscripts(px, 1) - 1 AS INTEGER) AS pos,
 _EE = """(SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos,
                  CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)"""
 _H = "('0x' || substr(md5(CAST(vec_id AS VARCHAR) || '{}'), 1, 8))::BIGINT"
-_BLOCK = "px[{r} * 8 + {c} + 1]"
 
 
 def _mean2x2():
