@@ -8,7 +8,15 @@ from pyspark.sql import DataFrame
 
 
 def _local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+    """POSIX path of ``path``; other file systems need a mounted view."""
+    if path.startswith("file:"):
+        path = path[len("file:"):]
+        while path.startswith("//"):
+            path = path[1:]
+        return path
+    if "://" in path:
+        raise ValueError(f"write_binary_files needs a POSIX-mounted folder, got {path!r}")
+    return path
 
 
 def write_binary_files(df: DataFrame, name_col: str, content_col: str, root: str) -> None:
