@@ -61,3 +61,19 @@ def test_auto_splits_hot_and_cold(spark):
     assert rows(a, "k", "t", "c", "s") == rows(b, "k", "t", "c", "s")
     g = running_sums(df, {"s": F.col("v")}, ["t"], strategy="auto", hot_rows=1000, rows_per_chunk=700)
     assert rows(g, "t", "s") == rows(running_sums(df, {"s": F.col("v")}, ["t"], strategy="window"), "t", "s")
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=st.lists(st.tuples(st.sampled_from([None, 0, 0, 0, 1, 2, 3]), st.integers(-5, 5)),
+                     min_size=1, max_size=200),
+       chunks=st.integers(1, 9))
+def test_property_chunked_equals_window(spark, data, chunks):
+    df = spark.createDataFrame([(k, i, v) for i, (k, v) in enumerate(data)], "k int, t long, v int")
+    vals = {"s": F.col("v"), "c": F.lit(1)}
+    a = running_sums(df, vals, ["t"], ["k"], strategy="window")
+    b = running_sums(df, vals, ["t"], ["k"], strategy="chunked", num_chunks=chunks)
+    assert rows(a, "t", "s", "c") == rows(b, "t", "s", "c")
