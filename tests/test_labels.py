@@ -61,3 +61,10 @@ def test_append_if_absent(spark):
     df = spark.createDataFrame([([1, 2],)], "a array<int>")
     assert df.select(L.append_if_absent(F.col("a"), F.lit(2))).first()[0] == [1, 2]
     assert df.select(L.append_if_absent(F.col("a"), F.lit(5))).first()[0] == [1, 2, 5]
+
+
+def test_bundle_without_first_page_is_stored_empty(spark):
+    pages = spark.createDataFrame([("x", 0, False), ("x", 1, False), ("y", 0, True)], "b string, p int, f boolean")
+    store = L.build_label_store(pages, "b", "p", F.col("f"))
+    got = {r["bundle"]: (r["target_pages"], r["total_pages"]) for r in store.collect()}
+    assert got == {"x": ([], 2), "y": ([0], 1)}
