@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pagecut.functions.image import augment_udf, image_2d_udf, png_udf
 from pagecut.ml import models
 from pagecut.plans import standins as S
-from pagecut.plans.jobs import (image_pages, predict_first_pages, predict_from_images, train,
-                                train_from_store, tune)
+from pagecut.plans.jobs import (image_pages, predict_and_split, predict_first_pages, predict_from_images,
+                                train, train_from_store, tune)
 from pagecut.session import scratch_path
 from pagecut.sinks.files import write_binary_files
 from pagecut.sources.files import read_images
@@ -141,6 +141,21 @@ def q_job_predict_images(spark, root):
     return predict_from_images(spark, img_root, model, scratch_path(spark, "firstpages"), size=(S.IMG_H, S.IMG_W))
 
 
+def q_job_predict_split(spark, root):
+    """Train on the page images, predict first pages, cut the bundles."""
+    img_root, store = _write_bundle_images(spark, root)
+    model = scratch_path(spark, "model")
+    train_from_store(spark, store, img_root, model, size=(S.IMG_H, S.IMG_W))
+    pages = image_pages(spark, img_root, (S.IMG_H, S.IMG_W))
+    _, ranges = predict_and_split(pages, model, out_path=scratch_path(spark, "segments"))
+    return ranges
+
+
+def q_train_weighted(spark, root):
+    res = train(_rows(spark, root), "vec_id", "y", class_weights="balanced")
+    return _metrics_frame(spark, res.metrics)
+
+
 def q_image_features_2d(spark, root):
     img = read_images(spark, _image_dir(spark, root))
     f = img.select(F.col("image.origin").alias("origin"), image_2d_udf(4, 4)(F.col("image")).alias("f"))
@@ -175,6 +190,8 @@ QUERIES = {
     "image_pages": q_image_pages,
     "job_train_images": q_job_train_images,
     "job_predict_images": q_job_predict_images,
+    "job_predict_split": q_job_predict_split,
+    "train_weighted": q_train_weighted,
     "image_features_2d": q_image_features_2d,
     "augment_full": q_augment_full,
     "stream_bundle_to_pages": q_stream_bundle_to_pages,

@@ -59,11 +59,13 @@ class TrainResult:
 
 def train(rows: DataFrame, id_col: str, label: str, features: str = "features",
           model_path: str | None = None, oversample: bool = True, classifier=None,
-          test_percent: int = 20, seed: int = 42) -> TrainResult:
+          test_percent: int = 20, seed: int = 42, class_weights: str | None = None) -> TrainResult:
     """Split by id hash first, then fit scaler + classifier on the training
     part only (oversampling the minority there), evaluate on the held-out part.
 
-    Rows with null features are dropped (an undecodable page cannot train).
+    ``class_weights`` (``"balanced"`` or ``"ratio"``) weights the classes
+    through the classifier's ``weightCol`` instead of oversampling.  Rows with
+    null features are dropped (an undecodable page cannot train).
     """
     data = rows.where(F.col(features).isNotNull()).select(id_col, F.col(label).cast("int").alias("label"),
                                                           features)
@@ -73,9 +75,14 @@ def train(rows: DataFrame, id_col: str, label: str, features: str = "features",
     data = models.to_vector(materialize(data, "train-input"), features)
     tr = data.where(F.col("split") == "train")
     te = data.where(F.col("split") == "test")
-    if oversample:
-        tr = oversample_minority(tr, "label", id_col, seed=seed)
-    clf = classifier if classifier is not None else models.logistic()
+    if class_weights:
+        weights = (M.class_weights_balanced if class_weights == "balanced" else M.class_weights_ratio)(tr, "label")
+        tr = M.weight_column(tr, weights, "label")
+        clf = classifier if classifier is not None else models.logistic(weight="weight")
+    else:
+        if oversample:
+            tr = oversample_minority(tr, "label", id_col, seed=seed)
+        clf = classifier if classifier is not None else models.logistic()
     model = models.pipeline(clf).fit(tr)
     pred = model.transform(te)
     metrics = models.evaluate_all(pred)
@@ -84,12 +91,26 @@ def train(rows: DataFrame, id_col: str, label: str, features: str = "features",
     return TrainResult(model, metrics, pred)
 
 
+def score_pages(pages: DataFrame, model_path: str, features: str = "features",
+                threshold: float | None = None) -> DataFrame:
+    """Pages with ``p_first`` (probability of a first page) and ``prediction``
+    from a saved pipeline; ``threshold`` replaces the model's own cut with
+    the strict ``p_first > threshold``."""
+    from pyspark.ml.functions import vector_to_array
+    model = models.load_model(model_path)
+    scored = model.transform(models.to_vector(pages.where(F.col(features).isNotNull()), features))
+    scored = scored.withColumn("p_first", vector_to_array("probability")[1])
+    if threshold is not None:
+        scored = scored.withColumn("prediction", M.threshold(F.col("p_first"), threshold).cast("double"))
+    return scored.drop("features_vector", "scaled_features", "rawPrediction", "probability")
+
+
 def predict_first_pages(pages: DataFrame, model_path: str, keys: Sequence[str], features: str = "features",
-                        paths_out: str | None = None, path_col: str | None = None) -> DataFrame:
+                        paths_out: str | None = None, path_col: str | None = None,
+                        threshold: float | None = None) -> DataFrame:
     """Score pages with a saved pipeline and keep predicted first pages,
     ordered by bundle and page number; optionally write their paths."""
-    model = models.load_model(model_path)
-    scored = model.transform(models.to_vector(pages.where(F.col(features).isNotNull()), features))
+    scored = score_pages(pages, model_path, features, threshold)
     firsts = scored.where(F.col("prediction") == 1).select(*keys, *([path_col] if path_col else []))
     firsts = firsts.orderBy(*keys)
     if paths_out and path_col:
@@ -214,3 +235,17 @@ def predict_from_images(spark, images_root: str, model_path: str, paths_out: str
     pages = image_pages(spark, images_root, size)
     return predict_first_pages(pages, model_path, ["pdf_name", "page_number"], paths_out=paths_out,
                                path_col="path")
+
+
+def predict_and_split(pages: DataFrame, model_path: str, bundle: str = "pdf_name",
+                      page: str = "page_number", features: str = "features",
+                      threshold: float | None = None, out_path: str | None = None
+                      ) -> tuple[DataFrame, DataFrame]:
+    """The end of the workflow: predict first pages with a saved model, then
+    cut every bundle at them.  All pages are kept (an unscorable page is
+    never a first page); returns per-page segment ids and segment ranges."""
+    scored = score_pages(pages, model_path, features, threshold).select(bundle, page, "prediction")
+    unscored = pages.where(F.col(features).isNull()).select(bundle, page, F.lit(0.0).alias("prediction"))
+    # the narrow scored table is written once; the cut reads it several times
+    every = materialize(scored.unionByName(unscored), "scored-pages")
+    return split_bundles(every, [bundle], [page], F.col("prediction") == 1, out_path=out_path, number=False)

@@ -70,3 +70,17 @@ def test_tune_grid_and_held_out(spark):
     assert len(g) == 27 and sum(r["is_best"] for r in g) == 1
     assert {r["regParam"] for r in g} == {0.01, 0.1, 0.5} and {r["maxIter"] for r in g} == {10, 20, 50}
     assert res.held_out_auc > 0.85
+
+
+def test_class_weights_instead_of_oversampling(spark):
+    for mode in ("balanced", "ratio"):
+        assert train(_rows(spark), "vec_id", "y", class_weights=mode).metrics["areaUnderROC"] > 0.85
+
+
+def test_threshold_changes_predictions(spark):
+    from pagecut.plans.jobs import score_pages
+    path = scratch_path(spark, "m")
+    train(_rows(spark), "vec_id", "y", model_path=path)
+    lo = score_pages(_rows(spark), path, threshold=0.01).where("prediction = 1").count()
+    hi = score_pages(_rows(spark), path, threshold=0.99).where("prediction = 1").count()
+    assert lo > hi
