@@ -185,7 +185,16 @@ def tune(rows: DataFrame, id_col: str, label: str, features: str = "features",
     # 82 fits read the scaled table: compute it once
     scaled = materialize(split_hash(sc.transform(data), id_col, test_percent, seed)
                          .select(id_col, "label", "fold", "split", "scaled_features"), "tune-input")
-    cv_model = models.cross_validate(scaled.where(F.col("split") == "train"), "label", "fold", parallelism)
+    train_part = scaled.where(F.col("split") == "train")
+    try:
+        cv_model = models.cross_validate(train_part, "label", "fold", parallelism)
+    except Exception as exc:  # a JVM-side failure of one parallel fit: retry once, inputs are on disk
+        if "java" not in type(exc).__module__ and "Java" not in type(exc).__name__ \
+                and "pyspark.errors" not in type(exc).__module__:
+            raise
+        import logging
+        logging.getLogger(__name__).warning("cross-validation failed (%s); retrying once", exc)
+        cv_model = models.cross_validate(train_part, "label", "fold", parallelism)
     table = models.cv_metrics_table(cv_model, rows.sparkSession)
     held_out = cv_model.bestModel.transform(scaled.where(F.col("split") == "test"))
     auc = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC").evaluate(held_out)
