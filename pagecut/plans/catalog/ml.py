@@ -14,7 +14,7 @@ from pagecut.functions.image import augment_udf, image_2d_udf, png_udf
 from pagecut.ml import models
 from pagecut.plans import standins as S
 from pagecut.plans.jobs import (image_pages, predict_and_split, predict_first_pages, predict_from_images,
-                                train, train_from_store, tune)
+                                prepare_images, train, train_from_store, tune)
 from pagecut.session import scratch_path
 from pagecut.sinks.files import write_binary_files
 from pagecut.sources.files import read_images
@@ -128,6 +128,11 @@ def q_image_pages(spark, root):
                     .cast("bigint").alias("pixel_sum"))
 
 
+def q_job_prepare_images(spark, root):
+    img_root, _ = _write_bundle_images(spark, root)
+    return prepare_images(spark, img_root, scratch_path(spark, "page-features"), (S.IMG_H, S.IMG_W))
+
+
 def q_job_train_images(spark, root):
     img_root, store = _write_bundle_images(spark, root)
     res = train_from_store(spark, store, img_root, scratch_path(spark, "model"), size=(S.IMG_H, S.IMG_W))
@@ -188,6 +193,7 @@ QUERIES = {
     "job_tune": q_job_tune,
     "cv_best_model": q_cv_best_model,
     "image_pages": q_image_pages,
+    "job_prepare_images": q_job_prepare_images,
     "job_train_images": q_job_train_images,
     "job_predict_images": q_job_predict_images,
     "job_predict_split": q_job_predict_split,
@@ -198,6 +204,9 @@ QUERIES = {
 }
 
 SQL = {
+    "job_prepare_images": """
+        SELECT 'label_' || CAST(label AS VARCHAR) AS pdf_name, count(*) AS n_pages, count(*) AS n_with_features
+        FROM embeddings GROUP BY label""",
     "image_pages": """
         SELECT 'label_' || CAST(label AS VARCHAR) AS pdf_name,
                CAST(row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS INTEGER) AS page_number,

@@ -258,3 +258,13 @@ def predict_and_split(pages: DataFrame, model_path: str, bundle: str = "pdf_name
     # the narrow scored table is written once; the cut reads it several times
     every = materialize(scored.unionByName(unscored), "scored-pages")
     return split_bundles(every, [bundle], [page], F.col("prediction") == 1, out_path=out_path, number=False)
+
+
+def prepare_images(spark, images_root: str, out_path: str, size: tuple[int, int] = (224, 224)) -> DataFrame:
+    """Preparation job for page images: decode every page once into the
+    ``page_features`` table (``pdf_name, page_number, path, features``) at
+    ``out_path``; returns pages per bundle with the number that decoded."""
+    write_parquet(image_pages(spark, images_root, size), out_path)
+    feats = spark.read.parquet(out_path)
+    return feats.groupBy("pdf_name").agg(F.count(F.lit(1)).alias("n_pages"),
+                                         F.count("features").alias("n_with_features"))
