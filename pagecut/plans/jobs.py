@@ -130,7 +130,8 @@ def split_bundles(pages: DataFrame, keys: Sequence[str], order: Sequence[str], i
     seg = segment_pages(pages, keys, order, is_first, number=number, include_leading=True,
                         strategy=strategy)
     page_col = "page_number" if number else order[0]
-    ranges = segment_ranges(seg, keys, page_col)
+    # our own numbering has no gaps; given page numbers (file names) may
+    ranges = segment_ranges(seg, keys, page_col, contiguous=number)
     kept = seg if include_leading else seg.where(F.col("segment_id") > 0)
     if out_path:
         write_segments(kept, out_path, keys, page_col)

@@ -82,3 +82,12 @@ def test_ranges_with_gaps_use_next_start(spark):
     r = segment_ranges(seg, ["bundle"], total_pages=totals, contiguous=False)
     assert rows(r, "segment_id", "start_page", "end_page", "n_pages") == [(1, 1, 5, 2), (2, 5, 12, 2)]
     assert rows(segment_ranges(seg, ["bundle"], contiguous=False), "end_page") == [(5,), (10,)]
+
+
+def test_split_bundles_with_given_page_numbers_keeps_gaps(spark):
+    from pagecut.plans.jobs import split_bundles
+    df = spark.createDataFrame([("b", p, p in (1, 5)) for p in (0, 1, 2, 5, 9)],
+                               "bundle string, page_number int, f boolean")
+    _, r = split_bundles(df, ["bundle"], ["page_number"], F.col("f"), number=False)
+    # segment 1 runs to the next first page (5), not to its last present page + 1 (3)
+    assert rows(r, "segment_id", "start_page", "end_page") == [(1, 1, 5), (2, 5, 10)]
