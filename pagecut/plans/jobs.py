@@ -1,8 +1,10 @@
 """Composite jobs: the public workflow of the engine.
 
 prepare -> label -> train -> predict -> split, plus evaluate and tune.  Each
-job takes DataFrames (and paths for what it writes) and returns DataFrames;
-nothing is collected except one-row metrics.
+job takes DataFrames (and paths for what it writes) and returns DataFrames.
+Only small, bounded results reach the driver (metric rows, per-class counts,
+the 27-point tuning grid); wide inputs are written once to the shared scratch
+folder and re-read instead of being recomputed.
 """
 
 from __future__ import annotations
