@@ -32,7 +32,9 @@ def q_scan_files(spark, root):
     path = scratch_path(spark, "rawfiles")
     pages.select("lang", "html").write.mode("overwrite").partitionBy("lang").text(path)
     files = list_files(spark, path, "*.txt", recursive=True)
-    return files.select(F.regexp_extract("path", r"lang=([^/]*)/", 1).alias("lang"), "length")
+    # bytes per language folder do not depend on how the rows were split into files
+    return files.groupBy(F.regexp_extract("path", r"lang=([^/]*)/", 1).alias("lang")) \
+        .agg(F.sum("length").alias("n_bytes"), F.count(F.lit(1)).alias("n_files")).select("lang", "n_bytes")
 
 
 def q_parquet_roundtrip(spark, root):
@@ -74,6 +76,8 @@ SQL = {
     "paths_frame": "SELECT url AS pdf_path FROM pages",
     "default_label": "SELECT url AS path, url AS image, 0 AS label FROM pages",
     "text_roundtrip": "SELECT url AS value FROM pages",
+    "scan_files": """SELECT regexp_extract(url, '/([a-z]{2})/', 1) AS lang, CAST(sum(strlen(html) + 1) AS BIGINT) AS n_bytes
+        FROM pages GROUP BY 1""",
     "parquet_roundtrip": """SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS n,
         round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS total FROM embeddings""",
     "global_avg": "SELECT round(avg(o_totalprice), 6) AS avg_totalprice, count(*) AS n FROM orders",

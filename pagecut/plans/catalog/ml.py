@@ -164,7 +164,10 @@ def q_train_weighted(spark, root):
 def q_image_features_2d(spark, root):
     img = read_images(spark, _image_dir(spark, root))
     f = img.select(F.col("image.origin").alias("origin"), image_2d_udf(4, 4)(F.col("image")).alias("f"))
-    return f.select("origin", F.size("f").alias("rows"), F.size(F.col("f")[0]).alias("cols"))
+    total = F.aggregate(F.flatten("f"), F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return f.select(F.regexp_extract("origin", r"img_(\d+)\.png$", 1).cast("bigint").alias("vec_id"),
+                    F.size("f").alias("rows"), F.size(F.col("f")[0]).alias("cols"),
+                    F.round(total * F.lit(255.0)).cast("bigint").alias("level_sum"))
 
 
 def q_augment_full(spark, root):
@@ -203,7 +206,15 @@ QUERIES = {
     "stream_bundle_to_pages": q_stream_bundle_to_pages,
 }
 
+_MEAN2X2 = """(SELECT vec_id, (px[(2 * (i // 4)) * 8 + 2 * (i % 4) + 1] + px[(2 * (i // 4)) * 8 + 2 * (i % 4) + 2]
+                  + px[(2 * (i // 4) + 1) * 8 + 2 * (i % 4) + 1] + px[(2 * (i // 4) + 1) * 8 + 2 * (i % 4) + 2]) / 4.0 AS m
+               FROM (SELECT vec_id, list_transform(embedding,
+                       lambda x: least(255, greatest(0, CAST(floor((CAST(x AS DOUBLE) + 0.6) * 200) AS INTEGER)))) AS px
+                     FROM embeddings), range(0, 16) t(i))"""
+
 SQL = {
+    "image_features_2d": f"""SELECT vec_id, 4 AS rows, 4 AS cols, CAST(sum(round_even(m, 0)) AS BIGINT) AS level_sum
+        FROM {_MEAN2X2} GROUP BY vec_id""",
     "job_prepare_images": """
         SELECT 'label_' || CAST(label AS VARCHAR) AS pdf_name, count(*) AS n_pages, count(*) AS n_with_features
         FROM embeddings GROUP BY label""",
