@@ -5,8 +5,9 @@ look disguised (symbols or digits among letters, letters set apart, long
 repetitions) become lattices: each sign may stand for itself or a letter
 it imitates, a separator may vanish or be a word border, a repetition may shrink
 to one or two.  Viterbi decoding under the model picks the likeliest reading,
-and the restored words are scored: each word's share of toxic texts among the
-labelled texts that hold it, combined by noisy-or over the strongest words.
+and the restored words are scored: a word, or a stem of four to six letters that
+it begins with, tells by its share of toxic texts among the labelled texts
+that hold it; the strongest words are combined by noisy-or.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagecut.llm.common import BLANK, let
+
 #: Letters of the model; every other letter is one class, everything else the word border.
 LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿßœ"
 _OTHER, _SIZE = len(LETTERS) + 1, len(LETTERS) + 2
@@ -42,6 +45,7 @@ _HINT = re.compile(rf"{_L}{_SIGNS}{{1,2}}{_L}|(?<!\w){_EDGE}{_L}|({_L})\1\1|(?<!
 _WORD = re.compile(r"[^\W\d_]+")
 #: Costs (log probability) of the channel: imitate, drop a separator, keep it as a border, shrink a repetition.
 _IMITATE, _DROP, _BORDER, _SHRINK = -1.0, -0.1, -1.5, -0.5
+STEMS = (4, 5, 6)
 #: Characters decoded in one lattice.
 MAX_STRETCH = 80
 
@@ -168,40 +172,58 @@ def words(restored: str) -> set[str]:
     return set(_WORD.findall(restored))
 
 
+def features(word: str) -> list[str]:
+    """A word and the stems (with a star) that it begins with."""
+    return [word, *(word[:k] + "*" for k in STEMS if len(word) > k)]
+
+
 def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, max_labelled: int = 50_000, min_docs: int = 5,
-          min_share: float = 0.5, max_words: int = 20_000) -> dict[str, float]:
-    """Share of toxic texts for each telling word.
+          min_share: float = 0.6, max_words: int = 20_000) -> dict[str, float]:
+    """Weight (0 to 1) of each telling word or stem.
 
     ``labels`` (id, toxic) holds the labelled ids that may be learnt from; at
     most ``max_labelled`` of them, chosen by digest, are used, so the join
-    broadcasts a table of proven size.  A word tells if at least ``min_docs`` distinct
-    toxic texts hold it and its smoothed share reaches ``min_share``; the
-    ``max_words`` with most toxic texts are kept.
+    broadcasts a table of proven size; of near copies one counts.  A word or stem tells if at least
+    ``min_docs`` toxic texts hold it and its smoothed share of toxic texts reaches
+    ``min_share``; the ``max_words`` with most toxic texts are kept.  The weight
+    is 0 for a share of one half and 1 for a share of one.
     """
     labels = labels.where("id is not null and toxic is not null").groupBy("id").agg(F.max("toxic").alias("toxic"))
     some = labels.orderBy(F.xxhash64("id"), "id").limit(max_labelled)
-    rows = docs.where("text is not null").join(F.broadcast(some), "id").select("text", F.col("toxic").cast("int"))
+    rows = docs.where("text is not null").join(F.broadcast(some), "id").select("id", "text", F.col("toxic").cast("int"))
+    # near copies of a text say no more than the text: of those that agree in a least shingle hash, one is learnt from
+    hashes = [let(F.split(F.lower("text"), BLANK + "+"), lambda ws: F.array_min(F.transform(
+        ws, lambda w, i: F.xxhash64(w, F.get(ws, i + 1), F.get(ws, i + 2), F.lit(k))))).alias(f"s{k}") for k in range(3)]
+    ids = rows.select("id", "toxic", *hashes)
+    for k in range(3):
+        rest = [c for c in ids.columns if c not in ("toxic", f"s{k}")]
+        ids = ids.groupBy("toxic", f"s{k}").agg(F.min(F.struct(*rest)).alias("m")).select("toxic", "m.*")
+    rows = rows.join(F.broadcast(ids.select("id")), "id").select("text", "toxic")
 
     def run(batches):
         r = Restorer(model)
         for b in batches:
             for t, toxic in zip(b.column(0), b.column(1).to_pylist()):
                 text = t.as_py()
-                found = pa.array(sorted(words(r.restore(text))), pa.string())
+                found = pa.array(sorted({f for w in words(r.restore(text)) for f in features(w)}), pa.string())
                 yield pa.RecordBatch.from_arrays([found, pa.array([toxic] * len(found), pa.int32())], ["word", "toxic"])
 
     counts = rows.mapInArrow(run, "word string, toxic int").groupBy("word").agg(
         F.sum("toxic").alias("t"), F.count("*").alias("n")).where(F.col("t") >= min_docs)
-    # rare words regress to no evidence: two clean texts are added to each word's
-    share = F.col("t") / (F.col("n") + 2)
+    share = F.col("t") / (F.col("n") + 3)  # rare words regress to no evidence
     told = counts.where(share >= min_share).orderBy(F.desc("t"), "word").limit(max_words)
-    return {r["word"]: r["share"] for r in told.select("word", share.alias("share")).collect()}
+    told = {r["word"]: r for r in told.select("word", "t", (2 * share - 1).alias("weight")).collect()}
+    # a stem that owes at least half its toxic texts to one telling word adds nothing to that word
+    owed = {stem for w, r in told.items() if w[-1] != "*" for stem in features(w)[1:]
+            if stem in told and 2 * r["t"] >= told[stem]["t"]}
+    return {w: r["weight"] for w, r in told.items() if w not in owed}
 
 
 def score_text(restored: str, weights: dict[str, float], base: float = 0.01, strongest: int = 5) -> float:
     """Noisy-or of the strongest telling words over a base rate."""
-    shares = sorted((weights[w] for w in words(restored) & weights.keys()), reverse=True)[:strongest]
-    return 1 - (1 - base) * math.prod(1 - s for s in shares)
+    get = weights.get
+    found = [max(get(w, 0), get(w[:4] + "*", 0), get(w[:5] + "*", 0), get(w[:6] + "*", 0)) for w in words(restored)]
+    return 1 - (1 - base) * math.prod(1 - x for x in sorted(found, reverse=True)[:strongest])
 
 
 def scored(docs: DataFrame, labels: DataFrame, columns: list[str], id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
