@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of words in one recursive query, words in the cache, characters and ids handled at once.
-QUERY_BYTES, CACHE_WORDS, TEXT_CHARS, DECODE_IDS = 1 << 20, 200_000, 1 << 21, 1 << 20
+QUERY_BYTES, CACHE_WORDS, TEXT_CHARS, DECODE_IDS = 1 << 19, 500_000, 1 << 21, 1 << 19
 #: Longer words (in bytes) are merged with a heap: the recursion would make a row for each byte and step.
 LONG_WORD = 400
 
@@ -57,14 +57,25 @@ class Codec:
         self.ranks, self.split = read_ranks(path), regex.compile(pattern).findall
         pairs = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items()
                  for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "600MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         merges = pa.table(dict(zip("ab", ([p[i] for p in pairs] for i in (0, 1))), merged=[p[2] for p in pairs]),
                           schema=pa.schema({"a": pa.int32(), "b": pa.int32(), "merged": pa.int64()}))
         vocabulary = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": [t.hex() for t in self.ranks]})
         self.db.execute("CREATE TABLE merges AS FROM merges")
         self.db.execute("CREATE TABLE vocabulary AS FROM vocabulary")
         self.byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self.cache: dict[str, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self):
+        """Empty the cache: a number for each word met, its place in ``flat`` and its number of ids."""
+        self.known: dict[str, int] = {}
+        self.place, self.size, self.flat = (np.zeros(0, t) for t in (np.int64, np.int64, np.int32))
+
+    def _keep(self, words: list[str], ids: list[np.ndarray]):
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.place = np.concatenate([self.place, len(self.flat) + np.cumsum(size) - size])
+        self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, *ids])
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
 
     def _recurse(self, words: list[bytes]) -> list[np.ndarray]:
         size = np.fromiter(map(len, words), np.int64, len(words))
@@ -99,36 +110,42 @@ class Codec:
                     heapq.heappush(heap, (r, k, part[k] + part[after[k]]))
         return np.array([self.ranks[p] for p in part if p is not None], np.int32)
 
-    def _learn(self, words) -> None:
-        """Put the ids of ``words`` into the cache."""
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        held, size = [], 0
+    def _learn(self, words: list[str]) -> None:
+        """Put the ids of words that the cache does not hold into it."""
+        names, ids, held, size = [], [], [], 0
         for word in words:
             data = word.encode()
             if data in self.ranks:  # a word that is a token is that token
-                self.cache[word] = np.array([self.ranks[data]], np.int32)
+                names.append(word)
+                ids.append(np.array([self.ranks[data]], np.int32))
             elif len(data) > LONG_WORD:
-                self.cache[word] = self._heap(data)
+                names.append(word)
+                ids.append(self._heap(data))
             else:
                 held.append((word, data))
                 size += len(data)
-            if size > QUERY_BYTES:
-                self.cache.update(zip((w for w, _ in held), self._recurse([d for _, d in held])))
+            if size > QUERY_BYTES or word is words[-1] and held:
+                names += [w for w, _ in held]
+                ids += self._recurse([d for _, d in held])
                 held, size = [], 0
-        if held:
-            self.cache.update(zip((w for w, _ in held), self._recurse([d for _, d in held])))
+        self._keep(names, ids)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         words = [self.split(t) for t in texts]
-        known, distinct = self.cache, dict.fromkeys(chain.from_iterable(words))
-        new = [w for w in distinct if w not in known]
+        flat = list(chain.from_iterable(words))
+        distinct = dict.fromkeys(flat)
+        new = [w for w in distinct if w not in self.known]
+        if len(self.known) + len(new) > CACHE_WORDS:
+            self._forget()
+            new = list(distinct)
         if new:
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = list(distinct)
             self._learn(new)
-        return [np.concatenate([known[w] for w in ws]) if ws else np.zeros(0, np.int32) for ws in words]
+        at = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+        size = self.size[at]
+        upto = np.cumsum(size)
+        ids = self.flat[np.repeat(self.place[at] - (upto - size), size) + np.arange(size.sum())]
+        ends = np.concatenate([[0], upto])[np.cumsum([len(w) for w in words])]
+        return np.split(ids, ends[:-1])
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         out: list[list[bytes]] = [[] for _ in ids]

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of a chunk; states and words kept.
-CHUNK, STATES, WORDS = 1 << 16, 200_000, 200_000
+CHUNK, STATES, WORDS = 1 << 16, 150_000, 150_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -71,7 +71,7 @@ class Transducer(dict):
         """Whether ``token`` can come right after ``last`` (empty: begin a word)."""
         key = last, token
         if key not in self.fits:
-            if len(self.fits) > 4 * STATES:
+            if len(self.fits) > 2 * STATES:
                 self.fits.clear()
             self.fits[key] = self.merge(last + token) == ([last, token] if last else [token])
         return self.fits[key]
