@@ -98,21 +98,22 @@ def prefix_lengths(strings: list[bytes]) -> list[int]:
 
 
 def front_code(run: list[tuple]) -> bytes:
-    """A sorted run [(suffix, doc, key, first, order)] as bytes."""
+    """A sorted run [(suffix, doc, key, first)] as bytes: their number and the length, then all compressed."""
     strings = [r[0] for r in run]
     same = prefix_lengths(strings)
     rest = [s[n:] for s, n in zip(strings, same)]
     ids = np.array([r[1:4] for r in run], np.int64)
-    return b"".join([len(run).to_bytes(4, "little"), np.array(same, "<u2").tobytes(),
-                     np.array(list(map(len, rest)), "<u2").tobytes(), ids.tobytes(), *rest])
+    data = b"".join([np.array(same, "<u2").tobytes(), np.array(list(map(len, rest)), "<u2").tobytes(), ids.tobytes(), *rest])
+    return len(run).to_bytes(4, "little") + len(data).to_bytes(4, "little") + pa.compress(data, "zstd", asbytes=True)
 
 
 def front_decode(data: bytes):
     """(prefix shared with the one before, suffix, (doc, key, first)) of each entry."""
-    n, at, text = int.from_bytes(data[:4], "little"), 4 + 28 * int.from_bytes(data[:4], "little"), b""
-    same = np.frombuffer(data, "<u2", n, 4)
-    size = np.frombuffer(data, "<u2", n, 4 + 2 * n)
-    ids = np.frombuffer(data, "<i8", 3 * n, 4 + 4 * n).reshape(-1, 3).tolist()
+    n, size = (int.from_bytes(data[i:i + 4], "little") for i in (0, 4))
+    data, at, text = pa.decompress(data[8:], size, "zstd", asbytes=True), 28 * n, b""
+    same = np.frombuffer(data, "<u2", n)
+    size = np.frombuffer(data, "<u2", n, 2 * n)
+    ids = np.frombuffer(data, "<i8", 3 * n, 4 * n).reshape(-1, 3).tolist()
     for s, k, i in zip(same.tolist(), size.tolist(), ids):
         text = text[:s] + data[at:at + k]
         at += k
