@@ -42,6 +42,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         e = store(small, "edges")
         mark = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(mark) == seen:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+                e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         seen = tuple(mark)
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
