@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,28 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """(_doc struct of all columns, _key) for every row of ``docs``; the key names the row in every later scan.
+
+    The key is the row's file (as a digest) and its place there, so it does
+    not depend on how a scan is cut into tasks.  Rows that don't come straight
+    from files are stored first.
+    """
+    def with_key(rows):
+        key = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+        return rows.select(F.struct(*rows.columns).alias("_doc"), key.alias("_key"))
+
+    try:
+        return with_key(docs)
+    except AnalysisException:  # no file behind the rows
+        return with_key(store(docs, "rows"))
+
+
+def chosen(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The documents of ``keyed`` rows whose key is in the column ``_key`` of ``keys``."""
+    return rows.join(keys.hint("shuffle_hash"), "_key", "left_semi").select("_doc.*")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, also where ``body`` uses it inside a lambda."""
     return F.transform(F.array(value), body)[0]

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagecut.llm.common import store
+from pagecut.llm.common import chosen, keyed, store
 from pagecut.llm.components import connected_components
 
 _hash = partial(xxhash.xxh64_intdigest, seed=42)
@@ -213,13 +213,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row of each near-duplicate group of ``docs``, with all its columns.
 
-    The row with the smallest id stays, nulls last; of rows with the same id, the
-    one numbered first.
+    The row with the smallest id stays, nulls last; of rows with the same id, one
+    chosen by its place in the files.
     """
-    numbered = store(docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*docs.columns).alias("_doc")), "numbered")
-    rows = numbered.select("_row", F.col("_doc")[id_col].alias("_id"), F.col("_doc")[text_col].alias("_text"))
-    groups = near_duplicates(rows, "_row", "_text", **options).select(F.col("id").alias("_row"), "component_id")
-    best = rows.select("_row", "_id").join(groups, "_row").groupBy("component_id") \
-        .agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")).alias("best"))
-    keep = best.select(F.col("best._row").alias("_row"))
-    return numbered.join(keep, "_row", "left_semi").select("_doc.*")
+    rows = keyed(docs)
+    own = F.struct(F.col("_doc")[id_col].isNull().alias("none"), F.col("_doc")[id_col].alias("id"), F.col("_key").alias("key"))
+    groups = near_duplicates(rows.select(own.alias("_id"), F.col("_doc")[text_col].alias("_text")), "_id", "_text", **options)
+    return chosen(rows, groups.where(F.col("id") == F.col("component_id")).select(F.col("id.key").alias("_key")))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagecut.llm.common import BLANK, store
+from pagecut.llm.common import BLANK, chosen, keyed, store
 
 #: Characters of the normalised text that a splitter holds.
 PREFIX = 48
@@ -119,6 +119,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all columns of ``docs`` (see ``exact_groups``)."""
-    rows = sorted_runs(docs, id_col, text_col, docs.columns)
+    named = keyed(docs)
+    rows = named.select(F.col("_doc")[id_col].alias("_id"), F.col("_doc")[text_col].alias("_text"), "_key")
+    rows = sorted_runs(rows, "_id", "_text", ["_key"])
     again = F.broadcast(_resumed(rows).select("_part", "_run"))  # at most one row for each partition
-    return rows.where("_at = 0").join(again, ["_part", "_run"], "left_anti").select("_row.*")
+    return chosen(named, rows.where("_at = 0").join(again, ["_part", "_run"], "left_anti").select("_row._key"))

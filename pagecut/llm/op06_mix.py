@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagecut.llm.common import n_words, store
+from pagecut.llm.common import keyed, n_words, store
 
 #: Ranges of the shuffled order within a source; finish times are cut into as many per unit, then each into as many again.
 RANGES = 1024
@@ -123,12 +123,10 @@ def _literal(row):
 
 def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken, with the columns of ``docs``."""
-    names = docs.columns
-    numbered = store(docs.select(F.struct(*names).alias("_doc"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
-                                 F.col(source_col).alias("_source"), F.monotonically_increasing_id().alias("_row"))
-                     .select("_doc", "_row", "_id", "_source", n_words(F.col("_text")).alias("_size")), "numbered")
-    plan = mix_sizes(numbered.select(F.col("_id").alias("id"), F.col("_row").alias("row"), F.col("_source").alias("source"),
-                                     F.col("_size").alias("size")), **options)
-    plan = plan.where("copies > 0").select(F.col("row").alias("_row"), "copies")
-    return numbered.select("_row", "_doc").join(plan, "_row") \
-        .withColumn("copies", F.explode(F.sequence(F.lit(1), "copies"))).select("_doc.*")
+    rows = keyed(docs)
+    doc = F.col("_doc")
+    plan = mix_sizes(rows.select(doc[id_col].alias("id"), F.col("_key").alias("row"), doc[source_col].alias("source"),
+                                 n_words(doc[text_col]).alias("size")), **options)
+    plan = plan.where("copies > 0").select(F.col("row").alias("_key"), "copies")
+    return rows.join(plan.hint("shuffle_hash"), "_key") \
+        .select("_doc", F.explode(F.sequence(F.lit(1), "copies"))).select("_doc.*")
