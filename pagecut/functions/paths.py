@@ -29,9 +29,10 @@ def page_path(root: str | Column, bundle: Column, page: Column, ext: str = "png"
 
 
 def page_number_from_path(path: Column) -> Column:
-    """``.../page_12.png`` -> 12: text after the last ``_``, before the first ``.``."""
+    """``.../page_12.png`` -> 12: text after the last ``_``, before the first ``.``;
+    null for a name without a number."""
     tail = F.element_at(F.split(path, "_"), -1)
-    return F.element_at(F.split(tail, r"\."), 1).cast("int")
+    return F.element_at(F.split(tail, r"\."), 1).try_cast("int")
 
 
 def segment_name(segment_id: Column) -> Column:

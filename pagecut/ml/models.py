@@ -9,8 +9,6 @@ reference job: StandardScaler (mean and std), LogisticRegression with
 
 from __future__ import annotations
 
-import os
-
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
@@ -21,6 +19,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagecut.session import path_status
+
 # Fixed values from the reference job.
 LR_MAX_ITER = 20
 LR_REG_PARAM = 0.1
@@ -76,6 +76,11 @@ def pipeline(classifier, features: str = "features") -> Pipeline:
     return Pipeline(stages=[scaler(), classifier])
 
 
+def joined(*fitted) -> PipelineModel:
+    """One saved-and-loaded unit from stages that were fitted on different rows."""
+    return PipelineModel(stages=list(fitted))
+
+
 def positive_probability(df: DataFrame, prob: str = "probability", out: str = "p1") -> DataFrame:
     return df.withColumn(out, vector_to_array(F.col(prob))[1])
 
@@ -142,8 +147,7 @@ def save_model(model, path: str, overwrite: bool = True) -> None:
 
 def load_model(path: str) -> PipelineModel:
     """Load a saved pipeline, with a clear error when the path does not exist."""
-    local = path[len("file:"):] if path.startswith("file:") else path
-    if "://" not in path and not os.path.exists(local):
+    if path_status(SparkSession.getActiveSession(), path) is None:
         raise FileNotFoundError(f"model not found: {path}")
     return PipelineModel.load(path)
 

@@ -12,10 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagecut.functions.paths import page_number_from_path
+
 # Pages per nested record.  Bounds every collect_list / array in this module.
 PAGE_BLOCK = 1024
 
@@ -77,7 +80,9 @@ def write_label_store(store: DataFrame, path: str, legacy: bool = False, mode: s
 def _read_lines(spark: SparkSession, path: str, whole_file: bool) -> DataFrame | None:
     try:
         return spark.read.text(path, wholetext=whole_file)
-    except Exception:  # a missing store is an empty store
+    except AnalysisException as exc:  # a missing store is an empty store; any other failure is one
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -180,10 +185,11 @@ def lookup_target_pages(targets: DataFrame, names: DataFrame, strict: bool = Tru
 
 def page_label_maps(pages: DataFrame, bundle: str, page: str, label: Column,
                     block: int = PAGE_BLOCK) -> DataFrame:
-    """``map<page, label>`` per ``(bundle, block)``: bounded map records."""
-    return (pages.groupBy(bundle, block_of(F.col(page), block).alias("block"))
-            .agg(F.map_from_entries(F.collect_list(F.struct(F.col(page).cast("int"), label.cast("int"))))
-                 .alias("labels")))
+    """``map<page, label>`` per ``(bundle, block)``: bounded map records.  A page
+    that stands several times gets its largest label."""
+    once = pages.groupBy(bundle, F.col(page).cast("int").alias("__page")).agg(F.max(label.cast("int")).alias("__label"))
+    return (once.groupBy(bundle, block_of(F.col("__page"), block).alias("block"))
+            .agg(F.map_from_entries(F.collect_list(F.struct("__page", "__label"))).alias("labels")))
 
 
 def map_get_default(m: Column, key: Column, default: int = 0) -> Column:
@@ -191,11 +197,12 @@ def map_get_default(m: Column, key: Column, default: int = 0) -> Column:
 
 
 def verify_outputs(inputs: DataFrame, produced: DataFrame, bundle: str, path: str) -> DataFrame:
-    """Per input bundle: pages produced, first and last output path, ``missing``
-    flag when none.  Summaries instead of a full path list per bundle."""
+    """Per input bundle: pages produced, first and last output path in page order,
+    ``missing`` flag when none.  Summaries instead of a full path list per bundle."""
+    order = F.struct(page_number_from_path(F.col(path)).alias("n"), F.col(path).alias("p"))
     agg = produced.groupBy(bundle).agg(F.count(F.lit(1)).alias("n_outputs"),
-                                       F.min(path).alias("first_output"),
-                                       F.max(path).alias("last_output"))
+                                       F.min(order)["p"].alias("first_output"),
+                                       F.max(order)["p"].alias("last_output"))
     return (inputs.select(bundle).distinct().join(agg, bundle, "left")
             .withColumn("n_outputs", F.coalesce("n_outputs", F.lit(0)).cast("bigint"))
             .withColumn("missing", F.col("n_outputs") == 0))

@@ -12,11 +12,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pagecut.operators.prefix import running_sums
-
-MAX_CLASSES = 1_000
+from pagecut.session import materialize
 
 
 def ratio(num: Column, den: Column) -> Column:
@@ -39,16 +37,10 @@ def pair_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 def pair_table(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """``(label, prediction, count)`` computed in one pass over the data and
-    held as a small local table (at most ``MAX_CLASSES^2`` rows, checked), so
-    every report derived from it reuses the single aggregate instead of
-    re-scanning the data."""
-    limit = MAX_CLASSES * MAX_CLASSES
-    got = pair_counts(df, label, prediction).limit(limit + 1).collect()
-    if len(got) > limit:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    schema = T.StructType([df.schema[label], df.schema[prediction],
-                           T.StructField("count", T.LongType())])
-    return df.sparkSession.createDataFrame([tuple(r) for r in got], schema)
+    written to the shared scratch folder, so every report derived from it reuses
+    the single aggregate instead of re-scanning the data, whatever the number
+    of classes."""
+    return materialize(pair_counts(df, label, prediction), "pairs")
 
 
 def _classes(pairs: DataFrame, label: str, prediction: str) -> list:
@@ -198,7 +190,7 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", strategy:
                           ["__desc"], strategy=strategy)
     s = ranked.agg(F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") / F.lit(2.0))).alias("u"),
                    F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return s.select(ratio(F.col("u"), F.col("P") * F.col("N")).alias("auc"),
+    return s.select(ratio(F.col("u"), F.col("P").cast("double") * F.col("N")).alias("auc"),
                     F.col("P").cast("bigint").alias("positives"), F.col("N").cast("bigint").alias("negatives"))
 
 
@@ -242,9 +234,7 @@ def eval_report(df: DataFrame, label: str = "label", prediction: str = "predicti
     are assembled on the driver instead of joining single rows."""
     acc = accuracy_summary(df, label, prediction).first()
     auc = roc_auc(df, label, score).first()
-    dist = class_distribution(df, label, prediction).limit(2 * MAX_CLASSES + 1).collect()
-    if len(dist) > 2 * MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
+    dist = class_distribution(df, label, prediction).collect()
     actual = {str(r["class"]): int(r["count"]) for r in dist if r["kind"] == "actual"}
     predicted = {str(r["class"]): int(r["count"]) for r in dist if r["kind"] == "predicted"}
     schema = ("model_performance struct<accuracy: double, auc_roc: double, total_samples: bigint, "

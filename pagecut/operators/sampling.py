@@ -9,6 +9,7 @@ splits are stable under retries, repartitioning and engine changes.
 from __future__ import annotations
 
 import math
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,22 +39,23 @@ def split_hash(df: DataFrame, id_col: str, test_percent: int = 20, seed: int = 4
 
 def split_exact(df: DataFrame, id_col: str, test_fraction: float = 0.2, seed: int = 42,
                 name: str = "split", strata: str | None = None, strategy: str = "auto") -> DataFrame:
-    """Exactly ``ceil(n * test_fraction)`` rows (fraction in whole percent) to ``test`` (per stratum when
-    ``strata`` is given): rows ranked by ``(hash, id)``; rank from
+    """Exactly ``ceil(n * test_fraction)`` rows to ``test`` (per stratum, null
+    included, when ``strata`` is given): rows ranked by ``(hash, id)``; rank from
     ``running_sums``, so the global ordering is not a single-task window."""
     keyed = df.withColumn("__h", hash32(F.col(id_col), seed))
     keys = [strata] if strata else []
     ranked = running_sums(keyed, {"__rank": F.lit(1)}, ["__h", id_col], keys, strategy=strategy)
-    # ceil(n * percent / 100) in integers: no float rounding at exact multiples
-    pct = int(round(test_fraction * 100))
+    # ceil(n * fraction) in integers, the fraction read as written: no float rounding at exact multiples
+    part = Fraction(str(test_fraction))
+    num, den = part.numerator, part.denominator
     if strata:
-        sizes = df.groupBy(strata).agg(F.count(F.lit(1)).alias("__n"))
-        ranked = ranked.join(sizes, strata, "left")
-        cut = F.floor((F.col("__n") * F.lit(pct) + F.lit(99)) / F.lit(100))
+        sizes = df.groupBy(F.col(strata).alias("__s")).agg(F.count(F.lit(1)).alias("__n"))
+        ranked = ranked.join(sizes, F.col(strata).eqNullSafe(F.col("__s")), "left")
+        cut = F.floor((F.col("__n").cast("decimal(38,0)") * num + (den - 1)) / F.lit(den))
     else:
-        cut = F.lit((df.count() * pct + 99) // 100)
+        cut = F.lit((df.count() * num + den - 1) // den)
     out = ranked.withColumn(name, F.when(F.col("__rank") <= cut, F.lit("test")).otherwise(F.lit("train")))
-    return out.drop("__h", "__rank", "__n")
+    return out.drop("__h", "__rank", "__n", "__s")
 
 
 def split_stratified(df: DataFrame, id_col: str, label: str, test_fraction: float = 0.2,

@@ -162,7 +162,8 @@ SQL = {
         SELECT i.doc_id, CAST(coalesce(o.n, 0) AS BIGINT) AS n_outputs, o.first_output, o.last_output,
                coalesce(o.n, 0) = 0 AS missing
         FROM (SELECT DISTINCT doc_id FROM labels) i
-        LEFT JOIN (SELECT doc_id, count(*) AS n, min(path) AS first_output, max(path) AS last_output
+        LEFT JOIN (SELECT doc_id, count(*) AS n, arg_min(path, page_number) AS first_output,
+                          arg_max(path, page_number) AS last_output
                    FROM {_PATHS} GROUP BY doc_id) o USING (doc_id)""",
     "bundle_metadata": f"""
         SELECT CAST(p.doc_id AS VARCHAR) AS pdf_name, CAST(p.page_number // 1024 AS INTEGER) AS block,

@@ -5,8 +5,6 @@ the streaming split, whose output equals the batch split."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -15,7 +13,7 @@ from pagecut.ml import models
 from pagecut.plans import standins as S
 from pagecut.plans.jobs import (image_pages, predict_and_split, predict_first_pages, predict_from_images,
                                 prepare_images, train, train_from_store, tune)
-from pagecut.session import scratch_path
+from pagecut.session import path_status, scratch_path
 from pagecut.sinks.files import write_binary_files
 from pagecut.sources.files import read_images
 from pagecut.sources.tables import table
@@ -44,8 +42,7 @@ def q_job_train(spark, root):
     path = scratch_path(spark, "model")
     res = train(_rows(spark, root), "vec_id", "y", model_path=path)
     m = dict(res.metrics)
-    m["model_saved"] = float(os.path.exists(path[len("file:"):] if path.startswith("file:") else path)
-                             or "://" in path)
+    m["model_saved"] = float(path_status(spark, path) is not None)
     return _metrics_frame(spark, m)
 
 
@@ -179,7 +176,10 @@ def q_augment_full(spark, root):
 
 def q_stream_bundle_to_pages(spark, root):
     schema = table(spark, root, "documents").schema
-    pages = page_stream(spark, root, schema, "doc_id", "text", pattern="documents.parquet")
+    # one file, or on a cluster a folder of part files
+    whole = path_status(spark, f"{root}/documents.parquet").isDirectory()
+    source, pattern = (f"{root}/documents.parquet", "*.parquet") if whole else (root, "documents.parquet")
+    pages = page_stream(spark, source, schema, "doc_id", "text", pattern=pattern)
     sink = scratch_path(spark, "stream-pages")
     q = write_page_stream(pages, sink, scratch_path(spark, "stream-ckpt"))
     q.awaitTermination()

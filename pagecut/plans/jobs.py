@@ -82,10 +82,12 @@ def train(rows: DataFrame, id_col: str, label: str, features: str = "features",
         tr = M.weight_column(tr, weights, "label")
         clf = classifier if classifier is not None else models.logistic(weight="weight")
     else:
-        if oversample:
-            tr = oversample_minority(tr, "label", id_col, seed=seed)
         clf = classifier if classifier is not None else models.logistic()
-    model = models.pipeline(clf).fit(tr)
+    # the scaler sees each training row once, before any row is repeated
+    sc = models.scaler().fit(tr)
+    if oversample and not class_weights:
+        tr = oversample_minority(tr, "label", id_col, seed=seed)
+    model = models.joined(sc, clf.fit(sc.transform(tr)))
     pred = model.transform(te)
     metrics = models.evaluate_all(pred)
     if model_path:
@@ -173,8 +175,7 @@ class TuneResult:
 def tune(rows: DataFrame, id_col: str, label: str, features: str = "features",
          model_path: str | None = None, parallelism: int = 4, seed: int = 42,
          test_percent: int = 20) -> TuneResult:
-    """Scaler fitted on all rows (as the reference does), hash split, 3-fold
-    CV (hash folds) over the grid on the training part, best model scored on
+    """Hash split, scaler fitted on the training part, 3-fold CV (hash folds) over the grid on the training part, best model scored on
     the held-out part with the area under ROC.
 
     Returns the best model, the grid metrics table, the held-out AUC (binned
@@ -184,26 +185,20 @@ def tune(rows: DataFrame, id_col: str, label: str, features: str = "features",
     data = rows.where(F.col(features).isNotNull()).select(
         id_col, F.col(label).cast("int").alias("label"), features)
     data = models.to_vector(data, features).withColumn("fold", fold_column(F.col(id_col), 3, seed))
-    sc = models.scaler().fit(data)
+    data = split_hash(data, id_col, test_percent, seed)
+    sc = models.scaler().fit(data.where(F.col("split") == "train"))
     # 82 fits read the scaled table: compute it once
-    scaled = materialize(split_hash(sc.transform(data), id_col, test_percent, seed)
+    scaled = materialize(sc.transform(data)
                          .select(id_col, "label", "fold", "split", "scaled_features"), "tune-input")
     train_part = scaled.where(F.col("split") == "train")
-    try:
-        cv_model = models.cross_validate(train_part, "label", "fold", parallelism)
-    except Exception as exc:  # a JVM-side failure of one parallel fit: retry once, inputs are on disk
-        if "java" not in type(exc).__module__ and "Java" not in type(exc).__name__ \
-                and "pyspark.errors" not in type(exc).__module__:
-            raise
-        import logging
-        logging.getLogger(__name__).warning("cross-validation failed (%s); retrying once", exc)
-        cv_model = models.cross_validate(train_part, "label", "fold", parallelism)
+    cv_model = models.cross_validate(train_part, "label", "fold", parallelism)
     table = models.cv_metrics_table(cv_model, rows.sparkSession)
     held_out = cv_model.bestModel.transform(scaled.where(F.col("split") == "test"))
     auc = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC").evaluate(held_out)
+    best = models.joined(sc, cv_model.bestModel)
     if model_path:
-        models.save_model(cv_model.bestModel, model_path)
-    return TuneResult(cv_model.bestModel, table, auc, held_out)
+        models.save_model(best, model_path)
+    return TuneResult(best, table, auc, held_out)
 
 
 def bundle_page_counts(pages: DataFrame, bundle: str) -> DataFrame:
@@ -219,7 +214,8 @@ def image_pages(spark, root: str, size: tuple[int, int] = (224, 224)) -> DataFra
     from pagecut.sources.files import read_images
 
     img = read_images(spark, root)
-    path = F.col("image.origin")
+    # the image source gives URIs: names come back as they are in the store ("+" stays)
+    path = F.url_decode(F.replace(F.col("image.origin"), F.lit("+"), F.lit("%2B")))
     folder = F.element_at(F.split(path, "/"), -2)
     return img.select(folder.alias("pdf_name"), page_number_from_path(basename(path)).alias("page_number"),
                       path.alias("path"), image_features(F.col("image"), size[0], size[1]).alias("features"))

@@ -64,8 +64,9 @@ def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 << 20,
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared scratch root: the cluster's ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (a local test) a private folder is
-    created and registered as the checkpoint directory.
+    Only when nothing is configured and the master is local (a test) a private
+    folder is created and registered as the checkpoint directory; on a cluster a
+    machine-local folder would be lost with its machine, so that is an error.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc._conf.get("spark.checkpoint.dir", None)
@@ -73,6 +74,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="pagecut-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -92,3 +95,11 @@ def materialize(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def path_status(spark: SparkSession, path: str):
+    """Hadoop's status of ``path`` on the file system that it names (the default one without a scheme); None if missing."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getFileStatus(at) if fs.exists(at) else None
