@@ -147,7 +147,7 @@ def augment_udf(h: int, w: int, variants: int, rotation: float = 10.0, zoom: flo
     x/y shifts (fractions of the size) drawn from a generator seeded by
     ``(seed, id, variant)``, so a retried task yields the same rows.  Pixels
     are resampled bilinearly; outside points take the nearest edge pixel; no
-    flips.
+    flips.  An image of another size, or without pixels, gives null pixels.
     """
     yy, xx = np.mgrid[0:h, 0:w].astype(np.float64)
     cy, cx = (h - 1) / 2.0, (w - 1) / 2.0
@@ -170,15 +170,12 @@ def augment_udf(h: int, w: int, variants: int, rotation: float = 10.0, zoom: flo
 
     def run(batches, id_col: str, pix_col: str):
         for pdf in batches:
-            rows = []
-            for rid, px in zip(pdf[id_col], pdf[pix_col]):
-                if px is None or len(px) != h * w:
-                    continue
-                img = np.asarray(px, dtype=np.float64).reshape(h, w)
-                for v in range(variants):
-                    rng = np.random.default_rng([seed, int(rid), v])
-                    rows.append((rid, v, one(img, rng).ravel().tolist()))
-            yield pd.DataFrame(rows, columns=[id_col, "variant", pix_col])
+            for rid, px in zip(pdf[id_col], pdf[pix_col]):  # one image's variants are held at a time
+                fits = px is not None and len(px) == h * w
+                img = np.asarray(px, dtype=np.float64).reshape(h, w) if fits else None
+                rows = [(rid, v, one(img, np.random.default_rng([seed, int(rid), v])).ravel().tolist() if fits else None)
+                        for v in range(variants)]
+                yield pd.DataFrame(rows, columns=[id_col, "variant", pix_col])
     return run
 
 

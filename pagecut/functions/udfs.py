@@ -28,10 +28,6 @@ class SplitPages:
             yield i, page
 
 
-def register_split_pages(spark: SparkSession, name: str = "split_pages") -> None:
-    spark.udtf.register(name, SplitPages)
-
-
 def register_is_first_page(spark: SparkSession, page_labels: DataFrame,
                            name: str = "is_first_page", view: str = "pagecut_page_labels") -> None:
     """SQL function ``is_first_page(bundle, page) -> int`` (1 or default 0).

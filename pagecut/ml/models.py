@@ -81,10 +81,6 @@ def joined(*fitted) -> PipelineModel:
     return PipelineModel(stages=list(fitted))
 
 
-def positive_probability(df: DataFrame, prob: str = "probability", out: str = "p1") -> DataFrame:
-    return df.withColumn(out, vector_to_array(F.col(prob))[1])
-
-
 def evaluate_all(pred: DataFrame, label: str = "label") -> dict[str, float]:
     """Accuracy, weightedPrecision, weightedRecall, f1 (weighted) and exact
     areaUnderROC of a scored DataFrame, from two passes: one pair-count

@@ -140,9 +140,11 @@ def log_loss(df: DataFrame, label: str, prob: Column, eps: float = 1e-7) -> Data
 
 
 def _score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
-    return df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("score")).agg(
+    """Positives and negatives per distinct score, written once: ranking and totals reread them."""
+    counts = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("score")).agg(
         F.sum((F.col(label) == 1).cast("long")).alias("pos"),
         F.sum((F.col(label) != 1).cast("long")).alias("neg"))
+    return materialize(counts, "scores")
 
 
 def _totals(counts: DataFrame) -> tuple[int, int]:
@@ -213,6 +215,7 @@ def error_table(df: DataFrame, label: str, prediction: str, confidence: str, bun
     """Misclassified pages in the error-analysis layout: ``True_Label,
     Predicted_Label, Confidence, PDF_Name, Page_Number``; metadata travels
     with the rows, so no positional join is needed."""
+    # fixed names: the columns of the error table
     return error_rows(df, label, prediction).select(
         F.col(label).cast("int").alias("True_Label"), F.col(prediction).cast("int").alias("Predicted_Label"),
         F.col(confidence).cast("float").alias("Confidence"), F.col(bundle).cast("string").alias("PDF_Name"),
@@ -232,17 +235,19 @@ def eval_report(df: DataFrame, label: str = "label", prediction: str = "predicti
 
     The parts are one-row aggregates (and at most ``2k`` class counts), so they
     are assembled on the driver instead of joining single rows."""
-    acc = accuracy_summary(df, label, prediction).first()
+    pairs = pair_table(df, label, prediction)  # accuracy and class counts come from the one aggregate
     auc = roc_auc(df, label, score).first()
-    dist = class_distribution(df, label, prediction).collect()
-    actual = {str(r["class"]): int(r["count"]) for r in dist if r["kind"] == "actual"}
-    predicted = {str(r["class"]): int(r["count"]) for r in dist if r["kind"] == "predicted"}
+    wrong = F.when(F.col(label) != F.col(prediction), F.col("count")).otherwise(0)
+    acc = pairs.agg(F.sum("count").alias("total"), F.sum(wrong).alias("errors")).first()
+    actual = {str(r[0]): int(r[1]) for r in pairs.groupBy(label).agg(F.sum("count")).collect()}
+    predicted = {str(r[0]): int(r[1]) for r in pairs.groupBy(prediction).agg(F.sum("count")).collect()}
+    # fixed names: the report's fields
     schema = ("model_performance struct<accuracy: double, auc_roc: double, total_samples: bigint, "
               "error_rate: double>, class_distribution struct<actual: map<string, bigint>, "
               "predicted: map<string, bigint>>")
-    total, errors = int(acc["total"]), int(acc["errors"])
+    total, errors = int(acc["total"] or 0), int(acc["errors"] or 0)
     # the report's error rate is a fraction (the printed rate is a percentage)
-    row = ((float(acc["accuracy"]), float(auc["auc"]), total, errors / total if total else 0.0),
+    row = (((total - errors) / total if total else 0.0, float(auc["auc"]), total, errors / total if total else 0.0),
            (actual, predicted))
     return df.sparkSession.createDataFrame([row], schema)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,13 +14,13 @@ from pagecut.operators.prefix import running_sums
 def text_to_pages(df: DataFrame, bundle: str, text: str, sep: str = "\n",
                   page_col: str = "page_number", out_col: str = "page_text",
                   keep: Sequence[str] = ()) -> DataFrame:
-    """One row per page of a text bundle; ``sep`` (a regex) ends a page.
+    """One row per page of a text bundle; ``sep`` (literal text) ends a page.
 
     Page numbers are 0-based.  ``posexplode`` runs inside the scan stage:
     no shuffle, and a huge bundle is split by the generator row by row, never
     gathered.  A null text yields no page, an empty one yields one empty page.
     """
-    return df.select(F.col(bundle), *keep, F.posexplode(F.split(F.col(text), sep)).alias(page_col, out_col)) \
+    return df.select(F.col(bundle), *keep, F.posexplode(F.split(F.col(text), re.escape(sep))).alias(page_col, out_col)) \
         .withColumn(page_col, F.col(page_col).cast("int"))
 
 

@@ -16,15 +16,15 @@ a single task by construction.
 3. summarises each chunk by the totals of its first and last key (at most two
    rows per chunk) with two small aggregates;
 4. turns the summary into the carry-in of every chunk's first key (a window
-   over at most ``2 n`` rows) and adds it back through a broadcast join whose
-   size is bounded by ``n``, a setting, not by the data.
+   over at most ``2 n`` rows) and adds it back through a join, broadcast while
+   ``2 n`` is at most ``BROADCAST_ROWS``.
 
 The ``window`` strategy is the plain window (one shuffle on the keys).
 ``auto`` measures group sizes with one aggregate over the key columns; groups
 above ``hot_rows`` go through the chunked path and all other groups through
 the plain window, and the two results are unioned.  The hot-key list used to
-split the input has at most ``total_rows / hot_rows`` entries, so it is
-broadcast with a proven bound.  The number of chunks grows with the rows that
+split the input has at most ``total_rows / hot_rows`` entries; it is
+broadcast while that bound is at most ``BROADCAST_ROWS``.  The number of chunks grows with the rows that
 take the chunked path (``rows_per_chunk``).
 """
 
@@ -40,6 +40,8 @@ from pyspark.sql import types as T
 DEFAULT_HOT_ROWS = 2_000_000
 # Target rows per chunk of the chunked strategy.
 DEFAULT_ROWS_PER_CHUNK = 4_000_000
+# A key list or carry table is broadcast up to this many rows; beyond, Catalyst plans the join.
+BROADCAST_ROWS = 200_000
 
 
 def _names(cols: Sequence[str | Column]) -> list[str]:
@@ -51,14 +53,6 @@ def _names(cols: Sequence[str | Column]) -> list[str]:
     return out
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the largest group (partial aggregation, key columns only)."""
-    if not keys:
-        return df.count()
-    row = df.groupBy(*keys).count().agg(F.max("count").alias("m")).first()
-    return int(row["m"] or 0)
-
-
 def running_sums(df: DataFrame, values: dict[str, Column], order: Sequence[str],
                  keys: Sequence[str] = (), *, strategy: str = "auto",
                  num_chunks: int | None = None, hot_rows: int = DEFAULT_HOT_ROWS,
@@ -96,7 +90,7 @@ def running_sums(df: DataFrame, values: dict[str, Column], order: Sequence[str],
     if (stats["m"] or 0) <= hot_rows:
         return _window(df, values, order, keys)
     hot_keys = sizes.where(F.col("__n") > hot_rows).select(*keys)
-    hot_keys = F.broadcast(hot_keys)  # at most total_rows / hot_rows entries
+    hot_keys = _small(hot_keys, int(stats["hot"]) // hot_rows)  # each stands for over hot_rows rows
     cond = [df[k].eqNullSafe(hot_keys[k]) for k in keys]
     hot = df.join(hot_keys, on=cond, how="left_semi")
     cold = df.join(hot_keys, on=cond, how="left_anti")
@@ -106,6 +100,11 @@ def running_sums(df: DataFrame, values: dict[str, Column], order: Sequence[str],
     return out_cold.unionByName(out_hot.select(*out_cold.columns))
 
 
+def _small(df: DataFrame, max_rows: int) -> DataFrame:
+    """``df`` with a broadcast hint if its proven bound allows it."""
+    return F.broadcast(df) if max_rows <= BROADCAST_ROWS else df
+
+
 def _chunks_for(df: DataFrame, rows: int, rows_per_chunk: int) -> int:
     base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(base, -(-rows // rows_per_chunk))
@@ -175,7 +174,7 @@ def _chunked(df: DataFrame, values: dict[str, Column], order: list[str],
     carry = carry.select(*[F.col(c).alias("__k" + c) for c in ["__chunk", *keys]],
                          *["__c" + c for c in vcols])
     cond = [local[c].eqNullSafe(carry["__k" + c]) for c in ["__chunk", *keys]]
-    joined = local.join(F.broadcast(carry), on=cond, how="left")
+    joined = local.join(_small(carry, 2 * n), on=cond, how="left")
     out = joined.drop(*["__k" + c for c in ["__chunk", *keys]])
     for name in values:
         c = tmp[name]

@@ -85,29 +85,16 @@ def oversample_minority(df: DataFrame, label: str, id_col: str, minority=1, seed
     rem = ratio - whole
     frac = hash32(F.col(id_col), seed, ":os").cast("double") / F.lit(4294967296.0)
     copies = F.lit(whole) + F.when(frac < F.lit(rem), 1).otherwise(0)
-    n_copies = F.when(F.col(label) == minority, copies).otherwise(F.lit(1))
-    if whole < COPY_BLOCK:
-        return df.withColumn(copy_col, F.explode(F.sequence(F.lit(0), n_copies - 1)))
-    # a tiny minority against a huge majority: generate copies in blocks and
-    # spread the blocks over tasks before expanding them
+    is_minor = F.col(label).eqNullSafe(F.lit(minority))
+    # minority copies come in blocks, dealt over tasks before they are expanded; majority rows stay where they are
     b = F.lit(COPY_BLOCK)
-    blocks = df.withColumn("__n", n_copies).withColumn(
+    major = df.where(~is_minor).withColumn(copy_col, F.lit(0))
+    blocks = df.where(is_minor).withColumn("__n", copies).withColumn(
         "__b", F.explode(F.sequence(F.lit(0), F.floor((F.col("__n") - 1) / b).cast("int"))))
-    blocks = blocks.repartition(F.col(id_col), F.col("__b"))
-    out = blocks.withColumn(copy_col, F.explode(F.sequence(
+    blocks = blocks.where(F.col("__n") > 0).repartition(F.col(id_col), F.col("__b"))
+    minor = blocks.withColumn(copy_col, F.explode(F.sequence(
         (F.col("__b") * b).cast("int"), (F.least(F.col("__n"), (F.col("__b") + 1) * b) - 1).cast("int"))))
-    return out.drop("__n", "__b")
-
-
-def seeded_oversample(df: DataFrame, label: str, minority=1, seed: int = 42) -> DataFrame:
-    """The reference's form: majority plus ``sample(True, n0/n1, seed)`` of the
-    minority (varies with partitioning)."""
-    n0, n1 = class_counts(df, label, minority)
-    if n1 == 0:
-        raise ValueError("cannot oversample: the minority class has no rows")
-    major = df.where(F.col(label) != minority)
-    minor = df.where(F.col(label) == minority).sample(True, n0 / n1, seed)
-    return major.unionByName(minor)
+    return major.unionByName(minor.drop("__n", "__b"))
 
 
 def fold_column(id_col: Column, k: int = 3, seed: int = 42) -> Column:

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagecut.functions.paths import segment_name
 from pagecut.operators.prefix import running_sums
 
 # Pages per bin of the range join; a page meets at most the segments that
@@ -74,7 +75,7 @@ def segment_ranges(seg_pages: DataFrame, keys: Sequence[str], page_col: str = "p
         out = out.join(nxt, on=[*keys, "segment_id"], how="left")
         end = F.coalesce("__next", "total_pages")
     return (out.withColumn("end_page", end.cast("int"))
-            .withColumn("segment_name", F.concat(F.lit("segment_"), F.col("segment_id").cast("string")))
+            .withColumn("segment_name", segment_name(F.col("segment_id")))
             .drop("__next", "__end"))
 
 

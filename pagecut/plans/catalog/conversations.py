@@ -32,10 +32,10 @@ def q_label_store_roundtrip(spark, root):
 
 def q_label_store_legacy(spark, root):
     path = _written_store(spark, root, legacy=True)
-    entries = spark.read.text(path).select(F.explode(F.from_json("value", L.LEGACY_TYPE)).alias("bundle", "pages"))
-    n_targets = entries.groupBy("bundle").agg(F.sum(F.size("pages")).cast("bigint").alias("n_targets"))
+    targets = L.read_store_targets(spark, path, legacy=True)
+    n_targets = targets.groupBy("bundle").agg(F.count("page_number").alias("n_targets"))
     present = S.conversation_pages(spark, root).select("bundle")
-    totals = L.legacy_totals(entries.select("bundle"), present)
+    totals = L.legacy_totals(targets, present)
     return n_targets.join(totals, "bundle", "inner").select("bundle", "total_pages", "n_targets")
 
 

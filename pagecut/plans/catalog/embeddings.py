@@ -172,6 +172,11 @@ def q_split_exact(spark, root):
     return split_exact(table(spark, root, "embeddings").select("vec_id"), "vec_id").select("vec_id", "split")
 
 
+def q_split_exact_chunked(spark, root):
+    ids = table(spark, root, "embeddings").select("vec_id")
+    return split_exact(ids, "vec_id", strategy="chunked").select("vec_id", "split")
+
+
 def q_split_stratified(spark, root):
     e = table(spark, root, "embeddings").select("vec_id", "label")
     return split_stratified(e, "vec_id", "label").select("vec_id", "label", "split")
@@ -250,6 +255,7 @@ QUERIES = {
     "scaled_features": q_scaled_features,
     "split_hash": q_split_hash,
     "split_exact": q_split_exact,
+    "split_exact_chunked": q_split_exact_chunked,
     "split_stratified": q_split_stratified,
     "oversample_minority": q_oversample_minority,
     "union_balanced": q_union_balanced,
@@ -347,3 +353,5 @@ SQL = {
     "scan_images": f"""SELECT vec_id, 8 AS height, 8 AS width, 1 AS n_channels, CAST(sum(p) AS BIGINT) AS pixel_sum
         FROM {_PXE} GROUP BY vec_id""",
 }
+
+SQL["split_exact_chunked"] = SQL["split_exact"]

@@ -18,11 +18,15 @@ KEYS = ["user_id"]
 ORDER = ["ts", "event_id"]
 
 
-def q_segment_pages(spark, root):
-    seg = segment_pages(S.events(spark, root), KEYS, ORDER, S.is_signup())
+def q_segment_pages(spark, root, strategy="auto"):
+    seg = segment_pages(S.events(spark, root), KEYS, ORDER, S.is_signup(), strategy=strategy)
     return seg.select("event_id", "user_id", "page_number", "segment_id")
 
 
+def q_segment_pages_chunked(spark, root):
+    return q_segment_pages(spark, root, strategy="chunked")
+
+
 def q_page_numbering(spark, root):
     return number_pages(S.events(spark, root), KEYS, ORDER).select("event_id", "user_id", "page_number")
 
@@ -93,6 +97,7 @@ def q_event_props(spark, root):
 
 QUERIES = {
     "segment_pages": q_segment_pages,
+    "segment_pages_chunked": q_segment_pages_chunked,
     "page_numbering": q_page_numbering,
     "segment_ranges": q_segment_ranges,
     "segment_range_join": q_segment_range_join,
@@ -128,6 +133,7 @@ FROM seg s JOIN tot t USING (user_id)"""
 
 SQL = {
     "segment_pages": _SEGMENT_PAGES,
+    "segment_pages_chunked": _SEGMENT_PAGES,
     "page_numbering": f"SELECT event_id, user_id, page_number FROM ({_NUMBERED})",
     "segment_ranges": _RANGES,
     "segment_range_join": _SEGMENT_PAGES,

@@ -46,11 +46,15 @@ def q_binary_metrics(spark, root):
     return b.select(*[r6(c).alias(c) for c in b.columns])
 
 
-def q_roc_curve(spark, root):
-    c = M.roc_curve(_fx(spark, root))
+def q_roc_curve(spark, root, strategy="auto"):
+    c = M.roc_curve(_fx(spark, root), strategy=strategy)
     return c.select(r6("threshold").alias("threshold"), r6("fpr").alias("fpr"), r6("tpr").alias("tpr"))
 
 
+def q_roc_curve_chunked(spark, root):
+    return q_roc_curve(spark, root, strategy="chunked")
+
+
 def q_roc_auc(spark, root):
     a = M.roc_auc(_fx(spark, root))
     return a.select(r6("auc").alias("auc"), "positives", "negatives")
@@ -111,6 +115,7 @@ QUERIES = {
     "weighted_metrics": q_weighted_metrics,
     "binary_metrics": q_binary_metrics,
     "roc_curve": q_roc_curve,
+    "roc_curve_chunked": q_roc_curve_chunked,
     "roc_auc": q_roc_auc,
     "error_rows": q_error_rows,
     "error_examples": q_error_examples,
@@ -214,3 +219,5 @@ SQL = {
     "metric_strings": f"""SELECT printf('%.4f', (total - errors) / total) AS accuracy_text,
                                  printf('%.2f%%', 100.0 * errors / total) AS error_rate_text FROM {_ACC}""",
 }
+
+SQL["roc_curve_chunked"] = SQL["roc_curve"]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pagecut.ml import models
 from pagecut.operators import labels as L
 from pagecut.operators import metrics as M
-from pagecut.operators.pages import pages_per_bundle, text_page_features
+from pagecut.operators.pages import text_page_features
 from pagecut.operators.sampling import fold_column, oversample_minority, split_hash
 from pagecut.operators.segments import segment_pages, segment_ranges, write_segments
 from pagecut.session import materialize
@@ -201,10 +201,6 @@ def tune(rows: DataFrame, id_col: str, label: str, features: str = "features",
     return TuneResult(best, table, auc, held_out)
 
 
-def bundle_page_counts(pages: DataFrame, bundle: str) -> DataFrame:
-    return pages_per_bundle(pages, bundle)
-
-
 def image_pages(spark, root: str, size: tuple[int, int] = (224, 224)) -> DataFrame:
     """Page images ``<root>/<bundle>/page_<i>.png`` -> ``(pdf_name, page_number,
     path, features)``; the page number comes from the file name (gaps are

@@ -44,12 +44,13 @@ PAGE_SCHEMA = T.StructType([
 
 
 def binary_to_pages(files: DataFrame, splitter: Callable[[bytes], list[bytes]],
-                    name: Column | None = None) -> DataFrame:
+                    name: Column | None = None, report_errors: bool = False) -> DataFrame:
     """Split binary bundles into pages with a pluggable ``splitter``.
 
     ``splitter(content) -> [page bytes]`` runs in ``mapInPandas``; a bundle
     that cannot be opened gives no page (never a failed task).  Pages are
-    numbered from 0.
+    numbered from 0.  With ``report_errors`` such a bundle gives a row without page
+    number and content, and the column ``error`` says why.
     """
     from pagecut.functions.paths import basename, strip_extension
 
@@ -58,12 +59,18 @@ def binary_to_pages(files: DataFrame, splitter: Callable[[bytes], list[bytes]],
 
     def run(batches):
         for pdf in batches:
-            rows = []
             for bundle, content in zip(pdf["pdf_name"], pdf["content"]):
                 try:
-                    pages = splitter(bytes(content)) if content is not None else []
-                except Exception:  # unreadable bundle -> empty page list
-                    pages = []
-                rows.extend((bundle, i, p) for i, p in enumerate(pages))
-            yield pd.DataFrame(rows, columns=["pdf_name", "page_number", "content"])
-    return src.mapInPandas(run, PAGE_SCHEMA)
+                    pages, error = splitter(bytes(content)) if content is not None else [], None
+                except Exception as exc:  # noqa: BLE001 - any failure of the splitter is the bundle's
+                    pages, error = [], f"{type(exc).__name__}: {exc}"
+                rows = [(bundle, i, p, None) for i, p in enumerate(pages)]
+                if error and report_errors:
+                    rows = [(bundle, None, None, error)]
+                out = pd.DataFrame(rows, columns=schema.names)
+                out["page_number"] = out["page_number"].astype("Int32")
+                yield out
+
+    schema = T.StructType([*PAGE_SCHEMA, T.StructField("error", T.StringType())])
+    found = src.mapInPandas(run, schema)
+    return found if report_errors else found.drop("error")

@@ -12,7 +12,3 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """``<root>/<name>.parquet``; filters and projections push into the scan."""
     return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
-
-def register_views(spark: SparkSession, root: str, names=TABLES) -> None:
-    for n in names:
-        table(spark, root, n).createOrReplaceTempView(n)

@@ -16,9 +16,9 @@ def test_session_is_reused(spark):
 
 
 def test_smoke_frames(spark):
-    df = frame(spark, [("Alice", 34), ("Bob", 45), ("Cathy", 29)], ["Name", "Age"])
-    assert dict(df.dtypes)["Age"] == "bigint"
-    assert df.groupBy().avg("Age").first()[0] == 36.0
+    df = frame(spark, [("p-07", 12), ("p-19", 3), ("p-23", 6), ("p-31", 0)], ["part", "stock"])
+    assert dict(df.dtypes)["stock"] == "bigint"
+    assert df.groupBy().avg("stock").first()[0] == 5.25
     assert [r["square"] for r in squares(spark, 1, 6).collect()] == [1, 4, 9, 16, 25]
 
 
@@ -48,18 +48,20 @@ def test_binary_bundles_to_pages(spark):
     local = d[len("file:"):] if d.startswith("file:") else d
     import os
     os.makedirs(local)
-    for name, body in {"a.pdf": b"p0|p1|p2", "b.pdf": b"q0", "bad.pdf": b"", "note.txt": b"x"}.items():
+    for name, body in {"a.pdf": b"p0|p1|p2", "b.pdf": b"q0", "bad.pdf": b"", "torn.pdf": b"!", "note.txt": b"x"}.items():
         with open(os.path.join(local, name), "wb") as fh:
             fh.write(body)
     files = list_files(spark, d, "*.pdf", with_content=True)
 
     def splitter(content: bytes):
-        if not content:
+        if content in (b"", b"!"):
             raise ValueError("cannot open")
         return content.split(b"|")
     pages = binary_to_pages(files, splitter)
     got = rows(pages, "pdf_name", "page_number")
     assert got == [("a", 0), ("a", 1), ("a", 2), ("b", 0)]
+    told = binary_to_pages(files, splitter, report_errors=True).where("error is not null").collect()
+    assert [(r["pdf_name"], r["page_number"], r["error"]) for r in told] == [("torn", None, "ValueError: cannot open")]  # an empty file is not listed with content
 
 
 def test_augmentation_is_deterministic():
@@ -70,3 +72,7 @@ def test_augmentation_is_deterministic():
     assert len(a) == 6 and all(x == y for x, y in zip(a["px"], b["px"]))
     # bilinear resampling of an image stays within its value range
     assert min(a["px"].iloc[0]) >= 0.0 and max(a["px"].iloc[0]) <= 63.0
+    # images of another size and missing ones keep their rows
+    odd = pd.DataFrame({"id": [3, 4], "px": [[1.0, 2.0], None]})
+    out = pd.concat(run(iter([odd]), "id", "px"))
+    assert list(out["id"]) == [3, 3, 3, 4, 4, 4] and out["px"].isna().all()
