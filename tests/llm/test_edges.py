@@ -154,6 +154,19 @@ def test_line_rules(spark):
     assert got[102].base_failed and got[102].n_repeat_words == 72
 
 
+def test_line_limit_is_alike_in_hosts_of_any_size(spark):
+    own = lambda i: f"own {i} " + " ".join(f"w{i}x{j}" for j in range(25))
+    often, seldom = " ".join(f"often{j}" for j in range(30)), " ".join(f"seldom{j}" for j in range(30))
+    rows = [(i, own(i), "big") for i in range(3000)] + [(i, own(i), "small") for i in range(3000, 3100)]
+    for at, host in ((10_000, "big"), (20_000, "small")):
+        rows += [(at + i, f"{often}\n{own(at + i)}", host) for i in range(20)] + [(at + 20, often, host)]
+        rows += [(at + 30 + i, f"{seldom}\n{own(at + i)}", host) for i in range(20)]
+    got = {r.id: r for r in op08.line_quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    for at in (10_000, 20_000):  # 21 documents of 3,061 and of 161 hold the line; 20 hold the other
+        assert got[at].n_removed_words == 30 and got[at].kept and got[at + 30].n_removed_words == 0
+        assert got[at + 20].n_removed_words == 30 and not got[at + 20].base_failed and not got[at + 20].kept
+
+
 PII = ["mail a.b+c@x-y.co.uk, .a@b.c..d @x a@b a..b@c.d.", "1.2.3.4 256.1.1.1 1.2.3.4.5.6.7.8 0001.002.3.4 1.2.3", "+1 (555) 010-9999 +12 +1--2--3--4--5--6--7--8--9 x",
        "4111 1111 1111 1111 4111-1111-1111-1112 4111  1111 1111 1111 1234567890123456789012", "a@b.com_x@y.com z@q.w.@e.r", None, "", "é漢 a@b.c \U0001f642 1.2.3.4 x@y.z", "+" * 50 + "1" * 40,
        "a@b" + ".c" * 20_000, "1 " * 20_000 + "1", "1." * 20_000, "x" * 50_000 + "@"]
