@@ -13,12 +13,18 @@ front-coded (common prefix with the suffix before, rest).  Each range merges
 its runs in a loser tree that compares two suffixes only beyond the prefix
 they are known to share with the last one out.  Neighbours with a common
 prefix of a whole gram form a group, inside which windows are compared in full.
+
+A gram that spans sampled splitters is cut over ranges, and a group of more than
+``GROUP`` suffixes is passed on piece by piece: each piece compares its own
+windows, and the first of each travel by a 128-bit digest, so a hot gram is
+decided by as many tasks as it has distinct windows.
 """
 
 from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +32,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagecut.llm.common import store
+
 GRAM = 32
 #: Documents that the splitters are fitted on, and anchors of each.
 SAMPLE_DOCS, SAMPLE_ANCHORS = 2000, 32
+#: Suffixes of one gram that are compared at once.
+GROUP = 1 << 13
+#: Bytes of text for each range of suffixes, at most.
+RANGE = 1 << 26
 _BLOCK = 1 << 19  # bytes of a text whose anchors are sought at once
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -180,11 +192,12 @@ def merge_runs(runs):
             at //= 2
 
 
-def repeated_in_group(group: dict, length: int):
+def repeated_in_group(group: dict, length: int, firsts: list | None = None):
     """(key, start, end) stretches of a group's suffixes whose windows occur earlier in it.
 
     ``group`` maps a suffix (with its extent) to the earliest (doc, key,
-    first window); all its suffixes share the anchor's gram.
+    first window); all its suffixes share the anchor's gram.  Windows that don't
+    occur earlier are added to ``firsts`` as (digest, doc, key, start).
     """
     seen = set()
     for suffix, (doc, key, first) in sorted(group.items(), key=lambda x: x[1]):
@@ -197,6 +210,9 @@ def repeated_in_group(group: dict, length: int):
                 start = i if start is None else start
             else:
                 seen.add(window)
+                if firsts is not None:
+                    digest = hashlib.blake2b(bytes((window[0],)) + window[1], digest_size=16).digest()
+                    firsts.append((digest, doc, key, first + i))
                 if start is not None:
                     yield key, first + start, first + i - 1 + length
                     start = None
@@ -239,26 +255,30 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     spark = docs.sparkSession
     if not GRAM * 2 <= length <= 128:
         raise ValueError("length must be from 64 to 128")
-    ranges = ranges or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), text.cast("binary").alias("text"),
                        F.xxhash64(F.col(id_col), text).alias("key"))
 
     # splitters between ranges of suffixes
-    n = rows.count()
+    n, n_bytes = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    ranges = ranges or max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), n_bytes // RANGE)
 
     def some(batches):
         for b in batches:
             found = []
             for t in b.column(0):
                 data = t.as_py()
-                places = anchors(data, length)[1]
-                found += [data[p:p + GRAM] for p in places[::max(1, len(places) // SAMPLE_ANCHORS)][:SAMPLE_ANCHORS]]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["gram"])
-
-    sample = rows.select("text").sample(min(1.0, SAMPLE_DOCS / max(n, 1)), seed=7).mapInArrow(some, "gram binary")
-    grams = sorted(bytes(r[0]) for r in sample.collect())
-    splitters = sorted({grams[len(grams) * i // ranges] for i in range(1, ranges)}) if grams else []
+                spots = pack(*anchors(data, length)[1:]).tolist()
+                found += [suffix_of(data, p, length)[0] for p in spots[::max(1, len(spots) // SAMPLE_ANCHORS)][:SAMPLE_ANCHORS]]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["suffix"])
+
+    sample = rows.select("text").sample(min(1.0, SAMPLE_DOCS / max(n, 1)), seed=7).mapInArrow(some, "suffix binary")
+    sampled = sorted(bytes(r[0]) for r in sample.collect())
+    quantiles = {sampled[len(sampled) * i // ranges] for i in range(1, ranges)} if sampled else set()
+    # a gram with several quantiles is cut between them; elsewhere ranges begin with a gram
+    shares = Counter(q[:GRAM] for q in quantiles)
+    cut_grams = {gram for gram, k in shares.items() if k > 1}
+    splitters = sorted({q if q[:GRAM] in cut_grams else q[:GRAM] for q in quantiles})
 
     # anchors whose hash occurs twice; of a hash that a task meets again, only the first place is counted elsewhere
     def find(batches):
@@ -291,7 +311,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         def flush():
             cut, ordered = {}, sorted((s, *ids) for s, ids in run.items())
             for entry in ordered:
-                cut.setdefault(bisect_left(splitters, entry[0][:GRAM]), []).append(entry)
+                cut.setdefault(bisect_left(splitters, entry[0]), []).append(entry)
             out = [(r, n_run, front_code(part)) for r, part in cut.items()]
             per = 1 + len(marks) // max(1, ranges)
             out += [(i // per % ranges, -1, np.array(marks[i:i + per], np.int64).tobytes()) for i in range(0, len(marks), per)]
@@ -327,18 +347,24 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     def merge(shard: pa.Table) -> pa.Table:
         parts = list(zip(shard["run"].to_pylist(), shard["data"].to_pylist()))
         out = [np.frombuffer(d, np.int64).reshape(-1, 3) for r, d in parts if r < 0]
-        made, group = [], {}
+        made, group, pieces, spread = [], {}, [], False
 
         def close():
-            if len(group) > 1:
+            if spread and group:
+                pieces.append(front_code([(s, *ids) for s, ids in group.items()]))
+            elif len(group) > 1:
                 made.extend(repeated_in_group(group, length))
             group.clear()
 
         for same, suffix, ids in merge_runs([front_decode(d) for r, d in parts if r >= 0]):
             if same < GRAM:
                 close()
+                spread = suffix[:GRAM] in cut_grams
             there = group.get(suffix)
             if there is None:
+                if len(group) >= GROUP:  # equal suffixes follow each other, so those held are complete
+                    spread = True
+                    close()
                 group[suffix] = ids
             else:  # the same suffix from two runs: the later one is covered
                 low, high = min(there, ids), max(there, ids)
@@ -348,9 +374,31 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         close()
         out.append(np.array(made, np.int64).reshape(-1, 3))
         key, start, end = np.concatenate(out).T
-        return pa.table({"key": key, "start": start, "end": end})
+        table = pa.table({"key": key, "start": start, "end": end, "piece": pa.nulls(len(key), pa.binary())})
+        if not pieces:
+            return table
+        none = pa.nulls(len(pieces), pa.int64())
+        return pa.concat_tables([table, pa.table({"key": none, "start": none, "end": none, "piece": pa.array(pieces, pa.binary())})])
 
-    spans = runs.groupBy("part").applyInArrow(merge, "key long, start long, end long")
+    merged = store(runs.groupBy("part").applyInArrow(merge, "key long, start long, end long, piece binary"), "spans")
+
+    # pieces of grams that no one task decides: what repeats in a piece is covered, the first of each window is compared by digest
+    def windows(batches):
+        for b in batches:
+            for value in b.column(0):
+                firsts, group = [], {suffix: ids for _, suffix, ids in front_decode(value.as_py())}
+                sure = [(b"%d %d" % (key, start), None, key, start, end) for key, start, end in repeated_in_group(group, length, firsts)]
+                found = sure + [(*f, f[3] + length) for f in firsts]
+                for lo in range(0, len(found), 1 << 16):
+                    cols = zip(zip(*found[lo:lo + (1 << 16)]), (pa.binary(), *[pa.int64()] * 4))
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in cols], ["window", "doc", "key", "start", "end"])
+
+    pieces = merged.where("piece is not null").select("piece").repartition(ranges)
+    pieces = pieces.mapInArrow(windows, "window binary, doc long, key long, start long, end long")
+    here = F.struct("doc", "key", "start")
+    least = F.min(F.when(F.col("doc").isNotNull(), here)).over(Window.partitionBy("window"))
+    later = pieces.withColumn("least", least).where(F.col("doc").isNull() | (F.col("least") < here))
+    spans = merged.where("piece is null").select("key", "start", "end").unionByName(later.select("key", "start", "end"))
     spans = spans.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
     def cover(batches):

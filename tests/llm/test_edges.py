@@ -132,6 +132,27 @@ def test_suffix_against_brute_force(spark):
     assert got == brute_removed([(i, t.encode()) for i, t in texts], 100)
 
 
+def test_suffix_spreads_a_hot_gram(spark, monkeypatch):
+    rng, plain, most = random.Random(5), op05.repeated_in_group, 40
+
+    def bounded(group, *rest):
+        assert len(group) <= most, f"{len(group)} suffixes of one gram in one task"
+        return plain(group, *rest)
+
+    monkeypatch.setattr(op05, "GROUP", most, raising=False)
+    monkeypatch.setattr(op05, "repeated_in_group", bounded)
+    line = "Licensed for any use, but without any warranty."
+    around = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    edges = [around(60) for _ in range(3)]
+    texts = [(i, around(rng.randint(0, 90)) + rng.choice(edges + [around(60)]) + line + rng.choice(edges + [around(60)]) + around(90))
+             for i in range(400)]
+    want = brute_removed([(i, t.encode()) for i, t in texts], 100)
+    for ranges in (1, 40):  # one range holds the gram, many cut it
+        frame = spark.createDataFrame(rng.sample(texts, len(texts)), "doc_id long, text string").repartition(5)
+        got = sorted((r.id, bytes(r.kept), r.n_removed, r.n_spans) for r in op05.dedup_substrings(frame, ranges=ranges).collect())
+        assert got == want
+
+
 def test_mix_keeps_to_its_budget(docs, spark):
     got = op06.mix(docs).collect()
     assert all(r.copies == 0 for r in got if r.size == 0) and max(r.copies for r in got) <= 2
