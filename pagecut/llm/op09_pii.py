@@ -2,7 +2,8 @@
 
 Base spans (email, ip, card, phone) are seeds.  Identifier-like tokens (a
 digit or ``@`` inside) stand in contexts, the *lexical patterns*: the word
-before a token, and the key in front of a value inside it (``user=``).  Over
+before a token, the two words before, the word after, and the key in front of a
+value inside it (``user=``).  A word beside may itself be such a token.  Over
 the graph of patterns and instances, a pattern's confidence is the mean
 confidence of its instances, and an instance's grows with its patterns';
 after a few rounds, tokens of high confidence that no base span covers are added as
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagecut.llm.common import let, store
+from pagecut.llm.common import BLANK, let, store
 
 KINDS = ("email", "ip", "card", "phone", "id")
 #: Stands for a character that a match may not cross; texts that hold it get a blank there.
@@ -30,25 +31,45 @@ CARD = r"[0-9][0-9\x20-]++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 
+#: The last two words, or the only one, at the end of a text; the first word of one.
+LAST_WORDS = r"(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++)?[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+$"
+NEXT_WORD = r"^[\x20\x09-\x0D]*+([^\x20\x09-\x0D]++)"
 #: Punctuation around a token.
 HEAD = r"^[\"'(\[<{]*+"
 TAIL = r"(?<![.,;:!?)\]>}\"'])[.,;:!?)\]>}\"']++$"
 
 
 def _found(text: Column) -> Column:
-    """Every match of every kind: (kind, its number, characters since the match before, the last of these, match)."""
+    """Every match of every kind: (kind, its number, characters since the match before, text before, text after, match).
+
+    The texts beside it are those of tokens only; each is cut to what two words need.
+    """
     clean = F.translate(text, MARK, " ")
     dots = F.regexp_replace(clean, r"(?<![A-Za-z0-9-])\.|\.(?![A-Za-z0-9-])", MARK)
     seps = F.regexp_replace(clean, r"(?<=[0-9])[\x20-](?![0-9])", MARK)
     sources = ((clean.contains("@"), dots, EMAIL), (clean.contains("."), clean, IP), (F.lit(True), seps, CARD),
                (clean.contains("+"), clean, PHONE), (F.lit(True), clean, TOKEN))
 
+    def beside(kind: int, gaps: Column, ms: Column, k: Column) -> tuple[Column, Column]:
+        if kind < 4:
+            return F.lit(""), F.lit("")
+        tail = lambda a, i: F.coalesce(F.substring(F.get(a, i), -80, 80), F.lit(""))
+        head = lambda a, i: F.coalesce(F.substring(F.get(a, i), 1, 80), F.lit(""))
+        # the gap may hold no word: the word beside is then the token before or after
+        return F.concat(tail(ms, k - 2), tail(gaps, k - 1), tail(ms, k - 1), tail(gaps, k)), F.concat(head(gaps, k + 1), head(ms, k + 1))
+
     def one(kind: int, where: Column, source: Column, pattern: str) -> Column:
-        found = let(source, lambda t: let(F.split(t, pattern, -1), lambda gaps: F.transform(
-            F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), lambda m, k: F.struct(
-                F.lit(kind).alias("kind"), k.alias("k"), F.length(gaps[k]).alias("gap"),
-                F.substring(gaps[k], -80, 80).alias("left"), m.alias("m")))))
-        none = F.array().cast("array<struct<kind:int,k:int,gap:int,left:string,m:string>>")
+        def places(gaps: Column, ms: Column) -> Column:
+            def place(m: Column, k: Column) -> Column:
+                left, right = beside(kind, gaps, ms, k)
+                return F.struct(F.lit(kind).alias("kind"), k.alias("k"), F.length(gaps[k]).alias("gap"),
+                                F.regexp_extract(left, LAST_WORDS, 0).alias("left"),
+                                F.regexp_extract(right, NEXT_WORD, 1).alias("right"), m.alias("m"))
+            return F.transform(ms, place)
+
+        found = let(source, lambda t: let(F.split(t, pattern, -1), lambda gaps: let(
+            F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), lambda ms: places(gaps, ms))))
+        none = F.array().cast("array<struct<kind:int,k:int,gap:int,left:string,right:string,m:string>>")
         return F.coalesce(F.when(where, found), none)
 
     return F.when(text.rlike("[0-9@]"), F.concat(*(one(i, *s) for i, s in enumerate(sources))))
@@ -73,21 +94,25 @@ def _passes(kind: Column, m: Column) -> Column:
         .when(kind == 3, n.between(9, 15)).otherwise(True)
 
 
-def _patterns(left: Column, token: Column) -> Column:
-    """Lexical patterns of a token: the word before it, and the key that a value in it follows."""
+def _patterns(left: Column, right: Column, token: Column) -> Column:
+    """Lexical patterns of a token: the word or two words before it, the word after, and the key that a value in it follows."""
     word = F.regexp_extract(F.lower(left), r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", 1)
+    two = F.regexp_replace(F.trim(F.regexp_replace(F.lower(left), BLANK + "+", " ")), "^[^ ]+$", "")
+    after = F.lower(right)
     key = F.regexp_extract(F.lower(token), r"^([a-z_.-]{2,40}[=:])", 1)
-    return F.array_compact(F.array(F.when(word != "", F.concat(F.lit("word "), word)), F.when(key != "", F.concat(F.lit("key "), key))))
+    return F.array_compact(F.array(
+        F.when(word != "", F.concat(F.lit("word "), word)), F.when(two != "", F.concat(F.lit("words "), two)),
+        F.when(after != "", F.concat(F.lit("after "), after)), F.when(key != "", F.concat(F.lit("key "), key))))
 
 
 def discover(tokens: DataFrame, rounds: int = 3, min_instances: int = 5, min_confidence: float = 0.8) -> DataFrame:
-    """Tokens (row, start, end, token, left, seed) that their patterns make identifiers, as (row, start, end).
+    """Tokens (row, start, end, token, left, right, seed) that their patterns make identifiers, as (row, start, end).
 
     A pattern needs ``min_instances`` distinct instances to count; its
     confidence is the sum of theirs over their number plus one.
     """
     tokens = tokens.withColumn("inst", F.xxhash64(F.lower("token")))
-    edges = tokens.select("inst", "seed", F.explode(_patterns(F.col("left"), F.col("token"))).alias("p"))
+    edges = tokens.select("inst", "seed", F.explode(_patterns(F.col("left"), F.col("right"), F.col("token"))).alias("p"))
     edges = edges.groupBy(F.xxhash64("p").alias("p"), "inst").agg(F.max(F.col("seed").cast("double")).alias("seed"))
     edges = store(edges, "graph")
     seeds = edges.groupBy("inst").agg(F.max("seed").alias("seed"))
@@ -126,7 +151,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     m = m.withColumn("token", F.when(token, F.regexp_replace(F.regexp_replace("m", HEAD, ""), TAIL, ""))) \
         .withColumn("start", F.when(token, F.col("start") + head).otherwise(F.col("start"))) \
         .withColumn("end", F.when(token, F.col("start") + F.length("token")).otherwise(F.col("end")))
-    m = store(m.where((F.col("kind") < 4) | (F.length("token") > 0)).select("row", "kind", "start", "end", "token", "left"), "places")
+    m = store(m.where((F.col("kind") < 4) | (F.length("token") > 0)).select("row", "kind", "start", "end", "token", "left", "right"), "places")
     earlier = Window.partitionBy("row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
     later = Window.partitionBy("row").orderBy(F.desc("start"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
     before = F.max(F.when(F.col("kind") < 4, F.col("end"))).over(earlier)

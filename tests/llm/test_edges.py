@@ -204,6 +204,14 @@ def test_pii_discovers_by_context(spark):
     assert got[40] == "id:15:25" and got[41] == "" and got[0].startswith("email:15:")
 
 
+def test_pii_discovers_behind_words_with_digits(spark):
+    mail = [f"md5 user{i}@mail.com end" for i in range(40)]
+    rows = mail + ["sum md5 9f3a77 end", "acct 0044 AB12 end", "chapter 12 begins", "chapter 13 ends"]
+    got = {r.id: r.spans for r in op09.personal_data(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    assert "id:8:14" in got[40] and got[42] == got[43] == ""
+    assert "id:10:14" in got[41]  # by the word after
+
+
 def test_urls(spark):
     page = lambda target: f'<head><link href="{target}" rel="canonical"></head>'
     rows = [(1, "http://a.example.com/en/1", None), (2, "http://b.org/x", page("http://a.example.com/en/1")), (3, "http://c.org/", '<meta http-equiv="refresh" content="0; url=http://b.org/x">'),
