@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pagecut.llm import op01_simhash as op01, op02_bpe as op02, op03_toxicity as op03, op04_exact as op04
 from pagecut.llm import op05_suffix as op05, op06_mix as op06, op07_count as op07, op08_lines as op08
-from pagecut.llm import op09_pii as op09, op10_urls as op10
+from pagecut.llm import op09_pii as op09, op10_urls as op10, op12_negatives as op12
 from pagecut.llm.common import table
 from pagecut.llm.sql import SQL
 
@@ -66,6 +66,11 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return op12.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # beside the package; its stages import the operators in turn
 
@@ -73,4 +78,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe, op3_toxicity, op4_exact, op5_suffix, op6_mix, op7_count,
-                                   op8_lines, op9_pii, op10_urls, pipeline)}
+                                   op8_lines, op9_pii, op10_urls, op12_negatives, pipeline)}

@@ -101,4 +101,17 @@ SELECT page_id, host, path, rule,
        coalesce({_VERDICT.format(r="rule")}, CASE WHEN stop.stop THEN 'block' ELSE 'allow' END) AS verdict
 FROM ruled LEFT JOIN stop ON ruled.url = stop.a"""
 
-SQL = {"op4_exact": EXACT, "op5_suffix": SUFFIX, "op6_mix": MIX, "op8_lines": LINES, "op10_urls": URLS}
+NEGATIVES = """
+WITH t AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, row_number() OVER () AS r,
+                  [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (SELECT a.r AS a, a.vec_id AS anchor_id, t.r, t.vec_id, a.label = t.label AS same, list_dot_product(a.v, t.v)::BIGINT AS score
+           FROM t AS a JOIN t ON a.r <> t.r WHERE a.vec_id % 100 = 0),
+positive AS (SELECT a, anchor_id, r, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+             QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id NULLS LAST) <= 5)
+SELECT p.anchor_id, p.positive_id, (row_number() OVER w)::INT AS rank, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positive p JOIN scored s ON s.a = p.a AND NOT s.same AND 100 * s.score BETWEEN 30 * p.positive_score AND 90 * p.positive_score
+WINDOW w AS (PARTITION BY p.a, p.r ORDER BY s.score DESC, s.vec_id NULLS LAST) QUALIFY row_number() OVER w <= 10"""
+
+SQL = {"op12_negatives": NEGATIVES, "op4_exact": EXACT, "op5_suffix": SUFFIX, "op6_mix": MIX, "op8_lines": LINES, "op10_urls": URLS}
