@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pagecut.llm import op01_simhash as op01, op02_bpe as op02, op03_toxicity as op03, op04_exact as op04
 from pagecut.llm import op05_suffix as op05, op06_mix as op06, op07_count as op07, op08_lines as op08
 from pagecut.llm import op09_pii as op09, op10_urls as op10, op12_negatives as op12
+from pagecut.llm import op13_words as op13
 from pagecut.llm.common import table
 from pagecut.llm.sql import SQL
 
@@ -71,6 +72,11 @@ def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
 
 
+def op13_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op13.bpe_round_trip(table(spark, sf_dir, "documents"), COUNTING, P.PATTERN, digest=True)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # beside the package; its stages import the operators in turn
 
@@ -78,4 +84,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe, op3_toxicity, op4_exact, op5_suffix, op6_mix, op7_count,
-                                   op8_lines, op9_pii, op10_urls, op12_negatives, pipeline)}
+                                   op8_lines, op9_pii, op10_urls, op12_negatives, op13_words, pipeline)}
