@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 from pagecut.llm import op01_simhash as op01, op02_bpe as op02, op03_toxicity as op03, op04_exact as op04
 from pagecut.llm import op05_suffix as op05, op06_mix as op06, op07_count as op07, op08_lines as op08
-from pagecut.llm import op09_pii as op09, op10_urls as op10, op12_negatives as op12
-from pagecut.llm import op13_words as op13
+from pagecut.llm import op09_pii as op09, op10_urls as op10, op11_align as op11
+from pagecut.llm import op12_negatives as op12, op13_words as op13
 from pagecut.llm.common import table
 from pagecut.llm.sql import SQL
 
 ENCODING = P.path("byte_bpe_multi_50k.tiktoken")
 COUNTING = P.path("byte_bpe_50k.json")
+PIECES = P.path("piece_bpe_32k.model")
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +68,11 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op11.align(table(spark, sf_dir, "documents"), COUNTING, PIECES, P.PATTERN, digest=True)
+    return found.withColumnsRenamed({"id": "doc_id", "groups": "groups_sha256"})
+
+
 def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return op12.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
@@ -84,4 +90,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_bpe, op3_toxicity, op4_exact, op5_suffix, op6_mix, op7_count,
-                                   op8_lines, op9_pii, op10_urls, op12_negatives, op13_words, pipeline)}
+                                   op8_lines, op9_pii, op10_urls, op11_align, op12_negatives, op13_words, pipeline)}
