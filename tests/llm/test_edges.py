@@ -105,6 +105,26 @@ def test_exact_group_across_partitions(spark):
     assert op04.drop_duplicates(rows).count() == 1001
 
 
+def test_exact_groups_over_many_partitions(spark):
+    """Runs that fill whole partitions, end in them and begin in them; digests of neighbours that agree or not."""
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        text = F.when(F.col("id") % 2 == 0, "same text").when(F.col("id") % 5 == 0, "an other").otherwise(F.concat(F.lit("t "), F.col("id") % 40))
+        rows = spark.range(4000).select(F.col("id").alias("doc_id"), text.alias("text"))
+        stored = op04.sorted_runs(rows, "doc_id", "text", ["doc_id"])
+        assert stored.where("_run = 0 and _ends = 1").count() > 2 and stored.select("_part").distinct().count() > 4
+        got = {r.id: r for r in op04.exact_groups(rows).collect()}
+        by = {}
+        for r in rows.collect():
+            by.setdefault(r.text, []).append(r.doc_id)
+        for ids in by.values():
+            assert all((got[i].keep_id, got[i].group_size, got[i].kept) == (min(ids), len(ids), i == min(ids)) for i in ids)
+        assert sorted(r.doc_id for r in op04.drop_duplicates(rows).collect()) == sorted(map(min, by.values()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
 def brute_removed(rows, length):
     seen, out = set(), []
     for doc, text in rows:
