@@ -4,14 +4,16 @@ Each partition keeps the merge table and the vocabulary in a DuckDB database
 in memory.  A recursive query contracts, in every word at once, the leftmost
 pair of least rank until no pair merges; a word leaves the recursion when it
 reaches its fixpoint.  Decoding joins the ids with the vocabulary and
-concatenates by an ordered aggregate.  Words met before come from a bounded
-cache, so that only new words pay for the recursion.
+concatenates by an ordered aggregate.  Texts are cut at single blanks, where a word
+begins whatever stands around; stretches and words met before come from bounded
+memories that keep what is met again, so only new words pay for the recursion.
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
+import re
 from functools import lru_cache
 from itertools import chain
 
@@ -22,29 +24,67 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes of words in one recursive query, words in the cache, characters and ids handled at once.
-QUERY_BYTES, CACHE_WORDS, TEXT_CHARS, DECODE_IDS = 1 << 19, 500_000, 1 << 21, 1 << 19
+from pagecut.llm.packing import gather
+
+#: Bytes of words in one recursive query, entries of a memory, characters and ids handled at once.
+QUERY_BYTES, MEMORY, TEXT_CHARS, DECODE_IDS = 1 << 19, 400_000, 1 << 21, 1 << 19
 #: Longer words (in bytes) are merged with a heap: the recursion would make a row for each byte and step.
 LONG_WORD = 400
 
+# k holds the word and, in nine bits, the position; a pair is packed as one number, so are a merge and its position
 _ENCODE = """
-WITH RECURSIVE step(w, pos, id, done) AS (
-    SELECT w, pos, id, false FROM start
+WITH RECURSIVE step(k, id, done) AS (
+    SELECT (w::BIGINT << 9) | pos, id, false FROM start
   UNION ALL
-    SELECT w, pos, CASE WHEN pos = best % 65536 THEN (best // 65536)::INT ELSE id END, best IS NULL
-    FROM (SELECT *, min(pair) OVER (PARTITION BY w) AS best
-          FROM (SELECT t.w, t.pos, t.id, t.prev, m.merged * 65536 + t.pos AS pair
-                FROM (SELECT w, pos, id, lead(id) OVER word AS next, lag(pos) OVER word AS prev
-                      FROM step WHERE NOT done WINDOW word AS (PARTITION BY w ORDER BY pos)) t
-                LEFT JOIN merges m ON m.a = t.id AND m.b = t.next))
-    WHERE best IS NULL OR prev IS NULL OR prev <> best % 65536)
-SELECT w, list(id ORDER BY pos) AS ids FROM step WHERE done GROUP BY w"""
+    (WITH near AS (SELECT k, id, lead(id) OVER word AS next, lead(k) OVER word AS next_k, lag(k) OVER word AS before
+                   FROM step WHERE NOT done WINDOW word AS (ORDER BY k)),
+          pair AS (SELECT k, id, before, (merged << 9) | (k & 511) AS pair
+                   FROM near LEFT JOIN merges ON ab = CASE WHEN (next_k >> 9) = (k >> 9) THEN (id::BIGINT << 16) | next END),
+          best AS (SELECT k >> 9 AS w, min(pair) AS best FROM pair GROUP BY 1)
+     SELECT k, CASE WHEN (k & 511) = (best & 511) THEN (best >> 9)::INT ELSE id END, best IS NULL
+     FROM pair JOIN best ON w = (k >> 9)
+     WHERE best IS NULL OR before IS DISTINCT FROM ((w << 9) | (best & 511))))
+SELECT k >> 9 AS w, list(id ORDER BY k) AS ids FROM step WHERE done GROUP BY 1"""
 
 _DECODE = """
 SELECT piece, unhex(string_agg(hex, '' ORDER BY pos)) AS bytes
 FROM tokens JOIN vocabulary USING (id) GROUP BY piece"""
 
 
+#: A blank between two characters that are no blanks begins a word.
+_BEGIN = re.compile(r"(?<=\S)(?= \S)")
+
+
+class Memory:
+    """Ids by name, in flat arrays; when it is full, names met once are forgotten first."""
+
+    def __init__(self, most: int):
+        self.most, self.known = most, {}
+        self.place, self.size, self.uses, self.flat = (np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int32))
+
+    def add(self, names: list[str], size: np.ndarray, flat: np.ndarray) -> None:
+        self.place = np.concatenate([self.place, len(self.flat) + np.cumsum(size) - size])
+        self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
+        self.uses = np.concatenate([self.uses, np.zeros(len(names), np.int64)])
+        self.known.update(zip(names, range(len(self.known), len(self.known) + len(names))))
+
+    def ids(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each name, all ids); every name is known."""
+        at = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))
+        self.uses += np.bincount(at, minlength=len(self.uses))
+        return self.size[at], gather(self.flat, self.place[at], self.size[at])
+
+    def trim(self) -> None:
+        if len(self.known) <= self.most:
+            return
+        names, keep = list(self.known), np.flatnonzero(self.uses > 1)
+        if len(keep) > self.most // 2:
+            keep = np.sort(keep[np.argsort(-self.uses[keep], kind="stable")[:self.most // 2]])
+        size, flat = self.size[keep], gather(self.flat, self.place[keep], self.size[keep])
+        self.__init__(self.most)
+        self.add([names[i] for i in keep], size, flat)
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
@@ -58,24 +98,12 @@ class Codec:
         pairs = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items()
                  for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
-        merges = pa.table(dict(zip("ab", ([p[i] for p in pairs] for i in (0, 1))), merged=[p[2] for p in pairs]),
-                          schema=pa.schema({"a": pa.int32(), "b": pa.int32(), "merged": pa.int64()}))
+        merges = pa.table({"ab": pa.array([a << 16 | b for a, b, _ in pairs], pa.int64()), "merged": pa.array([m for _, _, m in pairs], pa.int64())})
         vocabulary = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": [t.hex() for t in self.ranks]})
         self.db.execute("CREATE TABLE merges AS FROM merges")
         self.db.execute("CREATE TABLE vocabulary AS FROM vocabulary")
         self.byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self._forget()
-
-    def _forget(self):
-        """Empty the cache: a number for each word met, its place in ``flat`` and its number of ids."""
-        self.known: dict[str, int] = {}
-        self.place, self.size, self.flat = (np.zeros(0, t) for t in (np.int64, np.int64, np.int32))
-
-    def _keep(self, words: list[str], ids: list[np.ndarray]):
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.place = np.concatenate([self.place, len(self.flat) + np.cumsum(size) - size])
-        self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, *ids])
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
+        self.words, self.stretches = Memory(MEMORY), Memory(MEMORY)
 
     def _recurse(self, words: list[bytes]) -> list[np.ndarray]:
         size = np.fromiter(map(len, words), np.int64, len(words))
@@ -128,24 +156,31 @@ class Codec:
                 names += [w for w, _ in held]
                 ids += self._recurse([d for _, d in held])
                 held, size = [], 0
-        self._keep(names, ids)
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.words.add(names, size, np.concatenate(ids))
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        words = [self.split(t) for t in texts]
+    def _meet(self, stretches: list[str]) -> None:
+        """Put new stretches of text into their memory, word by word."""
+        self.words.trim()
+        words = [self.split(s) for s in stretches]
         flat = list(chain.from_iterable(words))
-        distinct = dict.fromkeys(flat)
-        new = [w for w in distinct if w not in self.known]
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self._forget()
-            new = list(distinct)
+        new = [w for w in dict.fromkeys(flat) if w not in self.words.known]
         if new:
             self._learn(new)
-        at = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
-        size = self.size[at]
-        upto = np.cumsum(size)
-        ids = self.flat[np.repeat(self.place[at] - (upto - size), size) + np.arange(size.sum())]
-        ends = np.concatenate([[0], upto])[np.cumsum([len(w) for w in words])]
-        return np.split(ids, ends[:-1])
+        size, ids = self.words.ids(flat)
+        upto = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum([len(w) for w in words])])]
+        self.stretches.add(stretches, np.diff(upto), ids)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        cut = [_BEGIN.split(t) for t in texts]
+        flat = list(chain.from_iterable(cut))
+        self.stretches.trim()
+        new = [s for s in dict.fromkeys(flat) if s not in self.stretches.known]
+        if new:
+            self._meet(new)
+        size, ids = self.stretches.ids(flat)
+        upto = np.concatenate([[0], np.cumsum(size)])[np.cumsum([len(c) for c in cut])]
+        return np.split(ids, upto[:-1])
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         out: list[list[bytes]] = [[] for _ in ids]
@@ -188,7 +223,8 @@ def bpe_round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_
 
     ``path`` names a rank file that every executor can read (base64 token and
     rank on each line), ``pattern`` the expression that splits texts into
-    words; special tokens are ordinary text.  A null or empty text has no ids
+    words (a single blank between two others must begin a word, as in the published one);
+    special tokens are ordinary text.  A null or empty text has no ids
     and decodes to no bytes.  Repeated ids give a row each; an empty table gives no
     rows; other columns are ignored.
     """

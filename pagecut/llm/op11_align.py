@@ -30,8 +30,9 @@ from pagecut.llm.common import keyed, store
 from pagecut.llm.op13_words import Vocabulary
 from pagecut.llm.packing import gather, pack_numbers, unpack_numbers
 
-#: Bytes of a chunk, fragments composed at once, bytes of a block, stretches remembered, blocks that share a copy of the counts.
-CHUNK, FAN, BLOCK_BYTES, STRETCHES, SHARED = 1 << 16, 8, 1 << 23, 400_000, 1024
+#: Bytes of a chunk, fragments composed at once, bytes of a block, stretches remembered and learnt at once,
+#: blocks that share a copy of the counts.
+CHUNK, FAN, BLOCK_BYTES, STRETCHES, LEARN, SHARED = 1 << 16, 8, 1 << 22, 150_000, 1 << 15, 1024
 #: A blank between two characters that are no blanks; U+2581 is B's sign for a blank.
 _BREAK = re.compile("(?<=[^\\s▁]) (?=\\S)")
 
@@ -94,8 +95,8 @@ class Aligner:
     def numbers(self, stretches: list[str]) -> np.ndarray:
         """The places of stretches in the tables."""
         new = [s for s in dict.fromkeys(stretches) if s not in self.known]
-        if new:
-            self._learn(new)
+        for lo in range(0, len(new), LEARN):
+            self._learn(new[lo:lo + LEARN])
         return np.fromiter(map(self.known.__getitem__, stretches), np.int64, len(stretches))
 
     def _learn(self, new: list[str]) -> None:
@@ -235,7 +236,7 @@ def long_documents(rows: DataFrame, paths: tuple[str, str, str], n_chunks) -> Da
     while most > 1:
         found = found.groupBy("file", "row", F.expr(f"at div {FAN}").alias("up")).applyInArrow(merge, schema)
         most = -(-most // FAN)
-    return found
+    return store(found, "long")
 
 
 def _rows(first: list[pa.Array], cells: list[tuple], names: list[str]) -> pa.RecordBatch:

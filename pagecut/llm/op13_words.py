@@ -4,8 +4,8 @@ Documents are split into words in blocks of neighbouring documents; a block
 lists its distinct words and each document becomes the numbers of its words.
 The words of all blocks meet in the shards of one word table, where every
 distinct word is encoded once, all words of a batch at a time.  The ids go back
-to the blocks and are joined by position; the pieces for decoding come from a
-join of each block's ids with the vocabulary.
+to the blocks and are joined by position.  For decoding the vocabulary, whose size
+is fixed, is dealt to every partition of blocks and joined with their ids there.
 """
 
 from __future__ import annotations
@@ -24,12 +24,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagecut.llm.common import store
 from pagecut.llm.op07_count import byte_alphabet
 from pagecut.llm.packing import gather, pack_numbers, pack_words, unpack_numbers, unpack_words
 
 #: Characters of a block, words of a row, bytes of words that are merged together, bytes from which a word is merged alone.
-BLOCK_CHARS, ROW_WORDS, BATCH_BYTES, LONG_WORD = 1 << 23, 1 << 18, 1 << 21, 4096
+BLOCK_CHARS, ROW_WORDS, BATCH_BYTES, LONG_WORD = 1 << 24, 1 << 18, 1 << 21, 4096
 _NONE = np.int32(2 ** 31 - 1)
 
 
@@ -41,6 +40,7 @@ class Vocabulary:
             spec = json.load(file)
         byte, ids = byte_alphabet(), spec["model"]["vocab"]
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.added_bytes = {t.encode(): i for t, i in self.added.items()}
         self.pieces = {i: bytes(byte[c] for c in t) for t, i in ids.items() if t not in self.added}
         self.pieces |= {i: t.encode() for t, i in self.added.items()}
         pairs = [p.split(" ") if isinstance(p, str) else p for p in spec["model"]["merges"]]
@@ -61,8 +61,9 @@ class Vocabulary:
         return {(k >> 32, k & 0xffffffff): (r, m) for k, r, m in zip(*(x.tolist() for x in (self.keys, self.rank, self.made)))}
 
     def table(self, spark: SparkSession) -> DataFrame:
-        """(token, piece): one row for each id, so bounded by the vocabulary."""
-        return spark.createDataFrame([(i, bytearray(p)) for i, p in self.pieces.items()], "token int, piece binary")
+        """(tokens, pieces): all ids and what they stand for, in one row of fixed size."""
+        return spark.createDataFrame([(list(self.pieces), [bytearray(p) for p in self.pieces.values()])],
+                                     "tokens array<int>, pieces array<binary>")
 
     def _look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rank, merged id) of pairs of ids; ``_NONE`` without a merge."""
@@ -72,9 +73,12 @@ class Vocabulary:
         return np.where(hit, self.rank[at], _NONE), self.made[at]
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(number of ids of each word, all ids)."""
+        """(number of ids of each word, all ids); an added token stands for itself."""
         out, held, size = [np.zeros(0, np.int32)] * len(words), [], 0
         for n, word in enumerate(words):
+            if (token := self.added_bytes.get(word)) is not None:
+                out[n] = np.array([token], np.int32)
+                continue
             if len(word) >= LONG_WORD:
                 out[n] = self._merge_long(word)
                 continue
@@ -162,12 +166,13 @@ class _Numbering(dict):
         return number
 
 
-def split_words(docs: DataFrame, pattern: str, added: list[str], shards: int) -> DataFrame:
-    """Blocks of documents as word numbers, and their distinct words; stored.
+def split_words(docs: DataFrame, pattern: str, added: list[str], parts: int) -> DataFrame:
+    """Blocks of documents as word numbers, and their distinct words.
 
     A row without ``shard`` holds documents: ``ids``, their numbers of words (``aux``) and the numbers of those
     words in the block (``data``).  A row with ``shard`` holds those words of the block that
-    belong there (``data``) and their numbers (``aux``, as differences).
+    belong there (``data``) and their numbers (``aux``, as differences).  ``home`` deals blocks
+    to partitions, ``to`` deals the rows of this table.
     """
     kind = docs.schema["id"].dataType
 
@@ -183,23 +188,24 @@ def split_words(docs: DataFrame, pattern: str, added: list[str], shards: int) ->
             new = np.empty(len(known), np.int64)
             new[by_count] = np.arange(len(known))
             block, rows, at = (task << 32) + n_blocks, [], 0
+            home = (task + n_blocks * 1_000_003) % parts
             while at < len(held):
                 z, n = at, 0
                 while z < len(held) and (z == at or n + len(held[z][1]) <= ROW_WORDS):
                     n += len(held[z][1])
                     z += 1
-                rows.append((block, None, [i for i, _ in held[at:z]], pack_numbers(np.array([len(w) for _, w in held[at:z]])),
+                rows.append((block, home, home, None, [i for i, _ in held[at:z]], pack_numbers(np.array([len(w) for _, w in held[at:z]])),
                              pack_numbers(new[np.concatenate([w for _, w in held[at:z]])])))
                 at = z
             names = list(known)
             names = [names[i] for i in by_count]
-            shard = np.fromiter((crc32(w.encode()) % shards for w in names), np.int64, len(names))
+            shard = np.fromiter((crc32(w.encode()) % parts for w in names), np.int64, len(names))
             order = np.argsort(shard, kind="stable")
             for part in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
                 if len(part):
-                    rows.append((block, int(shard[part[0]]), None, pack_numbers(np.diff(part, prepend=0)), pack_words([names[i] for i in part])))
-            columns = zip(zip(*rows), (pa.int64(), pa.int32(), pa.list_(id_type), pa.binary(), pa.binary()))
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], ["block", "shard", "ids", "aux", "data"])
+                    rows.append((block, home, to := int(shard[part[0]]), to, None, pack_numbers(np.diff(part, prepend=0)), pack_words([names[i] for i in part])))
+            kinds = pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(id_type), pa.binary(), pa.binary()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], schema.names)
 
         for b in batches:
             id_type = b.column(0).type
@@ -215,39 +221,40 @@ def split_words(docs: DataFrame, pattern: str, added: list[str], shards: int) ->
         if held:
             yield flush()
 
-    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("shard", T.IntegerType()),
-                           T.StructField("ids", T.ArrayType(kind)), T.StructField("aux", T.BinaryType()), T.StructField("data", T.BinaryType())])
-    return store(docs.mapInArrow(run, schema), "words")
+    schema = T.StructType([*T._parse_datatype_string("block long, home int, to int, shard int"), T.StructField("ids", T.ArrayType(kind)),
+                           *T._parse_datatype_string("aux binary, data binary")])
+    return docs.mapInArrow(run, schema)
 
 
-def encode_words(words: DataFrame, path: str, shards: int) -> DataFrame:
-    """Rows of words with ids in their place (``data``: numbers of ids, then the ids), and the distinct ids (``used``)."""
+def encode_words(split: DataFrame, path: str, parts: int) -> DataFrame:
+    """The rows of ``split_words`` with ids in the place of words: ``data`` holds their numbers of ids, then the ids."""
     def run(batches):
         vocabulary, now = Vocabulary(path), None
         for b in batches:
-            for block, shard, aux, data in zip(*(b.column(c).to_pylist() for c in ("block", "shard", "aux", "data"))):
+            shards = b.column("shard").to_pylist()
+            if shards and shards[-1] is None:  # documents stand first and pass
+                yield b
+                continue
+            made = []
+            for shard, data in zip(shards, b.column("data").to_pylist()):
+                if shard is None:
+                    made.append(data)
+                    continue
                 if shard != now:
                     now, known = shard, {}
                     size, flat = np.zeros(0, np.int64), np.zeros(0, np.int32)
                 words = unpack_words(data)
                 new = [w for w in words if w not in known]
                 known.update(zip(new, range(len(known), len(known) + len(new))))
-                added = {w: vocabulary.added[w.decode()] for w in new if w.decode() in vocabulary.added}
-                n, ids = vocabulary.encode([w if w not in added else b"" for w in new])
-                if added:  # an added token stands for itself
-                    parts = np.split(ids, np.cumsum(n)[:-1])
-                    parts = [np.array([added[w]], np.int32) if w in added else p for w, p in zip(new, parts)]
-                    n, ids = np.fromiter(map(len, parts), np.int64, len(parts)), np.concatenate(parts)
+                n, ids = vocabulary.encode(new)
                 size, flat = np.concatenate([size, n]), np.concatenate([flat, ids])
                 begin = np.cumsum(size) - size
                 at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-                ids = gather(flat, begin[at], size[at])
-                columns = ([block], pa.int64()), ([aux], pa.binary()), ([pack_numbers(np.concatenate([size[at], ids]))], pa.binary()), \
-                    ([np.unique(ids)], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], ["block", "aux", "data", "used"])
+                made.append(pack_numbers(np.concatenate([size[at], gather(flat, begin[at], size[at])])))
+            yield b.set_column(b.schema.get_field_index("data"), "data", pa.array(made, pa.binary()))
 
-    dealt = words.select("block", "shard", "aux", "data").repartition(shards, "shard").sortWithinPartitions("shard")
-    return store(dealt.mapInArrow(run, "block long, aux binary, data binary, used array<int>"), "encoded")
+    # each word has one shard, each shard one task
+    return split.repartitionById(parts, F.col("to")).sortWithinPartitions("shard").mapInArrow(run, split.schema)
 
 
 def bpe_round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
@@ -263,76 +270,67 @@ def bpe_round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_
     spark = docs.sparkSession
     vocabulary = Vocabulary(path)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    split = split_words(rows, pattern, sorted(vocabulary.added), shards)
-    encoded = encode_words(split.where("shard is not null"), path, shards)
-    # the vocabulary's size bounds the broadcast side
-    pieces = encoded.select("block", F.explode("used").alias("token")).distinct() \
-        .join(F.broadcast(vocabulary.table(spark)), "token")
-    parts = pieces.select("block", F.lit(0).alias("kind"), "token", F.col("piece").alias("data")) \
-        .unionByName(encoded.select("block", F.lit(1).alias("kind"), "aux", "data"), allowMissingColumns=True) \
-        .unionByName(split.where("shard is null").select("block", F.lit(2).alias("kind"), "ids", "aux", "data"), allowMissingColumns=True)
-    parts = parts.select("block", "kind", "token", "ids", "aux", "data").repartition("block").sortWithinPartitions("block", "kind")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    encoded = encode_words(split_words(rows, pattern, sorted(vocabulary.added), parts), path, parts)
+    pieces = vocabulary.table(spark).select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("home"), "tokens", "pieces")
+    both = encoded.select("home", "block", "shard", "ids", "aux", "data").unionByName(pieces, allowMissingColumns=True)
+    # in each partition the vocabulary, then block by block the words and the documents
+    both = both.repartitionById(parts, F.col("home")).sortWithinPartitions("home", F.col("block").asc_nulls_first(), F.col("shard").asc_nulls_last())
 
     def run(batches):
-        now, join = None, None
+        now, join, vocabulary = None, None, None
         for b in batches:
-            block, kind = b.column("block").to_numpy(), b.column("kind").to_numpy()
+            columns = [b.column(c) for c in ("block", "shard", "ids", "aux", "data", "tokens", "pieces")]
             for i in range(b.num_rows):
-                if block[i] != now:
-                    now, join = block[i], _Block()
-                data = b.column("data")[i].as_py()
-                if kind[i] == 0:
-                    join.add_piece(b.column("token")[i].as_py(), data)
-                elif kind[i] == 1:
-                    join.add_words(unpack_numbers(b.column("aux")[i].as_py()), unpack_numbers(data))
+                block, shard, ids, aux, data, tokens, pieces = (c[i] for c in columns)
+                if (block := block.as_py()) is None:
+                    now, vocabulary = None, (tokens.values.to_numpy(), pieces.values)
+                    continue
+                if block != now:
+                    now, join = block, _Block(*vocabulary)
+                aux, data = unpack_numbers(aux.as_py()).astype(np.int64), unpack_numbers(data.as_py())
+                if shard.is_valid:
+                    join.add_words(aux, data)
                 else:
-                    ids = b.column("ids").slice(i, 1).flatten()
-                    yield join.documents(ids, unpack_numbers(b.column("aux")[i].as_py()).astype(np.int64), unpack_numbers(data), digest)
+                    yield join.documents(ids.values, aux, data, digest)
 
     kind = rows.schema["id"].dataType.simpleString()
     made = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>, decoded binary"
-    return parts.mapInArrow(run, f"id {kind}, {made}")
+    return both.mapInArrow(run, f"id {kind}, {made}")
 
 
 class _Block:
-    """Ids and pieces of one block, to be joined with its documents by position."""
-
-    def __init__(self):
-        self.tokens, self.bytes, self.words, self.ready = [], [], [], False
+    """Ids of one block's words, to be joined with its documents by position, and the pieces of all ids."""
 
-    def add_piece(self, token: int, piece: bytes) -> None:
-        self.tokens.append(token)
-        self.bytes.append(piece)
+    def __init__(self, tokens: np.ndarray, pieces: pa.Array):
+        self.words, self.pieces = [], pieces.cast(pa.large_binary())
+        self.place = np.zeros(int(tokens.max()) + 1, np.int32)
+        self.place[tokens] = np.arange(len(tokens))
 
     def add_words(self, gaps: np.ndarray, data: np.ndarray) -> None:
-        self.words.append((np.cumsum(gaps.astype(np.int64)), data[:len(gaps)].astype(np.int64), data[len(gaps):].astype(np.int32)))
+        self.words.append((np.cumsum(gaps), data[:len(gaps)].astype(np.int64), data[len(gaps):].astype(np.int32)))
 
     def _close(self) -> None:
-        number, size, flat = (np.concatenate(c) if self.words else np.zeros(0, np.int64) for c in (zip(*self.words) if self.words else [()] * 3))
-        begin = np.cumsum(size) - size
+        number, size, self.flat = (np.concatenate(c) for c in zip((np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.int32),), *self.words))
         self.size, self.begin = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
-        self.size[number], self.begin[number], self.flat = size, begin, flat
-        self.place = np.zeros(max(self.tokens, default=0) + 1, np.int32)
-        self.place[self.tokens] = np.arange(len(self.tokens))
-        self.pieces, self.piece_size = pa.array(self.bytes, pa.binary()), np.fromiter(map(len, self.bytes), np.int64, len(self.bytes))
-        self.words, self.ready = [], True
+        self.size[number], self.begin[number] = size, np.cumsum(size) - size
+        self.words = None
 
     def documents(self, names: pa.Array, n_words: np.ndarray, numbers: np.ndarray, digest: bool) -> pa.RecordBatch:
-        if not self.ready:
+        if self.words is not None:
             self._close()
         size = self.size[numbers]
         ids = gather(self.flat, self.begin[numbers], size)
         upto = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(n_words)])]
-        at = self.place[ids]
-        decoded = b"".join(self.pieces.take(pa.array(at)).to_pylist())
-        ends = np.concatenate([[0], np.cumsum(self.piece_size[at])])[upto]
+        pieces = self.pieces.take(pa.array(self.place[ids]))
+        decoded = memoryview(pieces.buffers()[2] or b"")
+        ends = np.frombuffer(pieces.buffers()[1], np.int64)[upto] if len(pieces) else upto
         if not digest:
-            texts = [decoded[a:z] for a, z in zip(ends, ends[1:])]
+            texts = [decoded[a:z].tobytes() for a, z in zip(ends, ends[1:])]
             return pa.RecordBatch.from_arrays(
                 [names, pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(ids, pa.int32())), pa.array(texts, pa.binary())],
                 ["id", "ids", "decoded"])
         sha = lambda data, cuts: [hashlib.sha256(data[a:z]).hexdigest() for a, z in zip(cuts, cuts[1:])]
         return pa.RecordBatch.from_arrays(
-            [names, pa.array(np.diff(upto)), pa.array(sha(memoryview(ids.astype("<u4").tobytes()), 4 * upto)), pa.array(sha(memoryview(decoded), ends))],
+            [names, pa.array(np.diff(upto)), pa.array(sha(memoryview(ids.astype("<u4").tobytes()), 4 * upto)), pa.array(sha(decoded, ends))],
             ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
