@@ -15,10 +15,11 @@ from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronCl
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagecut.ml import tuning
+from pagecut.ml.tuning import Setting
 from pagecut.session import path_status
 
 # Fixed values from the reference job.
@@ -106,34 +107,36 @@ def evaluator_metrics(pred: DataFrame, label: str = "label") -> dict[str, float]
     return out
 
 
-def param_grid(lr: LogisticRegression) -> list:
-    return (ParamGridBuilder().addGrid(lr.regParam, GRID_REG_PARAM)
-            .addGrid(lr.elasticNetParam, GRID_ELASTIC_NET).addGrid(lr.maxIter, GRID_MAX_ITER).build())
-
-
-def cross_validate(train: DataFrame, label: str = "label", fold_col: str | None = "fold",
-                   parallelism: int = 4, features: str = "scaled_features"):
-    """3-fold CV over the 27-point grid on areaUnderROC; returns the fitted
-    ``CrossValidatorModel`` (``bestModel``, ``avgMetrics``)."""
-    lr = logistic(features=features, label=label)
-    ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=param_grid(lr), evaluator=ev,
-                        numFolds=CV_FOLDS, parallelism=parallelism, seed=42)
-    if fold_col:
-        cv.setFoldCol(fold_col)
-    return cv.fit(train)
-
-
-def cv_metrics_table(cv_model, spark: SparkSession) -> DataFrame:
-    """``(regParam, elasticNetParam, maxIter, avg_auc, is_best)`` per grid point."""
-    rows = []
-    best = int(np.argmax(cv_model.avgMetrics))
-    for i, (pm, m) in enumerate(zip(cv_model.getEstimatorParamMaps(), cv_model.avgMetrics)):
-        named = {p.name: v for p, v in pm.items()}
-        rows.append((float(named["regParam"]), float(named["elasticNetParam"]), int(named["maxIter"]),
-                     float(m), i == best))
-    return spark.createDataFrame(rows, "regParam double, elasticNetParam double, maxIter int, "
-                                       "avg_auc double, is_best boolean")
+def param_grid() -> list[Setting]:
+    """The 27 settings: regularisation strength, elastic net share, iterations."""
+    return [Setting(r, e, i) for r in GRID_REG_PARAM for e in GRID_ELASTIC_NET for i in GRID_MAX_ITER]
+
+
+def cross_validated(train: DataFrame, label: str = "label", fold: str = "fold", features: str = "scaled_features",
+                    method: str = "joint", parallelism: int = 4) -> list[tuple[Setting, list[float]]]:
+    """Area under ROC of the grid's settings on every fold.
+
+    ``joint``: all settings of all folds in one pass per iteration (``features`` is
+    an array column); ``separate``: a Spark ML fit for each fold and setting (a vector
+    column), the area from the evaluator.
+    """
+    grid = param_grid()
+    if method == "separate":
+        evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
+        found = tuning.cross_validate(train, logistic(features=features, label=label), grid, evaluator, fold, CV_FOLDS, parallelism)
+        return list(zip(grid, found))
+    kinds = list(dict.fromkeys((s.regParam, s.elasticNetParam) for s in grid))
+    paths = tuning.joint_paths(train, kinds, GRID_MAX_ITER, CV_FOLDS, features, label, fold)
+    areas = tuning.held_out_auc(train, paths, features, label, fold)
+    return [(s, areas[s.maxIter, kinds.index((s.regParam, s.elasticNetParam))]) for s in grid]
+
+
+def grid_table(found: list[tuple[Setting, list[float]]], spark: SparkSession) -> DataFrame:
+    """``(regParam, elasticNetParam, maxIter, avg_auc, rank, is_best)``, one row per setting; equal areas rank in grid order."""
+    areas = [float(np.mean(a)) for _, a in found]
+    rank = {i: n for n, i in enumerate(sorted(range(len(found)), key=lambda i: (-areas[i], i)), 1)}
+    return spark.createDataFrame([(s.regParam, s.elasticNetParam, s.maxIter, areas[i], rank[i], rank[i] == 1) for i, (s, _) in enumerate(found)],
+                                 "regParam double, elasticNetParam double, maxIter int, avg_auc double, rank int, is_best boolean")
 
 
 def save_model(model, path: str, overwrite: bool = True) -> None:

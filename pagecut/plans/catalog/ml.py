@@ -6,6 +6,7 @@ the streaming split, whose output equals the batch split."""
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pagecut.functions.image import augment_udf, image_2d_udf, png_udf
@@ -69,7 +70,15 @@ def q_training_history(spark, root):
 
 
 def q_job_tune(spark, root):
-    return tune(_rows(spark, root), "vec_id", "y", model_path=scratch_path(spark, "tuned")).grid
+    """The grid with its folds: what is drawn by hash is checked by value, the areas and their ranks by what must hold."""
+    path = scratch_path(spark, "tuned")
+    res = tune(_rows(spark, root), "vec_id", "y", model_path=path)
+    kept = F.lit(path_status(spark, path) is not None)
+    n = table(spark, root, "embeddings").count() - res.held_out.count()
+    least_rank = F.rank().over(Window.orderBy(F.col("avg_auc").desc()))  # 27 rows
+    return res.grid.select("regParam", "elasticNetParam", "maxIter", F.lit(n).cast("bigint").alias("n_train"), kept.alias("saved"),
+                           F.col("avg_auc").between(0.5, 1.0).alias("area_in_range"),
+                           (F.col("is_best") == (F.col("rank") == 1)).alias("best_is_first"), (F.col("rank") >= least_rank).alias("ranked"))
 
 
 def q_cv_best_model(spark, root):
@@ -213,6 +222,11 @@ _MEAN2X2 = """(SELECT vec_id, (px[(2 * (i // 4)) * 8 + 2 * (i % 4) + 1] + px[(2
                      FROM embeddings), range(0, 16) t(i))"""
 
 SQL = {
+    "job_tune": """
+        SELECT CAST(r AS DOUBLE) AS regParam, CAST(e AS DOUBLE) AS elasticNetParam, CAST(i AS INTEGER) AS maxIter,
+               (SELECT count(*) FROM embeddings WHERE ('0x' || substr(md5(CAST(vec_id AS VARCHAR) || ':42'), 1, 8))::BIGINT % 100 >= 20) AS n_train,
+               true AS saved, true AS area_in_range, true AS best_is_first, true AS ranked
+        FROM (VALUES (0.01), (0.1), (0.5)) reg(r), (VALUES (0.0), (0.5), (1.0)) net(e), (VALUES (10), (20), (50)) iter(i)""",
     # the held-out part is the md5 bucket < 20; a reloaded model must give the same probabilities
     "model_roundtrip": """SELECT count(*) AS n, CAST(0.0 AS DOUBLE) AS max_abs_diff FROM embeddings
         WHERE ('0x' || substr(md5(CAST(vec_id AS VARCHAR) || ':42'), 1, 8))::BIGINT % 100 < 20""",

@@ -65,13 +65,52 @@ def test_dataframe_metrics_equal_evaluators(spark):
 
 def test_tune_grid_and_held_out(spark):
     from pagecut.plans.jobs import tune
-    res = tune(_rows(spark), "vec_id", "y", parallelism=8)
+    res = tune(_rows(spark), "vec_id", "y")
     g = res.grid.collect()
-    assert len(g) == 27 and sum(r["is_best"] for r in g) == 1
+    assert len(g) == 27 and sum(r["is_best"] for r in g) == 1 and sorted(r["rank"] for r in g) == list(range(1, 28))
+    assert max(g, key=lambda r: r["avg_auc"])["avg_auc"] == next(r["avg_auc"] for r in g if r["is_best"])
     assert {r["regParam"] for r in g} == {0.01, 0.1, 0.5} and {r["maxIter"] for r in g} == {10, 20, 50}
     assert res.held_out_auc > 0.85
 
 
+def test_tasks_keep_their_properties_apart(spark):
+    """Concurrent fits on one session: none sees another's execution id (20 rounds)."""
+    from pagecut.ml.tuning import run_apart
+    rows = models.to_vector(_rows(spark).limit(60).cache())
+    fit = lambda: models.logistic("features_vector", "y", max_iter=2).fit(rows).intercept
+    for _ in range(20):
+        found = run_apart(spark, [fit] * 8, 8)
+        assert len(found) == 8 and max(found) - min(found) < 1e-9
+
+
+def test_joint_paths_reach_the_separate_fits(spark):
+    from pagecut.ml.tuning import held_out_auc, joint_paths
+    from pagecut.operators.metrics import roc_auc
+    from pagecut.operators.sampling import fold_column
+    data = models.to_vector(_rows(spark)).withColumn("fold", fold_column(F.col("vec_id"), 3, 42))
+    data = models.scaler().fit(data).transform(data).withColumn("scaled", vector_to_array("scaled_features")).cache()
+    kinds = [(0.1, 0.0), (0.05, 0.5), (0.02, 1.0)]
+    paths = joint_paths(data, kinds, [5, 250], 3, "scaled", "y")
+    areas = held_out_auc(data, paths, "scaled", "y")
+    for s, (reg, elastic) in enumerate(kinds):
+        lr = models.logistic(label="y", max_iter=500, reg=reg, elastic=elastic).setTol(1e-10).setStandardization(False)
+        fitted = lr.fit(data.where("fold != 1"))
+        ours = paths[250][1, s]
+        assert abs(ours[0] - fitted.intercept) < 1e-3 and max(abs(ours[1:] - fitted.coefficients.toArray())) < 1e-3
+        pred = fitted.transform(data.where("fold = 1")).select(F.col("y").alias("label"), vector_to_array("rawPrediction")[1].alias("score"))
+        assert abs(areas[250, s][1] - roc_auc(pred).first()["auc"]) < 2e-3
+
+
+def test_separate_fits_rank_the_grid_alike(spark, monkeypatch):
+    from pagecut.plans.jobs import tune
+    monkeypatch.setattr(models, "GRID_REG_PARAM", [0.01, 0.5])
+    monkeypatch.setattr(models, "GRID_ELASTIC_NET", [0.0, 1.0])
+    monkeypatch.setattr(models, "GRID_MAX_ITER", [50])
+    a, b = ({(r["regParam"], r["elasticNetParam"]): r["avg_auc"] for r in tune(_rows(spark), "vec_id", "y", method=m).grid.collect()}
+            for m in ("joint", "separate"))
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 0.03 for k in a)
+
+
 def test_class_weights_instead_of_oversampling(spark):
     for mode in ("balanced", "ratio"):
         assert train(_rows(spark), "vec_id", "y", class_weights=mode).metrics["areaUnderROC"] > 0.85

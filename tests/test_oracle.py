@@ -33,6 +33,6 @@ def test_entry_smoke(spark):
 
 def test_every_query_runs(spark):
     for name, fn in E.queries().items():
-        if name in SQL or name in ("job_tune", "cv_best_model"):
+        if name in SQL:
             continue
         assert fn(spark, SF_SMALL).count() > 0, name
