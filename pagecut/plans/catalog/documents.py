@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pagecut.functions.paths import page_path
-from pagecut.functions.udfs import SplitPages, register_is_first_page
+from pagecut.functions.udfs import SplitPages, register_is_first_page, zip_udf
 from pagecut.operators import labels as L
 from pagecut.operators.pages import (bundles_present, drop_null_features, pages_per_bundle,
                                      text_page_features, text_to_pages)
@@ -14,6 +14,8 @@ from pagecut.plans import standins as S
 from pagecut.plans.jobs import label_pages, prepare_corpus
 from pagecut.session import scratch_path
 from pagecut.sinks import write_pages
+from pagecut.sinks.files import write_binary_files
+from pagecut.sources.bundles import read_bundles
 from pagecut.sources.tables import table
 
 PROCESSED = "2024-01-01T00:00:00"
@@ -28,8 +30,24 @@ def q_bundle_to_pages(spark, root):
 
 
 def q_udtf_pages(spark, root):
-    d = table(spark, root, "documents").alias("d")
-    return d.lateralJoin(SplitPages(F.col("d.text").outer())).select("doc_id", "page_number", "page_text")
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    return SplitPages(docs.asTable()).withColumnRenamed("id", "doc_id")
+
+
+def _write_bundles(spark, root):
+    """Every document as an archive of its lines; every 97th archive is torn off."""
+    pages = table(spark, root, "documents").select("doc_id", F.split("text", "\n").alias("pages"))
+    whole = pages.select("doc_id", zip_udf()("pages").alias("content"))
+    torn = F.when(F.col("doc_id") % 97 == 0, F.substring("content", 1, 40)).otherwise(F.col("content"))
+    path = scratch_path(spark, "bundles")
+    write_binary_files(whole.select(F.format_string("%d.zip", "doc_id").alias("name"), torn.alias("content")), "name", "content", path)
+    return path
+
+
+def q_binary_bundles(spark, root):
+    found = read_bundles(spark, _write_bundles(spark, root), report_errors=True)
+    return found.select(F.col("pdf_name").cast("bigint").alias("doc_id"), "page_number", F.octet_length("content").alias("n_bytes"),
+                        F.sha2("content", 256).alias("sha256"), F.col("error").isNotNull().alias("failed"))
 
 
 def q_pages_per_bundle(spark, root):
@@ -117,6 +135,7 @@ def q_sql_registered_udf(spark, root):
 
 
 QUERIES = {
+    "binary_bundles": q_binary_bundles,
     "bundle_to_pages": q_bundle_to_pages,
     "udtf_pages": q_udtf_pages,
     "pages_per_bundle": q_pages_per_bundle,
@@ -149,6 +168,11 @@ _PATHS = f"""(SELECT doc_id, page_number,
               FROM {_PAGES})"""
 
 SQL = {
+    "binary_bundles": """
+        SELECT doc_id, CAST(generate_subscripts(parts, 1) - 1 AS INTEGER) AS page_number, CAST(strlen(unnest(parts)) AS INTEGER) AS n_bytes,
+               sha256(unnest(parts)) AS sha256, false AS failed
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE doc_id % 97 <> 0)
+        UNION ALL SELECT doc_id, NULL, NULL, NULL, true FROM documents WHERE doc_id % 97 = 0 AND text IS NOT NULL""",
     "bundle_to_pages": f"SELECT doc_id, page_number, page_text FROM {_PAGES}",
     "udtf_pages": f"SELECT doc_id, page_number, page_text FROM {_PAGES}",
     "pages_per_bundle": f"SELECT doc_id, count(*) AS count FROM {_PAGES} GROUP BY doc_id",

@@ -1,42 +1,85 @@
-"""Per-row binary files (page images), written by the executors."""
+"""One file for each row (page images, bundles) on any store, through a data source with commit and abort."""
 
 from __future__ import annotations
 
-import os
+from collections.abc import Iterator
+from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from pagecut.sources.stores import Store, resolved
 
-def _local(path: str) -> str:
-    """POSIX path of ``path``; other file systems need a mounted view."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-        return path
-    if "://" in path:
-        raise ValueError(f"write_binary_files needs a POSIX-mounted folder, got {path!r}")
-    return path
+#: Marks a finished folder; it says how many files were written.
+DONE = "_SUCCESS"
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    files: int
+    bytes: int
+
+
+class _Writer(DataSourceArrowWriter):
+    """Each file is written whole under its own name, so a task that runs again changes nothing."""
+
+    def __init__(self, root: str):
+        self.root = root
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        store, n, size = Store(self.root), 0, 0
+        for batch in iterator:
+            for name, content in zip(batch.column(0), batch.column(1)):
+                data = content.as_py()
+                if not name.is_valid or data is None:
+                    continue
+                store.put(name.as_py(), data)
+                n, size = n + 1, size + len(data)
+        return Written(n, size)
+
+    def commit(self, messages: list[Written]) -> None:
+        done = [m for m in messages if m is not None]
+        Store(self.root).put(DONE, f"{sum(m.files for m in done)} {sum(m.bytes for m in done)}\n".encode())
+
+    def abort(self, messages: list[Written]) -> None:
+        """The folder stays without its mark; the same write can be run again over it."""
+        Store(self.root).drop(DONE)
+
+
+class PageFiles(DataSource):
+    """Sink ``pagecut_files``: columns (name, content), option ``path``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "pagecut_files"
+
+    def schema(self) -> str:
+        return "name string, content binary"
+
+    def writer(self, schema, overwrite: bool) -> _Writer:
+        return _Writer(self.options["path"])
 
 
 def write_binary_files(df: DataFrame, name_col: str, content_col: str, root: str) -> None:
-    """Write ``content`` to ``<root>/<name>``, one file per row.
+    """Write ``content`` to ``<root>/<name>``, one file for each row, then ``_SUCCESS`` with their number.
 
-    Names must be unique and deterministic: a retried task rewrites the
-    same files (write to a temporary name, then rename), so the result does
-    not depend on retries.  ``root`` must be a folder every executor mounts
-    (a POSIX view of the shared store).
+    Names must be unique; rows with a null name or content write nothing.  ``root`` may be
+    on any store that Hadoop resolves to one that Arrow writes.  If a task fails for good, the
+    folder has no ``_SUCCESS``.
     """
-    base = _local(root)
-
-    def run(rows):
-        os.makedirs(base, exist_ok=True)
-        for r in rows:
-            target = os.path.join(base, r[name_col])
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            tmp = target + ".tmp"
-            with open(tmp, "wb") as fh:
-                fh.write(bytes(r[content_col]))
-            os.replace(tmp, target)
-
-    df.select(name_col, content_col).foreachPartition(run)
+    df.sparkSession.dataSource.register(PageFiles)
+    files = df.select(F.col(name_col).cast("string").alias("name"), F.col(content_col).cast("binary").alias("content"))
+    files.write.format(PageFiles.name()).mode("append").save(resolved(df.sparkSession, root, make=True))
+
+
+def finished(root: str) -> tuple[int, int] | None:
+    """(files, bytes) that the write of a resolved folder reported; None if it isn't finished."""
+    store = Store(root)
+    try:
+        with store.open(f"{store.root}/{DONE}") as file:
+            n, size = file.read().split()
+    except FileNotFoundError:
+        return None
+    return int(n), int(size)
