@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagecut.operators.prefix import running_sums
-from pagecut.session import materialize
+from pagecut.session import materialize, materialize_observed
 
 
 def ratio(num: Column, den: Column) -> Column:
@@ -31,41 +31,44 @@ def threshold(score: Column, t: float = 0.5) -> Column:
     return (score > F.lit(t)).cast("int")
 
 
-def pair_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    return df.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("count"))
+def _rows(count: str | None) -> Column:
+    """Number of rows, or of rows that ``count`` says a row stands for."""
+    return F.sum(count) if count else F.count(F.lit(1))
 
 
-def pair_table(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def pair_counts(df: DataFrame, label: str, prediction: str, count: str | None = None) -> DataFrame:
+    return df.groupBy(label, prediction).agg(_rows(count).alias("count"))
+
+
+def pair_table(df: DataFrame, label: str = "label", prediction: str = "prediction", count: str | None = None) -> DataFrame:
     """``(label, prediction, count)`` computed in one pass over the data and
     written to the shared scratch folder, so every report derived from it reuses
     the single aggregate instead of re-scanning the data, whatever the number
-    of classes."""
-    return materialize(pair_counts(df, label, prediction), "pairs")
-
-
-def _classes(pairs: DataFrame, label: str, prediction: str) -> list:
-    vals = {r[0] for r in pairs.select(label).collect()} | {r[0] for r in pairs.select(prediction).collect()}
-    return sorted(v for v in vals if v is not None)
+    of classes.  ``count`` names a column of rows counted before."""
+    return materialize(pair_counts(df, label, prediction, count), "pairs")
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction",
-                     classes: Sequence | None = None) -> DataFrame:
-    """All ``k x k`` cells ``(label, prediction, count)``, zeros included."""
-    spark = df.sparkSession
-    pairs = pair_table(df, label, prediction)
-    classes = list(classes) if classes is not None else _classes(pairs, label, prediction)
-    ltype = df.schema[label].dataType
-    ptype = df.schema[prediction].dataType
-    grid = spark.createDataFrame([(a, b) for a in classes for b in classes], [label, prediction]) \
-        .select(F.col(label).cast(ltype), F.col(prediction).cast(ptype))
+                     classes: Sequence | None = None, count: str | None = None) -> DataFrame:
+    """All ``k x k`` cells ``(label, prediction, count)``, zeros included.
+
+    The grid is the result's own size: every class that occurs (or of ``classes``)
+    against every other, made from a table of classes."""
+    pairs = pair_table(df, label, prediction, count)
+    ltype, ptype = df.schema[label].dataType, df.schema[prediction].dataType
+    if classes is not None:
+        values = df.sparkSession.createDataFrame([(c,) for c in classes], ["class"]).distinct()
+    else:
+        values = pairs.select(F.col(label).alias("class")).union(pairs.select(prediction)).where("class is not null").distinct()
+    grid = values.select(F.col("class").cast(ltype).alias(label)).crossJoin(values.select(F.col("class").cast(ptype).alias(prediction)))
     return grid.join(pairs, [label, prediction], "left") \
         .withColumn("count", F.coalesce("count", F.lit(0)).cast("bigint"))
 
 
-def per_class(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def per_class(df: DataFrame, label: str = "label", prediction: str = "prediction", count: str | None = None) -> DataFrame:
     """``(class, tp, n_pred, support, precision, recall, f1)`` per class,
     from the pair table (one pass over ``df``)."""
-    pairs = pair_table(df, label, prediction)
+    pairs = pair_table(df, label, prediction, count)
     by_label = pairs.groupBy(F.col(label).alias("class")).agg(
         F.sum("count").alias("support"),
         F.sum(F.when(F.col(label) == F.col(prediction), F.col("count")).otherwise(0)).alias("tp"))
@@ -78,11 +81,12 @@ def per_class(df: DataFrame, label: str = "label", prediction: str = "prediction
                     harmonic(p, r).alias("f1"))
 
 
-def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction",
+                          count: str | None = None) -> DataFrame:
     """Rows per class, then ``accuracy``, ``macro avg``, ``weighted avg``:
     ``(row, precision, recall, f1, support)``; the accuracy row carries the
     accuracy in ``f1`` and nulls in precision and recall."""
-    pc = per_class(df, label, prediction)
+    pc = per_class(df, label, prediction, count)
     classes = pc.select(F.col("class").cast("string").alias("row"), "precision", "recall", "f1",
                         "support")
     tot = pc.agg(F.sum("support").alias("n"), F.sum("tp").alias("tp"),
@@ -139,21 +143,19 @@ def log_loss(df: DataFrame, label: str, prob: Column, eps: float = 1e-7) -> Data
                   F.count(F.lit(1)).alias("n"))
 
 
-def _score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Positives and negatives per distinct score, written once: ranking and totals reread them."""
+def _score_counts(df: DataFrame, label: str, score: str, count: str | None = None) -> tuple[DataFrame, int, int, int]:
+    """(positives and negatives per distinct score, their totals, number of scores): written once,
+    the totals are taken while it is written."""
+    rows = F.col(count) if count else F.lit(1).cast("long")
     counts = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("score")).agg(
-        F.sum((F.col(label) == 1).cast("long")).alias("pos"),
-        F.sum((F.col(label) != 1).cast("long")).alias("neg"))
-    return materialize(counts, "scores")
-
-
-def _totals(counts: DataFrame) -> tuple[int, int]:
-    row = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
-    return int(row["p"] or 0), int(row["n"] or 0)
+        F.sum(F.when(F.col(label) == 1, rows).otherwise(0)).alias("pos"),
+        F.sum(F.when(F.col(label) != 1, rows).otherwise(0)).alias("neg"))
+    table, seen = materialize_observed(counts, "scores", p=F.sum("pos"), q=F.sum("neg"), n=F.count(F.lit(1)))
+    return table, int(seen["p"] or 0), int(seen["q"] or 0), int(seen["n"] or 0)
 
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score",
-              strategy: str = "auto", drop_intermediate: bool = False) -> DataFrame:
+              strategy: str = "auto", drop_intermediate: bool = False, count: str | None = None) -> DataFrame:
     """``(threshold, fpr, tpr)`` at every distinct score, plus the start
     ``(+inf, 0, 0)``.  Running true/false positive counts by descending score
     come from ``running_sums`` over the per-score counts (no single-task
@@ -162,11 +164,10 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score",
     ``drop_intermediate`` removes points collinear with both neighbours (the
     first and last score points are kept; the start is added afterwards).  Neighbours are found by equi-joins on a
     running point index, not by a global ``lag``/``lead``."""
-    counts = _score_counts(df, label, score)
-    P, N = _totals(counts)
+    counts, P, N, n_scores = _score_counts(df, label, score, count)
     ranked = running_sums(counts.withColumn("__desc", -F.col("score")),
                           {"tp": F.col("pos"), "fp": F.col("neg"), "__i": F.lit(1)}, ["__desc"],
-                          strategy=strategy, max_rows=P + N)
+                          strategy=strategy, max_rows=n_scores)
     if drop_intermediate:
         pts0 = ranked.select("score", "tp", "fp", "__i")
         prev = pts0.select((F.col("__i") + 1).alias("__i"), F.col("tp").alias("tp_p"), F.col("fp").alias("fp_p"))
@@ -183,13 +184,14 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score",
     return start.union(pts)
 
 
-def roc_auc(df: DataFrame, label: str = "label", score: str = "score", strategy: str = "auto") -> DataFrame:
+def roc_auc(df: DataFrame, label: str = "label", score: str = "score", strategy: str = "auto",
+            count: str | None = None) -> DataFrame:
     """Exact ROC AUC, ties counted half (equals the trapezoid under ``roc_curve``).
 
     ``AUC = sum_s neg(s) * (pos(>s) + pos(s) / 2) / (P * N)``."""
-    counts = _score_counts(df, label, score)
+    counts, _, _, n_scores = _score_counts(df, label, score, count)
     ranked = running_sums(counts.withColumn("__desc", -F.col("score")), {"cum_pos": F.col("pos")},
-                          ["__desc"], strategy=strategy)
+                          ["__desc"], strategy=strategy, max_rows=n_scores)
     s = ranked.agg(F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") / F.lit(2.0))).alias("u"),
                    F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return s.select(ratio(F.col("u"), F.col("P").cast("double") * F.col("N")).alias("auc"),
@@ -228,28 +230,27 @@ def first_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
 
 
 def eval_report(df: DataFrame, label: str = "label", prediction: str = "prediction",
-                score: str = "score") -> DataFrame:
+                score: str = "score", count: str | None = None) -> DataFrame:
     """One nested record: ``model_performance{accuracy, auc_roc, total_samples,
     error_rate}`` (error rate as a fraction) and ``class_distribution{actual,
-    predicted}`` (class -> count maps).
+    predicted}`` (class -> count maps, so the record has a field for each class).
 
-    The parts are one-row aggregates (and at most ``2k`` class counts), so they
-    are assembled on the driver instead of joining single rows."""
-    pairs = pair_table(df, label, prediction)  # accuracy and class counts come from the one aggregate
-    auc = roc_auc(df, label, score).first()
+    The parts are one-row aggregates of the pair and score tables, put side by side."""
+    pairs = pair_table(df, label, prediction, count)  # accuracy and class counts come from the one aggregate
     wrong = F.when(F.col(label) != F.col(prediction), F.col("count")).otherwise(0)
-    acc = pairs.agg(F.sum("count").alias("total"), F.sum(wrong).alias("errors")).first()
-    actual = {str(r[0]): int(r[1]) for r in pairs.groupBy(label).agg(F.sum("count")).collect()}
-    predicted = {str(r[0]): int(r[1]) for r in pairs.groupBy(prediction).agg(F.sum("count")).collect()}
-    # fixed names: the report's fields
-    schema = ("model_performance struct<accuracy: double, auc_roc: double, total_samples: bigint, "
-              "error_rate: double>, class_distribution struct<actual: map<string, bigint>, "
-              "predicted: map<string, bigint>>")
-    total, errors = int(acc["total"] or 0), int(acc["errors"] or 0)
     # the report's error rate is a fraction (the printed rate is a percentage)
-    row = (((total - errors) / total if total else 0.0, float(auc["auc"]), total, errors / total if total else 0.0),
-           (actual, predicted))
-    return df.sparkSession.createDataFrame([row], schema)
+    total = pairs.agg(F.coalesce(F.sum("count"), F.lit(0)).cast("bigint").alias("n"), F.coalesce(F.sum(wrong), F.lit(0)).alias("wrong"))
+
+    def classes(column: str, name: str) -> DataFrame:
+        per = pairs.groupBy(F.col(column).cast("string").alias("class")).agg(F.sum("count").alias("n"))
+        per = per.where("class is not null")
+        return per.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("class", "n")))).alias(name))
+
+    side = total.crossJoin(roc_auc(df, label, score, count=count)).crossJoin(classes(label, "actual")) \
+        .crossJoin(classes(prediction, "predicted"))  # one row each
+    performance = F.struct(ratio(F.col("n") - F.col("wrong"), F.col("n")).alias("accuracy"), F.col("auc").alias("auc_roc"),
+                           F.col("n").alias("total_samples"), ratio(F.col("wrong"), F.col("n")).alias("error_rate"))
+    return side.select(performance.alias("model_performance"), F.struct("actual", "predicted").alias("class_distribution"))
 
 
 def match_sets(pred: DataFrame, true: DataFrame, keys: Sequence[str]) -> DataFrame:

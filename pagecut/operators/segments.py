@@ -109,11 +109,16 @@ def write_segments(seg_pages: DataFrame, path: str, keys: Sequence[str], page_co
     with the number of segments.  ``folders``: one folder per segment,
     ``<key>=../segment_id=..`` (the one-output-per-segment layout); rows are
     shuffled on ``(keys, segment_id, page block)`` so a giant segment is
-    written by many tasks.
+    written by many tasks.  ``in_place``: rows stay where the cut left them (a bundle's
+    pages in order, in one task or a few), without another shuffle; Bloom
+    filters on the keys prune the read of one bundle.
     """
     order = [*keys, "segment_id", page_col]
     if layout == "clustered":
         seg_pages.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).parquet(path)
+    elif layout == "in_place":
+        blooms = {f"parquet.bloom.filter.enabled#{k}": "true" for k in keys}
+        seg_pages.write.mode(mode).options(**blooms).parquet(path)
     elif layout == "folders":
         block = F.floor(F.col(page_col) / F.lit(pages_per_file))
         seg_pages.repartition(*keys, "segment_id", block).write.mode(mode) \

@@ -64,6 +64,13 @@ def q_segment_documents(spark, root):
         F.max_by("event_id", "page_number").alias("last_event_id"))
 
 
+def q_job_split_written(spark, root):
+    """Ranges as the written segments give them."""
+    _, ranges = split_bundles(S.events(spark, root), KEYS, ORDER, S.is_signup(), out_path=scratch_path(spark, "segments"))
+    return ranges.select("user_id", "segment_id", "segment_name", "start_page", "end_page",
+                         F.col("n_pages").cast("bigint").alias("n_pages"), "total_pages")
+
+
 def q_job_split(spark, root):
     _, ranges = split_bundles(S.events(spark, root), KEYS, ORDER, S.is_signup())
     return ranges.select("user_id", "segment_id", "segment_name", "start_page", "end_page",
@@ -104,6 +111,7 @@ QUERIES = {
     "predicted_first_pages": q_predicted_first_pages,
     "segment_documents": q_segment_documents,
     "job_split": q_job_split,
+    "job_split_written": q_job_split_written,
     "threshold_predictions": q_threshold_predictions,
     "log_loss": q_log_loss,
     "iso_timestamp": q_iso_timestamp,
@@ -145,6 +153,7 @@ SQL = {
                arg_max(event_id, page_number) AS last_event_id
         FROM ({_SEGMENT_PAGES}) GROUP BY user_id, segment_id""",
     "job_split": _RANGES,
+    "job_split_written": _RANGES,
     "threshold_predictions": """
         SELECT event_id, round(value / 500.0, 6) AS score, CAST(value / 500.0 > 0.5 AS INTEGER) AS prediction
         FROM events""",

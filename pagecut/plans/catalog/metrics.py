@@ -9,7 +9,7 @@ from pagecut.functions.formats import metric_text, percent_text
 from pagecut.operators import metrics as M
 from pagecut.plans import standins as S
 from pagecut.plans.catalog.common import r6
-from pagecut.plans.jobs import evaluate
+from pagecut.plans.jobs import evaluate, evaluate_whole
 from pagecut.session import scratch_path
 from pagecut.sinks import write_csv
 from pagecut.sources.tables import table
@@ -96,6 +96,26 @@ def q_job_evaluate(spark, root):
     return _flat_report(spark.read.json(f"{out}/report"))
 
 
+def q_job_evaluate_whole(spark, root):
+    """All parts of the evaluation as they come back from its folder, one kind of row for each."""
+    found = evaluate_whole(_fx(spark, root), out_dir=scratch_path(spark, "evaluation"))
+    none = F.lit(None).cast("double")
+
+    def part(df, name, key, key2, a, b, c, n):
+        cells = dict(key=key, key2=key2, a=a, b=b, c=c, n=n)
+        kinds = dict(key="string", key2="string", a="double", b="double", c="double", n="bigint")
+        return df.select(F.lit(name).alias("part"), *[(r6(v.cast("double")) if kinds[k] == "double" else v.cast(kinds[k])).alias(k)
+                                                      for k, v in cells.items()])
+
+    col, text = F.col, F.lit(None).cast("string")
+    seen = spark.createDataFrame([(found.n_rows, found.n_errors)], "n long, wrong long")
+    return part(found.confusion, "confusion", col("label"), col("prediction"), none, none, none, col("count")) \
+        .union(part(found.classes, "class", col("row"), text, col("precision"), col("recall"), col("f1"), col("support"))) \
+        .union(part(found.roc, "roc", text, text, col("threshold"), col("fpr"), col("tpr"), F.lit(None))) \
+        .union(part(found.errors, "error", col("doc_id"), F.concat_ws(">", "label", "prediction"), col("score"), none, none, F.lit(1))) \
+        .union(part(seen, "seen", text, text, col("wrong"), none, none, col("n")))
+
+
 def q_csv_roundtrip(spark, root):
     path = scratch_path(spark, "csv")
     write_csv(table(spark, root, "labels"), path)
@@ -123,6 +143,7 @@ QUERIES = {
     "class_distribution": q_class_distribution,
     "eval_report": q_eval_report,
     "job_evaluate": q_job_evaluate,
+    "job_evaluate_whole": q_job_evaluate_whole,
     "csv_roundtrip": q_csv_roundtrip,
     "metric_strings": q_metric_strings,
 }
@@ -221,3 +242,11 @@ SQL = {
 }
 
 SQL["roc_curve_chunked"] = SQL["roc_curve"]
+
+SQL["job_evaluate_whole"] = f"""
+    SELECT 'confusion' AS part, CAST(label AS VARCHAR) AS key, CAST(prediction AS VARCHAR) AS key2, CAST(NULL AS DOUBLE) AS a,
+           CAST(NULL AS DOUBLE) AS b, CAST(NULL AS DOUBLE) AS c, CAST(count AS BIGINT) AS n FROM ({SQL["confusion_matrix"]})
+    UNION ALL SELECT 'class', row, NULL, precision, recall, f1, support FROM ({SQL["classification_report"]})
+    UNION ALL SELECT 'roc', NULL, NULL, threshold, fpr, tpr, NULL FROM ({SQL["roc_curve"]})
+    UNION ALL SELECT 'error', CAST(doc_id AS VARCHAR), label || '>' || prediction, score, NULL, NULL, 1 FROM ({SQL["error_rows"]})
+    UNION ALL SELECT 'seen', NULL, NULL, errors, NULL, NULL, total FROM {_ACC}"""

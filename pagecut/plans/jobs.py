@@ -21,7 +21,7 @@ from pagecut.operators import metrics as M
 from pagecut.operators.pages import text_page_features
 from pagecut.operators.sampling import fold_column, oversample_minority, split_hash
 from pagecut.operators.segments import segment_pages, segment_ranges, write_segments
-from pagecut.session import materialize
+from pagecut.session import materialize, materialize_observed
 from pagecut.sinks import write_csv, write_json, write_lines, write_parquet
 
 
@@ -129,39 +129,73 @@ def split_bundles(pages: DataFrame, keys: Sequence[str], order: Sequence[str], i
 
     With ``number=False`` the pages are already numbered and ``order[0]`` is
     the page-number column.  With ``out_path`` every segment is written so it
-    can be read on its own (``write_segments``).
+    can be read on its own (``write_segments``): the cut runs once, in the write, and
+    pages and ranges come from the written table.
     """
     seg = segment_pages(pages, keys, order, is_first, number=number, include_leading=True,
                         strategy=strategy)
     page_col = "page_number" if number else order[0]
-    # our own numbering has no gaps; given page numbers (file names) may
-    ranges = segment_ranges(seg, keys, page_col, contiguous=number)
     kept = seg if include_leading else seg.where(F.col("segment_id") > 0)
-    if out_path:
-        write_segments(kept, out_path, keys, page_col)
-    return kept, ranges
+    if not out_path:
+        # our own numbering has no gaps; given page numbers (file names) may
+        return kept, segment_ranges(seg, keys, page_col, contiguous=number)
+    write_segments(kept, out_path, keys, page_col, layout="in_place")
+    written = pages.sparkSession.read.schema(kept.schema).parquet(out_path)
+    # a bundle's last segment runs to its end, so the highest page written tells its length
+    total = written.groupBy(*keys).agg((F.max(page_col) + 1).cast("int").alias("total_pages"))
+    return written, segment_ranges(written, keys, page_col, total, contiguous=number)
+
+
+@dataclass
+class Evaluation:
+    """Everything that is said about one set of predictions."""
+    report: DataFrame
+    confusion: DataFrame
+    classes: DataFrame
+    roc: DataFrame
+    errors: DataFrame
+    n_rows: int
+    n_errors: int
+
+
+def evaluate_whole(pred: DataFrame, out_dir: str | None = None, label: str = "label", prediction: str = "prediction",
+                   score: str = "score", bundle: str | None = None, page: str | None = None) -> Evaluation:
+    """Report, confusion matrix, per-class report, ROC curve and error rows from one pass over ``pred``.
+
+    The pass writes the flat columns once and counts rows and errors on the way (scoring a model
+    again for each metric would be the expensive part); one aggregate of the written table by
+    label, prediction and score then feeds every metric.  With ``out_dir`` the parts
+    are written there: ``errors`` (CSV), ``report`` (JSON), ``confusion``, ``classes``, ``roc`` (Parquet)
+    and come back as read from there.  With ``bundle`` and ``page`` the error table has the
+    error-analysis layout (``error_table``)."""
+    from pyspark.sql import types as T
+    flat = [f.name for f in pred.schema.fields
+            if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.UserDefinedType))]
+    wrong = F.col(label) != F.col(prediction)
+    rows, seen = materialize_observed(pred.select(*flat), "predictions", n=F.count(F.lit(1)),
+                                      wrong=F.coalesce(F.sum(wrong.cast("long")), F.lit(0)))
+    counts = materialize(rows.groupBy(label, prediction, score).agg(F.count(F.lit(1)).alias("n_rows")), "counts")
+    errors = M.error_table(rows, label, prediction, score, bundle, page) if bundle and page else M.error_rows(rows, label, prediction)
+    found = Evaluation(M.eval_report(counts, label, prediction, score, "n_rows"),
+                       M.confusion_matrix(counts, label, prediction, count="n_rows"),
+                       M.classification_report(counts, label, prediction, "n_rows"),
+                       M.roc_curve(counts, label, score, count="n_rows"), errors, seen["n"], seen["wrong"])
+    if out_dir:
+        spark = pred.sparkSession
+        write_csv(found.errors, f"{out_dir}/errors")
+        found.errors = spark.read.option("header", True).schema(found.errors.schema).csv(f"{out_dir}/errors")
+        write_json(found.report, f"{out_dir}/report")
+        for name in ("confusion", "classes", "roc"):
+            write_parquet(getattr(found, name), f"{out_dir}/{name}")
+            setattr(found, name, spark.read.parquet(f"{out_dir}/{name}"))
+    return found
 
 
 def evaluate(pred: DataFrame, out_dir: str | None = None, label: str = "label",
              prediction: str = "prediction", score: str = "score", bundle: str | None = None,
              page: str | None = None) -> DataFrame:
-    """Report record (accuracy, AUC, total, error rate, class distribution);
-    with ``out_dir`` also writes the error table (CSV) and the report (JSON).
-
-    With ``bundle`` and ``page`` the CSV has the error-analysis layout
-    (``error_table``); otherwise it holds the flat columns of the errors."""
-    report = M.eval_report(pred, label, prediction, score)
-    if out_dir:
-        from pyspark.sql import types as T
-        if bundle and page:
-            errors = M.error_table(pred, label, prediction, score, bundle, page)
-        else:
-            flat = [f.name for f in pred.schema.fields
-                    if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.UserDefinedType))]
-            errors = M.error_rows(pred, label, prediction).select(*flat)
-        write_csv(errors, f"{out_dir}/errors")
-        write_json(report, f"{out_dir}/report")
-    return report
+    """The report record of ``evaluate_whole`` (accuracy, AUC, total, error rate, class distribution)."""
+    return evaluate_whole(pred, out_dir, label, prediction, score, bundle, page).report
 
 
 @dataclass

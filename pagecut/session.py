@@ -97,6 +97,14 @@ def materialize(df, name: str):
     return df.sparkSession.read.parquet(path)
 
 
+def materialize_observed(df, name: str, **totals):
+    """``materialize`` with aggregates of the same rows, taken while they are written: (table, {name: value})."""
+    from pyspark.sql import Observation
+    seen = Observation(name)
+    table = materialize(df.observe(seen, *[column.alias(alias) for alias, column in totals.items()]), name)
+    return table, seen.get
+
+
 def path_status(spark: SparkSession, path: str):
     """Hadoop's status of ``path`` on the file system that it names (the default one without a scheme); None if missing."""
     jvm = spark.sparkContext._jvm
