@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagecut.operators.prefix import running_sums
-from pagecut.session import materialize, materialize_observed
+from pagecut.session import materialize, materialize_counted
 
 
 def ratio(num: Column, den: Column) -> Column:
@@ -145,12 +145,12 @@ def log_loss(df: DataFrame, label: str, prob: Column, eps: float = 1e-7) -> Data
 
 def _score_counts(df: DataFrame, label: str, score: str, count: str | None = None) -> tuple[DataFrame, int, int, int]:
     """(positives and negatives per distinct score, their totals, number of scores): written once,
-    the totals are taken while it is written."""
+    the totals are taken from there."""
     rows = F.col(count) if count else F.lit(1).cast("long")
     counts = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("score")).agg(
         F.sum(F.when(F.col(label) == 1, rows).otherwise(0)).alias("pos"),
         F.sum(F.when(F.col(label) != 1, rows).otherwise(0)).alias("neg"))
-    table, seen = materialize_observed(counts, "scores", p=F.sum("pos"), q=F.sum("neg"), n=F.count(F.lit(1)))
+    table, seen = materialize_counted(counts, "scores", p=F.sum("pos"), q=F.sum("neg"), n=F.count(F.lit(1)))
     return table, int(seen["p"] or 0), int(seen["q"] or 0), int(seen["n"] or 0)
 
 

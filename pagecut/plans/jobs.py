@@ -21,7 +21,7 @@ from pagecut.operators import metrics as M
 from pagecut.operators.pages import text_page_features
 from pagecut.operators.sampling import fold_column, oversample_minority, split_hash
 from pagecut.operators.segments import segment_pages, segment_ranges, write_segments
-from pagecut.session import materialize, materialize_observed
+from pagecut.session import materialize, materialize_counted
 from pagecut.sinks import write_csv, write_json, write_lines, write_parquet
 
 
@@ -162,7 +162,7 @@ def evaluate_whole(pred: DataFrame, out_dir: str | None = None, label: str = "la
                    score: str = "score", bundle: str | None = None, page: str | None = None) -> Evaluation:
     """Report, confusion matrix, per-class report, ROC curve and error rows from one pass over ``pred``.
 
-    The pass writes the flat columns once and counts rows and errors on the way (scoring a model
+    The pass writes the flat columns once (scoring a model
     again for each metric would be the expensive part); one aggregate of the written table by
     label, prediction and score then feeds every metric.  With ``out_dir`` the parts
     are written there: ``errors`` (CSV), ``report`` (JSON), ``confusion``, ``classes``, ``roc`` (Parquet)
@@ -172,7 +172,7 @@ def evaluate_whole(pred: DataFrame, out_dir: str | None = None, label: str = "la
     flat = [f.name for f in pred.schema.fields
             if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.UserDefinedType))]
     wrong = F.col(label) != F.col(prediction)
-    rows, seen = materialize_observed(pred.select(*flat), "predictions", n=F.count(F.lit(1)),
+    rows, seen = materialize_counted(pred.select(*flat), "predictions", n=F.count(F.lit(1)),
                                       wrong=F.coalesce(F.sum(wrong.cast("long")), F.lit(0)))
     counts = materialize(rows.groupBy(label, prediction, score).agg(F.count(F.lit(1)).alias("n_rows")), "counts")
     errors = M.error_table(rows, label, prediction, score, bundle, page) if bundle and page else M.error_rows(rows, label, prediction)

@@ -97,12 +97,13 @@ def materialize(df, name: str):
     return df.sparkSession.read.parquet(path)
 
 
-def materialize_observed(df, name: str, **totals):
-    """``materialize`` with aggregates of the same rows, taken while they are written: (table, {name: value})."""
-    from pyspark.sql import Observation
-    seen = Observation(name)
-    table = materialize(df.observe(seen, *[column.alias(alias) for alias, column in totals.items()]), name)
-    return table, seen.get
+def materialize_counted(df, name: str, **totals):
+    """``materialize`` and aggregates of the written rows: (table, {name: value}).
+
+    Not by ``Observation``: a session that has used one can no longer run a freshly fitted
+    logistic model, whose training summary takes the session along."""
+    table = materialize(df, name)
+    return table, table.agg(*[column.alias(alias) for alias, column in totals.items()]).first().asDict()
 
 
 def path_status(spark: SparkSession, path: str):
