@@ -46,8 +46,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 #: Costs (log probability) of the channel: imitate, drop a separator, keep it as a border, shrink a repetition.
 _IMITATE, _DROP, _BORDER, _SHRINK = -1.0, -0.1, -1.5, -0.5
 STEMS = (4, 5, 6)
-#: Characters decoded in one lattice.
-MAX_STRETCH = 80
+#: Longest stretch whose reading is remembered.
+REMEMBER = 80
 
 
 def _table() -> np.ndarray:
@@ -138,7 +138,7 @@ class Restorer:
             return self.known[stretch]
         if len(self.known) > 200_000:
             self.known.clear()
-        best = {(0, 0): (0.0, "")}  # last two classes -> (score, reading)
+        best = {(0, 0): (0.0, None)}  # last two classes -> (score, reading as a chain of its pieces)
         for options in self._lattice(stretch):
             new: dict = {}
             for (a, b), (score, text) in best.items():
@@ -149,20 +149,23 @@ class Restorer:
                         s += self.model[x][y][z]
                         x, y = y, z
                     if (x, y) not in new or s > new[x, y][0]:
-                        new[x, y] = (s, text + letters)
+                        new[x, y] = (s, (text, letters))
             best = new
-        found = max((s + self.model[a][b][0], text) for (a, b), (s, text) in best.items())[1]
-        self.known[stretch] = found
+        (a, b), (_, chain) = max(best.items(), key=lambda e: (e[1][0] + self.model[e[0][0]][e[0][1]][0], e[0]))
+        pieces = []
+        while chain:
+            chain, letters = chain
+            pieces.append(letters)
+        found = "".join(reversed(pieces))
+        if len(stretch) <= REMEMBER:
+            self.known[stretch] = found
         return found
 
     def restore(self, text: str) -> str:
         """``text`` in lower case with every disguised stretch replaced by its reading."""
         def put(m):
             s = m.group()
-            if sum(c.isalpha() for c in s) < 2:
-                return s
-            # a very long stretch is read piece by piece
-            return "".join(self.read(s[i:i + MAX_STRETCH]) for i in range(0, len(s), MAX_STRETCH))
+            return self.read(s) if sum(c.isalpha() for c in s) >= 2 else s
 
         text = text.lower()
         return SUSPICIOUS.sub(put, text) if _HINT.search(text) else text
@@ -190,7 +193,9 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, max_labelled: i
     """
     labels = labels.where("id is not null and toxic is not null").groupBy("id").agg(F.max("toxic").alias("toxic"))
     some = labels.orderBy(F.xxhash64("id"), "id").limit(max_labelled)
-    rows = docs.where("text is not null").join(F.broadcast(some), "id").select("id", "text", F.col("toxic").cast("int"))
+    rows = docs.where("text is not null").join(F.broadcast(some), "id")
+    # rows that repeat an id count as one: the least of their texts
+    rows = rows.groupBy("id").agg(F.min("text").alias("text"), F.max(F.col("toxic").cast("int")).alias("toxic"))
     # near copies of a text say no more than the text: of those that agree in a least shingle hash, one is learnt from
     hashes = [let(F.split(F.lower("text"), BLANK + "+"), lambda ws: F.array_min(F.transform(
         ws, lambda w, i: F.xxhash64(w, F.get(ws, i + 1), F.get(ws, i + 2), F.lit(k))))).alias(f"s{k}") for k in range(3)]

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from pagecut.llm.common import BLANK, let, store
 
 KINDS = ("email", "ip", "card", "phone", "id")
-#: Stands for a character that a match may not cross; texts that hold it get a blank there.
-MARK = "\ue000"
+#: Stands for a character that a match may not cross; texts that hold it get another that is in no pattern.
+MARK, OTHER = "\ue000", "\ue001"
 _LOCAL = f"[A-Za-z0-9._%+{MARK}-]"
 EMAIL = rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++\.[A-Za-z0-9.-]++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
@@ -44,7 +44,7 @@ def _found(text: Column) -> Column:
 
     The texts beside it are those of tokens only; each is cut to what two words need.
     """
-    clean = F.translate(text, MARK, " ")
+    clean = F.translate(text, MARK, OTHER)
     dots = F.regexp_replace(clean, r"(?<![A-Za-z0-9-])\.|\.(?![A-Za-z0-9-])", MARK)
     seps = F.regexp_replace(clean, r"(?<=[0-9])[\x20-](?![0-9])", MARK)
     sources = ((clean.contains("@"), dots, EMAIL), (clean.contains("."), clean, IP), (F.lit(True), seps, CARD),

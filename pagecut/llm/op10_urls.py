@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagecut.llm.common import store
 from pagecut.llm.components import connected_components
 
 #: (verdict, host, path)
@@ -67,10 +68,23 @@ def link_target(html: Column, url: Column) -> list[Column]:
     refresh = F.regexp_extract(html, r"(?i)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh)[^>]*?\burl\s*=\s*['\"]?([^\"'\s>]+)", 1)
     canonical = F.regexp_extract(html, r"(?i)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical)[^>]*?\bhref" + attr, 1)
     og = F.regexp_extract(html, r"(?i)<meta\b(?=[^>]*\bproperty\s*=\s*[\"']?og:url)[^>]*?\bcontent" + attr, 1)
-    base = F.regexp_extract(url, r"^[^:/?#]+://[^/?#]*", 0)
-    scheme = F.regexp_extract(url, r"^[^:/?#]+:", 0)
-    return [F.when(t.startswith("//"), F.concat(scheme, t)).when(t.startswith("/"), F.concat(base, t))
-            .when(t.contains("://"), t) for t in (refresh, canonical, og)]
+    return [_resolve(F.when(t != "", F.regexp_replace(t, "(?i)&(?:amp|#38|#x26);", "&")), url) for t in (refresh, canonical, og)]
+
+
+def _resolve(target: Column, url: Column) -> Column:
+    """A link's target against the url of its page; null for a place on the page itself and for other schemes."""
+    scheme, base = F.regexp_extract(url, r"^[^:/?#]+:", 0), F.regexp_extract(url, r"^[^:/?#]+://[^/?#]*", 0)
+    path = F.regexp_extract(url, r"^[^:/?#]+://[^/?#]*([^?#]*)", 1)
+    own, rest = F.regexp_extract(target, r"^[^?#]*", 0), F.regexp_extract(target, r"^[^?#]*(.*)$", 1)
+    whole = F.when(own.startswith("/"), own).otherwise(F.concat(F.regexp_replace(path, "[^/]*$", ""), own))
+    parts = F.filter(F.split(F.regexp_replace(whole, "^/", ""), "/"), lambda p: p != ".")
+    up = lambda acc: F.when(F.size(acc) > 1, F.slice(acc, F.lit(1), F.size(acc) - 1)).otherwise(F.array().cast("array<string>"))
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda acc, p: F.when(p == "..", up(acc)).otherwise(F.array_append(acc, p)))
+    folder = F.when(own.rlike(r"(?:^|/)\.{1,2}$") & (F.size(kept) > 0), "/").otherwise("")
+    return F.when(target.startswith("#"), None).when(target.startswith("//"), F.concat(scheme, target)) \
+        .when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.when(target.rlike("^[^:/?#]+://"), target)) \
+        .when(target.startswith("?"), F.concat(base, path, target)) \
+        .otherwise(F.concat(base, F.lit("/"), F.array_join(kept, "/"), folder, rest))
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules=RULES) -> DataFrame:
@@ -88,6 +102,7 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     found = F.when(F.instr("url", "://") > 0, F.array_compact(F.array(normal_form(F.col("url")), *map(
         normal_form, link_target(F.col("html"), F.col("url"))))))
     links = rows.select("url", F.explode(found).alias("to")).where("to <> '' and to <> url").distinct()
+    links = store(links, "links")  # the expressions over the html run once
     # nodes are urls; a 64-bit digest stands for each while components are sought
     links = links.select(F.xxhash64("url").alias("a"), F.xxhash64("to").alias("b"), "url", "to")
     roots = connected_components(links.select("a", "b"))

@@ -61,9 +61,7 @@ rep AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, s)
 cov AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM rep, unnest(range(0, 8)) AS u(j) GROUP BY doc_id),
 ln AS (SELECT doc_id, source, unnest(list_transform(lines, lambda x: trim(regexp_replace(lower(x), '{_BLANKS}+', ' ', 'g')))) AS norm,
               unnest(list_transform(lines, lambda x: len(regexp_extract_all(x, '{_WORDS}')))) AS n FROM w),
-hosts AS (SELECT source, count(*) AS alldocs FROM d GROUP BY source),
-often AS (SELECT l.source, norm FROM ln l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
-          GROUP BY l.source, norm, alldocs HAVING count(DISTINCT doc_id) > 20 AND count(DISTINCT doc_id) > alldocs * 0.02::DOUBLE),
+often AS (SELECT source, norm FROM ln GROUP BY source, norm HAVING count(DISTINCT doc_id) > 20),
 lost AS (SELECT doc_id, sum(n)::BIGINT AS n FROM ln l JOIN often o ON l.source IS NOT DISTINCT FROM o.source AND l.norm = o.norm GROUP BY doc_id),
 f AS (SELECT w.doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(text, '{_BLANKS}', '', 'g'))::BIGINT AS word_chars,
              (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,

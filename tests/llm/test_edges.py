@@ -210,12 +210,12 @@ def test_line_limit_is_alike_in_hosts_of_any_size(spark):
 
 PII = ["mail a.b+c@x-y.co.uk, .a@b.c..d @x a@b a..b@c.d.", "1.2.3.4 256.1.1.1 1.2.3.4.5.6.7.8 0001.002.3.4 1.2.3", "+1 (555) 010-9999 +12 +1--2--3--4--5--6--7--8--9 x",
        "4111 1111 1111 1111 4111-1111-1111-1112 4111  1111 1111 1111 1234567890123456789012", "a@b.com_x@y.com z@q.w.@e.r", None, "", "é漢 a@b.c \U0001f642 1.2.3.4 x@y.z", "+" * 50 + "1" * 40,
-       "a@b" + ".c" * 20_000, "1 " * 20_000 + "1", "1." * 20_000, "x" * 50_000 + "@"]
+       "4111\ue0001111\ue0001111\ue0001111 +1555\ue0000109\ue000999 a\ue000b@c.d", "a@b" + ".c" * 20_000, "1 " * 20_000 + "1", "1." * 20_000, "x" * 50_000 + "@"]
 
 
 def test_pii_values(spark):
     got = {r.id: r for r in op09.personal_data(spark.createDataFrame(list(enumerate(PII)), "doc_id long, text string")).collect()}
-    check_pii([got[i] for i in range(len(PII))], [t and t.replace("", " ") for t in PII])
+    check_pii([got[i] for i in range(len(PII))], PII)
 
 
 def test_pii_discovers_by_context(spark):
@@ -246,6 +246,43 @@ def test_urls(spark):
     assert op10.judge(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
+def test_url_targets(spark):
+    page = lambda target: f'<link rel="canonical" href="{target}">'
+    at = "http://h.example.org/a/b/c.html?x=1#top"
+    want = {"page2.html": "http://h.example.org/a/b/page2.html", "../x": "http://h.example.org/a/x", "./y/../z": "http://h.example.org/a/b/z",
+            "../../../up": "http://h.example.org/up", "?id=3": "http://h.example.org/a/b/c.html?id=3", "/q?a=1&amp;b=2": "http://h.example.org/q?a=1&b=2",
+            "//other.org/p": "http://other.org/p", "https://s.org/r?u=..": "https://s.org/r?u=..", "mailto:a@b.c": None, "#frag": None, "..": "http://h.example.org/a/",
+            "?u=http://x.y/": "http://h.example.org/a/b/c.html?u=http://x.y/", "d/e?r=/../f": "http://h.example.org/a/b/d/e?r=/../f"}
+    rows = spark.createDataFrame([(t, at, page(t)) for t in want], "t string, url string, html string")
+    got = {r.t: r.to for r in rows.select("t", op10.link_target(F.col("html"), F.col("url"))[1].alias("to")).collect()}
+    assert got == want
+    bare = spark.createDataFrame([("http://h.org", page("p")), ("http://h.org?q", page("?id=3"))], "url string, html string")
+    assert [r[0] for r in bare.select(op10.link_target(F.col("html"), F.col("url"))[1]).collect()] == ["http://h.org/p", "http://h.org?id=3"]
+    # a relative redirect takes on the block of the page it names, also with clashing columns and repeated urls
+    rows = [(1, "http://example.com/en/bad.html", None), (2, "http://b.org/x/y.html", '<meta http-equiv="refresh" content="0; url=../go?a=1&amp;b=2">'),
+            (3, "http://b.org/go?a=1&b=2", page("http://example.com/en/bad.html"))]
+    got = op10.judge(spark.createDataFrame([(*r, "h", 1, "v") for r in rows * 2], "page_id long, url string, html string, host string, node int, verdict string")).collect()
+    assert len(got) == 6 and {r.verdict for r in got} == {"block"}
+
+
+def test_toxic_words_count_once_for_repeated_ids(spark):
+    import numpy as np
+    model = op03.smooth(np.zeros(op03._SIZE ** 3))
+    base = [(i, f"plain words number{i} here{i} now{i}") for i in range(20)] + [(100 + i, f"awful nasty text{i} lines{i} end{i}") for i in range(10)]
+    labels = spark.createDataFrame([(i, int(i >= 100)) for i, _ in base], "id long, toxic int")
+    once, often = (op03.train(spark.createDataFrame(rows, "id long, text string"), labels, model)
+                   for rows in (base, base + [base[20]] * 5 + [base[0]] * 3))
+    assert once == often and "nasty" in once
+
+
+def test_long_stretches_are_read_whole():
+    import numpy as np
+    text = "you are an idiot and a loser so stupid what a pathetic clown in the hall " * 50
+    r = op03.Restorer(op03.smooth(op03.trigram_counts(text).astype(np.float64)))
+    spaced = " ".join("youareanidiotandaloser" * 9)
+    assert op03.words(r.restore(spaced)) <= {"you", "are", "an", "idiot", "and", "a", "loser"} and len(r.restore(spaced).split()) == 63
+
+
 def test_counts_of_chunked_texts():
     from tokenizers import Tokenizer
     t, c, rng = Tokenizer.from_file(COUNTING), op07.Counter(COUNTING, P.PATTERN), random.Random(2)
