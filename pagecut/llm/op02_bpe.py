@@ -1,90 +1,51 @@
 """Byte-level BPE encoding and decoding with recursive DuckDB queries.
 
-Each partition keeps the merge table and the vocabulary in a DuckDB database
-in memory.  A recursive query contracts, in every word at once, the leftmost
-pair of least rank until no pair merges; a word leaves the recursion when it
-reaches its fixpoint.  Decoding joins the ids with the vocabulary and
-concatenates by an ordered aggregate.  Texts are cut at single blanks, where a word
-begins whatever stands around; stretches and words met before come from bounded
-memories that keep what is met again, so only new words pay for the recursion.
+Texts are split into words block by block; the distinct words of all blocks are dealt
+to partitions, and each partition keeps the merge table and the vocabulary in a DuckDB
+database in memory.  A recursive query makes token-position rows of every word at once, joins
+neighbours with the merge table and contracts in each word the leftmost pair of least rank,
+until no pair merges; a word leaves the recursion when it reaches its fixpoint.  The ids
+go back to their blocks.  There a join with the vocabulary and an ordered aggregate
+decode the ids of each distinct word, and documents take ids and bytes by position.
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
-import re
 from functools import lru_cache
-from itertools import chain
 
 import duckdb
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagecut.llm.packing import gather
+from pagecut.llm.op13_words import encode_words, split_words
+from pagecut.llm.packing import gather, unpack_numbers
 
-#: Bytes of words in one recursive query, entries of a memory, characters and ids handled at once.
-QUERY_BYTES, MEMORY, TEXT_CHARS, DECODE_IDS = 1 << 19, 400_000, 1 << 21, 1 << 19
+#: Bytes of words in one recursive query, ids decoded at once.
+QUERY_BYTES, DECODE_IDS = 1 << 19, 1 << 20
 #: Longer words (in bytes) are merged with a heap: the recursion would make a row for each byte and step.
 LONG_WORD = 400
 
-# k holds the word and, in nine bits, the position; a pair is packed as one number, so are a merge and its position
+# a merge and its position are packed as one number, so the least one is the leftmost pair of least rank
 _ENCODE = """
-WITH RECURSIVE step(k, id, done) AS (
-    SELECT (w::BIGINT << 9) | pos, id, false FROM start
+WITH RECURSIVE step(w, ids, done) AS (
+    SELECT w, list(id ORDER BY pos), false FROM start GROUP BY w
   UNION ALL
-    (WITH near AS (SELECT k, id, lead(id) OVER word AS next, lead(k) OVER word AS next_k, lag(k) OVER word AS before
-                   FROM step WHERE NOT done WINDOW word AS (ORDER BY k)),
-          pair AS (SELECT k, id, before, (merged << 9) | (k & 511) AS pair
-                   FROM near LEFT JOIN merges ON ab = CASE WHEN (next_k >> 9) = (k >> 9) THEN (id::BIGINT << 16) | next END),
-          best AS (SELECT k >> 9 AS w, min(pair) AS best FROM pair GROUP BY 1)
-     SELECT k, CASE WHEN (k & 511) = (best & 511) THEN (best >> 9)::INT ELSE id END, best IS NULL
-     FROM pair JOIN best ON w = (k >> 9)
-     WHERE best IS NULL OR before IS DISTINCT FROM ((w << 9) | (best & 511))))
-SELECT k >> 9 AS w, list(id ORDER BY k) AS ids FROM step WHERE done GROUP BY 1"""
+    (WITH token AS (SELECT w, generate_subscripts(ids, 1) AS pos, unnest(ids) AS id, unnest(ids[2:]) AS next FROM step WHERE NOT done),
+          best AS (SELECT w, min((merged << 9) | pos) AS best FROM token JOIN merges ON ab = ((id::BIGINT << 16) | next) GROUP BY w)
+     SELECT s.w, CASE WHEN best IS NULL THEN ids
+                      ELSE list_concat(list_append(ids[:(best & 511) - 1], (best >> 9)::INT), ids[(best & 511) + 2:]) END, best IS NULL
+     FROM step s LEFT JOIN best b ON s.w = b.w WHERE NOT done))
+SELECT w, ids FROM step WHERE done"""
 
 _DECODE = """
 SELECT piece, unhex(string_agg(hex, '' ORDER BY pos)) AS bytes
 FROM tokens JOIN vocabulary USING (id) GROUP BY piece"""
 
 
-#: A blank between two characters that are no blanks begins a word.
-_BEGIN = re.compile(r"(?<=\S)(?= \S)")
-
-
-class Memory:
-    """Ids by name, in flat arrays; when it is full, names met once are forgotten first."""
-
-    def __init__(self, most: int):
-        self.most, self.known = most, {}
-        self.place, self.size, self.uses, self.flat = (np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int32))
-
-    def add(self, names: list[str], size: np.ndarray, flat: np.ndarray) -> None:
-        self.place = np.concatenate([self.place, len(self.flat) + np.cumsum(size) - size])
-        self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
-        self.uses = np.concatenate([self.uses, np.zeros(len(names), np.int64)])
-        self.known.update(zip(names, range(len(self.known), len(self.known) + len(names))))
-
-    def ids(self, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(number of ids of each name, all ids); every name is known."""
-        at = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))
-        self.uses += np.bincount(at, minlength=len(self.uses))
-        return self.size[at], gather(self.flat, self.place[at], self.size[at])
-
-    def trim(self) -> None:
-        if len(self.known) <= self.most:
-            return
-        names, keep = list(self.known), np.flatnonzero(self.uses > 1)
-        if len(keep) > self.most // 2:
-            keep = np.sort(keep[np.argsort(-self.uses[keep], kind="stable")[:self.most // 2]])
-        size, flat = self.size[keep], gather(self.flat, self.place[keep], self.size[keep])
-        self.__init__(self.most)
-        self.add([names[i] for i in keep], size, flat)
-
-
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
@@ -93,8 +54,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Codec:
     """Encoder and decoder of one worker process."""
 
-    def __init__(self, path: str, pattern: str):
-        self.ranks, self.split = read_ranks(path), regex.compile(pattern).findall
+    def __init__(self, path: str):
+        self.ranks = read_ranks(path)
         pairs = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items()
                  for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
@@ -103,7 +64,6 @@ class Codec:
         self.db.execute("CREATE TABLE merges AS FROM merges")
         self.db.execute("CREATE TABLE vocabulary AS FROM vocabulary")
         self.byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self.words, self.stretches = Memory(MEMORY), Memory(MEMORY)
 
     def _recurse(self, words: list[bytes]) -> list[np.ndarray]:
         size = np.fromiter(map(len, words), np.int64, len(words))
@@ -138,84 +98,50 @@ class Codec:
                     heapq.heappush(heap, (r, k, part[k] + part[after[k]]))
         return np.array([self.ranks[p] for p in part if p is not None], np.int32)
 
-    def _learn(self, words: list[str]) -> None:
-        """Put the ids of words that the cache does not hold into it."""
-        names, ids, held, size = [], [], [], 0
-        for word in words:
-            data = word.encode()
-            if data in self.ranks:  # a word that is a token is that token
-                names.append(word)
-                ids.append(np.array([self.ranks[data]], np.int32))
-            elif len(data) > LONG_WORD:
-                names.append(word)
-                ids.append(self._heap(data))
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each distinct word, all ids)."""
+        ids, held, size = [None] * len(words), [], 0
+
+        def recurse():
+            for n, found in zip(held, self._recurse([words[n] for n in held]) if held else ()):
+                ids[n] = found
+
+        for n, word in enumerate(words):
+            if word in self.ranks:  # a word that is a token is that token
+                ids[n] = np.array([self.ranks[word]], np.int32)
+            elif len(word) > LONG_WORD:
+                ids[n] = self._heap(word)
             else:
-                held.append((word, data))
-                size += len(data)
-            if size > QUERY_BYTES or word is words[-1] and held:
-                names += [w for w, _ in held]
-                ids += self._recurse([d for _, d in held])
-                held, size = [], 0
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.words.add(names, size, np.concatenate(ids))
-
-    def _meet(self, stretches: list[str]) -> None:
-        """Put new stretches of text into their memory, word by word."""
-        self.words.trim()
-        words = [self.split(s) for s in stretches]
-        flat = list(chain.from_iterable(words))
-        new = [w for w in dict.fromkeys(flat) if w not in self.words.known]
-        if new:
-            self._learn(new)
-        size, ids = self.words.ids(flat)
-        upto = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum([len(w) for w in words])])]
-        self.stretches.add(stretches, np.diff(upto), ids)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [_BEGIN.split(t) for t in texts]
-        flat = list(chain.from_iterable(cut))
-        self.stretches.trim()
-        new = [s for s in dict.fromkeys(flat) if s not in self.stretches.known]
-        if new:
-            self._meet(new)
-        size, ids = self.stretches.ids(flat)
-        upto = np.concatenate([[0], np.cumsum(size)])[np.cumsum([len(c) for c in cut])]
-        return np.split(ids, upto[:-1])
-
-    def decode(self, ids: list[np.ndarray]) -> list[bytes]:
-        out: list[list[bytes]] = [[] for _ in ids]
-        pieces = [(i, a[k:k + DECODE_IDS]) for i, a in enumerate(ids) for k in range(0, len(a), DECODE_IDS)]
-        while pieces:
-            now, n = [], 0
-            while pieces and (not now or n + len(pieces[0][1]) <= DECODE_IDS):
-                now.append(pieces.pop(0))
-                n += len(now[-1][1])
-            flat = np.concatenate([a for _, a in now])
-            self.db.register("tokens", pa.table({
-                "piece": np.repeat(np.arange(len(now), dtype=np.int32), [len(a) for _, a in now]),
-                "pos": np.arange(len(flat), dtype=np.int32), "id": flat}))
-            for piece, data in sorted(self.db.sql(_DECODE).fetchall()):
-                out[now[piece][0]].append(data)
+                held.append(n)
+                size += len(word)
+                if size > QUERY_BYTES:
+                    recurse()
+                    held, size = [], 0
+        recurse()
+        return np.fromiter(map(len, ids), np.int64, len(ids)), np.concatenate(ids) if ids else np.zeros(0, np.int32)
+
+    def decode(self, size: np.ndarray, flat: np.ndarray) -> list[bytes]:
+        """The bytes of consecutive runs of ids."""
+        out, upto, first = [], np.cumsum(size), 0
+        while first < len(size):
+            begin = upto[first] - size[first]
+            last = max(first + 1, int(np.searchsorted(upto, begin + DECODE_IDS, side="right")))
+            n = size[first:last]
+            self.db.register("tokens", pa.table({"piece": np.repeat(np.arange(len(n), dtype=np.int32), n),
+                                                 "pos": np.arange(n.sum(), dtype=np.int32), "id": flat[begin:upto[last - 1]]}))
+            found = self.db.sql(_DECODE).to_arrow_table()
             self.db.unregister("tokens")
-        return [b"".join(parts) for parts in out]
+            part = [b""] * len(n)
+            for piece, data in zip(found["piece"].to_pylist(), found["bytes"].to_pylist()):
+                part[piece] = data
+            out += part
+            first = last
+        return out
 
 
 @lru_cache(maxsize=1)
-def codec(path: str, pattern: str) -> Codec:
-    return Codec(path, pattern)
-
-
-def _stretches(column: pa.Array):
-    """(first row, texts) of a column, about ``TEXT_CHARS`` characters at a time; null is empty."""
-    held, size, first = [], 0, 0
-    for i, value in enumerate(column):
-        held.append(value.as_py() or "")
-        size += len(held[-1])
-        if size > TEXT_CHARS:
-            yield first, held
-            held, size, first = [], 0, i + 1
-    if held:
-        yield first, held
+def codec(path: str) -> Codec:
+    return Codec(path)
 
 
 def bpe_round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -223,25 +149,53 @@ def bpe_round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_
 
     ``path`` names a rank file that every executor can read (base64 token and
     rank on each line), ``pattern`` the expression that splits texts into
-    words (a single blank between two others must begin a word, as in the published one);
-    special tokens are ordinary text.  A null or empty text has no ids
+    words; special tokens are ordinary text.  A null or empty text has no ids
     and decodes to no bytes.  Repeated ids give a row each; an empty table gives no
     rows; other columns are ignored.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    encoded = encode_words(split_words(rows, pattern, [], parts), lambda: codec(path).encode, parts)
+    blocks = encoded.select("home", "block", "shard", "ids", "aux", "data").repartitionById(parts, F.col("home")) \
+        .sortWithinPartitions("block", F.col("shard").asc_nulls_last())
 
     def run(batches):
-        c = codec(path, pattern)
+        now, words, table = None, [], None
         for b in batches:
-            for first, texts in _stretches(b.column(1)):
-                ids = c.encode(texts)
-                offsets = np.concatenate([[0], np.cumsum([len(a) for a in ids])]).astype(np.int32)
-                flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(first, len(texts)), pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32())),
-                     pa.array(c.decode(ids), pa.binary())], ["id", "ids", "decoded"])
-
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>, decoded binary")
+            for block, shard, ids, aux, data in zip(*(b.column(c) for c in ("block", "shard", "ids", "aux", "data"))):
+                if block.as_py() != now:
+                    now, words, table = block.as_py(), [], None
+                aux, data = unpack_numbers(aux.as_py()).astype(np.int64), unpack_numbers(data.as_py())
+                if shard.is_valid:  # the numbers of words (as differences), their numbers of ids, the ids
+                    words.append((np.cumsum(aux), data[:len(aux)].astype(np.int64), data[len(aux):].astype(np.int32)))
+                    continue
+                if table is None:
+                    table, words = _Words(codec(path), words), None
+                yield table.documents(ids.values, aux, data)
+
+    return blocks.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>, decoded binary")
+
+
+class _Words:
+    """Ids and bytes of one block's distinct words, by number."""
+
+    def __init__(self, codec: Codec, words: list[tuple[np.ndarray, ...]]):
+        number, size, flat = (np.concatenate(c) for c in zip((np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.int32),), *words))
+        order = np.argsort(number)
+        self.size = size[order]
+        self.flat = gather(flat, (np.cumsum(size) - size)[order], self.size)
+        self.begin = np.cumsum(self.size) - self.size
+        self.bytes = pa.array(codec.decode(self.size, self.flat), pa.large_binary())
+
+    def documents(self, names: pa.Array, n_words: np.ndarray, numbers: np.ndarray) -> pa.RecordBatch:
+        words = np.concatenate([[0], np.cumsum(n_words)])
+        size, text = self.size[numbers], self.bytes.take(pa.array(numbers))
+        upto = np.concatenate([[0], np.cumsum(size)])[words]
+        ids = gather(self.flat, self.begin[numbers], size)
+        ends = np.frombuffer(text.buffers()[1], np.int64)[words] if len(text) else words
+        decoded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(names), [None, pa.py_buffer(np.ascontiguousarray(ends)), text.buffers()[2] or pa.py_buffer(b"")])
+        return pa.RecordBatch.from_arrays(
+            [names, pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(ids, pa.int32())), decoded.cast(pa.binary())], ["id", "ids", "decoded"])
 
 
 def digests(encoded: DataFrame) -> DataFrame:

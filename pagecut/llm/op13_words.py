@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+from collections.abc import Callable
 from functools import cached_property
 from zlib import crc32
 
@@ -226,10 +227,14 @@ def split_words(docs: DataFrame, pattern: str, added: list[str], parts: int) ->
     return docs.mapInArrow(run, schema)
 
 
-def encode_words(split: DataFrame, path: str, parts: int) -> DataFrame:
-    """The rows of ``split_words`` with ids in the place of words: ``data`` holds their numbers of ids, then the ids."""
+def encode_words(split: DataFrame, encoder: Callable[[], Callable], parts: int) -> DataFrame:
+    """The rows of ``split_words`` with ids in the place of words: ``data`` holds their numbers of ids, then the ids.
+
+    ``encoder()`` is called in each task; what it returns takes a list of distinct words and
+    returns (number of ids of each, all ids).
+    """
     def run(batches):
-        vocabulary, now = Vocabulary(path), None
+        encode, now = encoder(), None
         for b in batches:
             shards = b.column("shard").to_pylist()
             if shards and shards[-1] is None:  # documents stand first and pass
@@ -246,7 +251,7 @@ def encode_words(split: DataFrame, path: str, parts: int) -> DataFrame:
                 words = unpack_words(data)
                 new = [w for w in words if w not in known]
                 known.update(zip(new, range(len(known), len(known) + len(new))))
-                n, ids = vocabulary.encode(new)
+                n, ids = encode(new)
                 size, flat = np.concatenate([size, n]), np.concatenate([flat, ids])
                 begin = np.cumsum(size) - size
                 at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
@@ -271,7 +276,7 @@ def bpe_round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_
     vocabulary = Vocabulary(path)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    encoded = encode_words(split_words(rows, pattern, sorted(vocabulary.added), parts), path, parts)
+    encoded = encode_words(split_words(rows, pattern, sorted(vocabulary.added), parts), lambda: Vocabulary(path).encode, parts)
     pieces = vocabulary.table(spark).select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("home"), "tokens", "pieces")
     both = encoded.select("home", "block", "shard", "ids", "aux", "data").unionByName(pieces, allowMissingColumns=True)
     # in each partition the vocabulary, then block by block the words and the documents
