@@ -143,10 +143,38 @@ def attach_labels(pages: DataFrame, targets: DataFrame, keys: Sequence[str] = ("
         .withColumn(label, F.coalesce(F.col("__hit"), F.lit(0)).cast("int")).drop("__hit")
 
 
-def attach_labels_by_page(pages: DataFrame, page_labels: DataFrame, page: str = "page_number",
+def write_bucketed_store(targets: DataFrame, table: str, path: str, buckets: int) -> None:
+    """The label store as a table for repeated lookups: rows ``(bundle, block, target_pages)``, bucketed and
+    sorted by ``(bundle, block)`` at ``path``, registered as ``table``.
+
+    A record holds at most one block of pages, and the blocks of a bundle fall into
+    buckets of their own, so a giant bundle is spread.
+    """
+    rows = targets.select("bundle", "page_number").distinct() \
+        .groupBy("bundle", block_of(F.col("page_number")).alias("block")) \
+        .agg(F.array_sort(F.collect_list("page_number")).alias("target_pages"))
+    # one file a bucket
+    rows.repartition(buckets, "bundle", "block").write.mode("overwrite").option("path", path) \
+        .bucketBy(buckets, "bundle", "block").sortBy("bundle", "block").saveAsTable(table)
+
+
+def attach_labels_bucketed(pages: DataFrame, table: str, bundle: str = "bundle", page: str = "page_number",
+                           label: str = "label") -> DataFrame:
+    """``attach_labels`` from a bucketed store: only the pages are shuffled, the store is read as it lies."""
+    store = pages.sparkSession.table(table).withColumnRenamed("bundle", bundle)
+    found = pages.withColumn("block", block_of(F.col(page))).join(store.hint("merge"), [bundle, "block"], "left")
+    hit = F.coalesce(F.array_contains("target_pages", F.col(page)), F.lit(False))
+    return found.withColumn(label, hit.cast("int")).drop("block", "target_pages")
+
+
+def attach_labels_by_page(pages: DataFrame, targets: DataFrame, store_bundle: str, page: str = "page_number",
                           label: str = "label") -> DataFrame:
-    """Labels keyed by page number only (one-bundle label stores): default 0."""
-    pl = page_labels.groupBy(page).agg(F.max(label).alias("__l"))
+    """Labels of the one bundle ``store_bundle`` by page number, default 0: for pages without a bundle column.
+
+    The bundle's pages are taken from the store first (the filter reaches its scan), so
+    no other bundle's labels mix in; a bundle that the store lacks labels nothing.
+    """
+    pl = targets.where(F.col("bundle") == store_bundle).select(F.col("page_number").alias(page)).distinct().withColumn("__l", F.lit(1))
     return pages.join(pl, on=page, how="left") \
         .withColumn(label, F.coalesce(F.col("__l"), F.lit(0)).cast("int")).drop("__l")
 
@@ -198,7 +226,7 @@ def map_get_default(m: Column, key: Column, default: int = 0) -> Column:
 
 def verify_outputs(inputs: DataFrame, produced: DataFrame, bundle: str, path: str) -> DataFrame:
     """Per input bundle: pages produced, first and last output path in page order,
-    ``missing`` flag when none.  Summaries instead of a full path list per bundle."""
+    ``missing`` flag when none (``verify_written`` lists the paths)."""
     order = F.struct(page_number_from_path(F.col(path)).alias("n"), F.col(path).alias("p"))
     agg = produced.groupBy(bundle).agg(F.count(F.lit(1)).alias("n_outputs"),
                                        F.min(order)["p"].alias("first_output"),
@@ -208,6 +236,31 @@ def verify_outputs(inputs: DataFrame, produced: DataFrame, bundle: str, path: st
             .withColumn("missing", F.col("n_outputs") == 0))
 
 
+def verify_written(expected: DataFrame, written: DataFrame, bundle: str, page: str, path: str = "name",
+                   block: int = PAGE_BLOCK) -> DataFrame:
+    """What a write was to produce against what it committed, one record for each ``(bundle, block)``.
+
+    ``expected`` has ``(bundle, page)``, ``written`` the sink's commit list (``sinks.files.committed``) with
+    the path of each file.  A record lists the paths in page order, the pages that lack a file and
+    those written without being expected; it has at most ``block`` pages.  ``bundle_missing``: none of
+    the bundle's expected pages has a file.
+    """
+    made = written.select(F.element_at(F.split(path, "/"), -2).alias(bundle), page_number_from_path(F.element_at(F.split(path, "/"), -1)).alias(page),
+                          F.col(path).alias("path"))
+    want = expected.select(F.col(bundle).cast("string").alias(bundle), F.col(page).cast("int").alias(page), F.lit(True).alias("wanted"))
+    tagged = want.unionByName(made, allowMissingColumns=True).groupBy(bundle, page).agg(
+        F.coalesce(F.max("wanted"), F.lit(False)).alias("wanted"), F.max("path").alias("path"))
+    here = F.struct(page, "path")
+    pick = lambda cond, value: F.array_sort(F.collect_list(F.when(cond, value)))
+    records = tagged.groupBy(bundle, block_of(F.col(page), block).alias("block")).agg(
+        F.count(F.when(F.col("wanted"), 1)).alias("n_expected"), F.count("path").alias("n_written"),
+        F.transform(pick(F.col("path").isNotNull(), here), lambda s: s["path"]).alias("paths"),
+        pick(F.col("wanted") & F.col("path").isNull(), F.col(page)).alias("missing_pages"),
+        pick(~F.col("wanted"), F.col(page)).alias("unexpected_pages"))
+    whole = records.groupBy(bundle).agg((F.sum(F.col("n_expected") - F.size("missing_pages")) == 0).alias("bundle_missing"))
+    return records.join(whole, bundle)
+
+
 def bundle_metadata(pages: DataFrame, bundle: str, page: str, path: Column, processed: Column,
                     block: int = PAGE_BLOCK) -> DataFrame:
     """Nested bundle records ``{pdf_name, total_pages, pages[{page_number,

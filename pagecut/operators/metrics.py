@@ -253,18 +253,32 @@ def eval_report(df: DataFrame, label: str = "label", prediction: str = "predicti
     return side.select(performance.alias("model_performance"), F.struct("actual", "predicted").alias("class_distribution"))
 
 
+#: Bits of a page: it is in the predicted set, in the true set.
+IN_PRED, IN_TRUE = 1, 2
+
+
+def match_flags(pages: DataFrame, in_pred: Column, in_true: Column, keys: Sequence[str]) -> DataFrame:
+    """``(keys, in_pred, in_true)`` of every key that is in either set, from one scan.
+
+    Each row is tagged with the sets it belongs to and the tags of a key are
+    put together: one shuffle of partial aggregates, no join, repeated rows count once.
+    """
+    tag = F.when(in_pred, IN_PRED).otherwise(0).bitwiseOR(F.when(in_true, IN_TRUE).otherwise(0))
+    bits = pages.select(*keys, tag.alias("__tag")).where("__tag > 0").groupBy(*keys).agg(F.bit_or("__tag").alias("__tag"))
+    return bits.select(*keys, (F.col("__tag").bitwiseAND(IN_PRED) > 0).alias("in_pred"),
+                       (F.col("__tag").bitwiseAND(IN_TRUE) > 0).alias("in_true"))
+
+
 def match_sets(pred: DataFrame, true: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full outer join of two distinct key sets with membership flags."""
+    """``match_flags`` of two key sets that come from different tables."""
     keys = list(keys)
-    p = pred.select(*keys).distinct().withColumn("in_pred", F.lit(True))
-    t = true.select(*keys).distinct().withColumn("in_true", F.lit(True))
-    return p.join(t, keys, "full_outer").na.fill(False, ["in_pred", "in_true"])
+    both = pred.select(*keys, F.lit(True).alias("__pred")).unionByName(true.select(*keys, F.lit(False).alias("__pred")))
+    return match_flags(both, F.col("__pred"), ~F.col("__pred"), keys)
 
 
-def set_prf(pred: DataFrame, true: DataFrame, bundle: str, page: str) -> DataFrame:
-    """Per bundle: tp, fp, fn, precision, recall, f1 of predicted vs true pages."""
-    m = match_sets(pred, true, [bundle, page])
-    s = m.groupBy(bundle).agg(
+def prf_of(matches: DataFrame, bundle: str) -> DataFrame:
+    """Per bundle: tp, fp, fn, precision, recall, f1 of matched pages."""
+    s = matches.groupBy(bundle).agg(
         F.sum((F.col("in_pred") & F.col("in_true")).cast("long")).alias("tp"),
         F.sum((F.col("in_pred") & ~F.col("in_true")).cast("long")).alias("fp"),
         F.sum((~F.col("in_pred") & F.col("in_true")).cast("long")).alias("fn"))
@@ -274,6 +288,11 @@ def set_prf(pred: DataFrame, true: DataFrame, bundle: str, page: str) -> DataFra
                     harmonic(p, r).alias("f1"))
 
 
+def set_prf(pred: DataFrame, true: DataFrame, bundle: str, page: str) -> DataFrame:
+    """``prf_of`` predicted vs true pages of different tables."""
+    return prf_of(match_sets(pred, true, [bundle, page]), bundle)
+
+
 def class_weights_balanced(df: DataFrame, label: str) -> DataFrame:
     """``n / (k * n_c)`` per class (scikit-learn's "balanced")."""
     c = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))

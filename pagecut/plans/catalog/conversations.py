@@ -55,9 +55,19 @@ def q_target_page_lists(spark, root):
 
 
 def q_attach_labels_by_page(spark, root):
+    """Pages of all conversations by the label list of one of them."""
     p = S.conversation_pages(spark, root)
-    page_labels = p.select("page_number", F.col("is_first").cast("int").alias("label"))
-    return L.attach_labels_by_page(p.select("conv_id", "page_number"), page_labels)
+    targets = L.read_store_targets(spark, _written_store(spark, root))
+    return L.attach_labels_by_page(p.select("conv_id", "page_number"), targets, "conv_1")
+
+
+def q_attach_labels_bucketed(spark, root):
+    """Labels from a store that is written bucketed and looked up without being shuffled."""
+    p = S.conversation_pages(spark, root)
+    path = scratch_path(spark, "bucketed-store")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    L.write_bucketed_store(L.read_store_targets(spark, _written_store(spark, root)), name, path, 8)
+    return L.attach_labels_bucketed(p.select("conv_id", "bundle", "page_number"), name)
 
 
 def q_inline_pages(spark, root):
@@ -71,7 +81,7 @@ def q_inline_pages(spark, root):
 def q_target_pages_of(spark, root):
     p = S.conversation_pages(spark, root)
     targets = L.read_store_targets(spark, _written_store(spark, root))
-    names = p.select("bundle").distinct()
+    names = p.where("conv_id % 3 = 1").select("bundle").distinct()  # the bundles asked for
     return L.lookup_target_pages(targets, names)
 
 
@@ -115,6 +125,7 @@ QUERIES = {
     "membership": q_membership,
     "target_page_lists": q_target_page_lists,
     "attach_labels_by_page": q_attach_labels_by_page,
+    "attach_labels_bucketed": q_attach_labels_bucketed,
     "inline_pages": q_inline_pages,
     "target_pages_of": q_target_pages_of,
     "page_path": q_page_path,
@@ -144,17 +155,19 @@ SQL = {
                  AS targets
         FROM conversations GROUP BY conv_id, turn // 1024""",
     "attach_labels_by_page": """
-        SELECT c.conv_id, CAST(c.turn AS INTEGER) AS page_number, CAST(coalesce(pl.l, 0) AS INTEGER) AS label
-        FROM conversations c LEFT JOIN (
-          SELECT turn, max(CASE WHEN role = 'user' THEN 1 ELSE 0 END) AS l FROM conversations GROUP BY turn) pl
-        USING (turn)""",
+        SELECT conv_id, CAST(turn AS INTEGER) AS page_number,
+               CAST(turn IN (SELECT turn FROM conversations WHERE conv_id = 1 AND role = 'user') AS INTEGER) AS label
+        FROM conversations""",
+    "attach_labels_bucketed": f"""
+        SELECT conv_id, {_B} AS bundle, CAST(turn AS INTEGER) AS page_number, CAST(role = 'user' AS INTEGER) AS label
+        FROM conversations""",
     "inline_pages": f"""
         SELECT {_B} AS bundle, CAST(turn AS INTEGER) AS page_number,
                'pages/' || {_B} || '/page_' || CAST(turn AS VARCHAR) || '.png' AS path
         FROM conversations""",
     "target_pages_of": f"""
         SELECT DISTINCT {_B} AS bundle, CAST(turn AS INTEGER) AS page_number FROM conversations
-        WHERE role = 'user'""",
+        WHERE role = 'user' AND conv_id % 3 = 1""",
     "page_path": f"""
         SELECT conv_id, turn, 'pages/' || {_B} || '/page_' || CAST(turn AS VARCHAR) || '.png' AS path
         FROM conversations""",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pagecut.ml.models import assemble
 from pagecut.operators import labels as L
-from pagecut.operators.metrics import match_sets, set_prf
+from pagecut.operators.metrics import match_flags, prf_of
 from pagecut.operators.profile import quality_profile
 from pagecut.plans import standins as S
 from pagecut.plans.catalog.common import r6
@@ -38,7 +38,7 @@ def q_expected_missing(spark, root):
 
 def q_match_predictions(spark, root):
     p = S.line_pages(spark, root)
-    return match_sets(S.predicted_lines(p), S.true_lines(p), KEYS)
+    return match_flags(p, S.is_predicted(), S.is_true(), KEYS)
 
 
 def q_pages_intersect(spark, root):
@@ -55,7 +55,7 @@ def q_pages_except(spark, root):
 
 def q_bundle_prf(spark, root):
     p = S.line_pages(spark, root)
-    m = set_prf(S.predicted_lines(p), S.true_lines(p), "l_orderkey", "page_number")
+    m = prf_of(match_flags(p, S.is_predicted(), S.is_true(), KEYS), "l_orderkey")
     return m.select("l_orderkey", "tp", "fp", "fn", r6("precision").alias("precision"),
                     r6("recall").alias("recall"), r6("f1").alias("f1"))
 

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from pagecut.functions.image import augment_udf, image_2d_udf, png_udf
 from pagecut.ml import models
+from pagecut.operators import labels as L
 from pagecut.plans import standins as S
 from pagecut.plans.jobs import (image_pages, predict_and_split, predict_first_pages, predict_from_images,
                                 prepare_images, train, train_from_store, tune)
 from pagecut.session import path_status, scratch_path
-from pagecut.sinks.files import write_binary_files
+from pagecut.sinks.files import committed, write_binary_files
 from pagecut.sources.files import read_images
 from pagecut.sources.tables import table
 from pagecut.streaming import page_stream, write_page_stream
@@ -115,7 +116,6 @@ def _bundle_images(spark, root):
 
 
 def _write_bundle_images(spark, root):
-    from pagecut.operators import labels as L
     pages = _bundle_images(spark, root)
     img_root = scratch_path(spark, "pageimages")
     files = pages.select(F.format_string("%s/page_%d.png", "bundle", "page_number").alias("name"),
@@ -126,6 +126,20 @@ def _write_bundle_images(spark, root):
     return img_root, store
 
 
+def q_verify_written(spark, root):
+    """Page images against the sink's own list: every 50th page has no image, label 9 has none at all."""
+    pages = _bundle_images(spark, root)
+    lost = (F.col("vec_id") % 50 == 0) | (F.col("bundle") == "label_9")
+    files = pages.select(F.format_string("%s/page_%d.png", "bundle", "page_number").alias("name"),
+                         F.when(~lost, png_udf(S.IMG_H, S.IMG_W)(F.col("px"))).alias("png"))
+    path = scratch_path(spark, "pageimages")
+    write_binary_files(files, "name", "png", path)
+    found = L.verify_written(pages.select("bundle", "page_number"), committed(spark, path), "bundle", "page_number")
+    listed = lambda c: F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
+    return found.select("bundle", "block", "n_expected", "n_written", listed("paths"), listed("missing_pages"),
+                        listed("unexpected_pages"), "bundle_missing")
+
+
 def q_image_pages(spark, root):
     img_root, _ = _write_bundle_images(spark, root)
     p = image_pages(spark, img_root, (S.IMG_H, S.IMG_W))
@@ -204,6 +218,7 @@ QUERIES = {
     "training_history": q_training_history,
     "job_tune": q_job_tune,
     "cv_best_model": q_cv_best_model,
+    "verify_written": q_verify_written,
     "image_pages": q_image_pages,
     "job_prepare_images": q_job_prepare_images,
     "job_train_images": q_job_train_images,
@@ -222,6 +237,14 @@ _MEAN2X2 = """(SELECT vec_id, (px[(2 * (i // 4)) * 8 + 2 * (i % 4) + 1] + px[(2
                      FROM embeddings), range(0, 16) t(i))"""
 
 SQL = {
+    "verify_written": """
+        SELECT bundle, CAST(page // 1024 AS INTEGER) AS block, count(*) AS n_expected, count(*) FILTER (NOT lost) AS n_written,
+               coalesce(string_agg(bundle || '/page_' || page || '.png', ',' ORDER BY page) FILTER (NOT lost), '') AS paths,
+               coalesce(string_agg(CAST(page AS VARCHAR), ',' ORDER BY page) FILTER (lost), '') AS missing_pages, '' AS unexpected_pages,
+               bundle = 'label_9' AS bundle_missing
+        FROM (SELECT 'label_' || label AS bundle, vec_id % 50 = 0 OR label = 9 AS lost,
+                     row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS page FROM embeddings)
+        GROUP BY bundle, page // 1024""",
     "job_tune": """
         SELECT CAST(r AS DOUBLE) AS regParam, CAST(e AS DOUBLE) AS elasticNetParam, CAST(i AS INTEGER) AS maxIter,
                (SELECT count(*) FROM embeddings WHERE ('0x' || substr(md5(CAST(vec_id AS VARCHAR) || ':42'), 1, 8))::BIGINT % 100 >= 20) AS n_train,

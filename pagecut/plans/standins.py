@@ -58,12 +58,20 @@ def line_pages(spark: SparkSession, root: str) -> DataFrame:
                      "l_returnflag", "l_linestatus")
 
 
+def is_predicted() -> Column:
+    return F.col("l_returnflag") == "R"
+
+
+def is_true() -> Column:
+    return F.col("l_linestatus") == "O"
+
+
 def predicted_lines(pages: DataFrame) -> DataFrame:
-    return pages.where(F.col("l_returnflag") == "R").select("l_orderkey", "page_number")
+    return pages.where(is_predicted()).select("l_orderkey", "page_number")
 
 
 def true_lines(pages: DataFrame) -> DataFrame:
-    return pages.where(F.col("l_linestatus") == "O").select("l_orderkey", "page_number")
+    return pages.where(is_true()).select("l_orderkey", "page_number")
 
 
 def doc_predictions(spark: SparkSession, root: str) -> DataFrame:

@@ -2,24 +2,27 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from pagecut.sources.stores import Store, resolved
 
-#: Marks a finished folder; it says how many files were written.
-DONE = "_SUCCESS"
+#: Marks a finished folder: files and bytes written, then the lists of the tasks that count.
+DONE, LISTS = "_SUCCESS", "_lists"
 
 
 @dataclass
 class Written(WriterCommitMessage):
     files: int
     bytes: int
+    list: str
 
 
 class _Writer(DataSourceArrowWriter):
@@ -29,19 +32,25 @@ class _Writer(DataSourceArrowWriter):
         self.root = root
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        store, n, size = Store(self.root), 0, 0
+        store, rows, size = Store(self.root), [], 0
         for batch in iterator:
             for name, content in zip(batch.column(0), batch.column(1)):
                 data = content.as_py()
                 if not name.is_valid or data is None:
                     continue
                 store.put(name.as_py(), data)
-                n, size = n + 1, size + len(data)
-        return Written(n, size)
+                rows.append(json.dumps({"name": name.as_py(), "length": len(data)}))
+                size += len(data)
+        # every attempt lists its files under a name of its own; the commit says which lists count
+        listed = f"{LISTS}/{uuid.uuid4().hex}.json"
+        if rows:
+            store.put(listed, ("\n".join(rows) + "\n").encode())
+        return Written(len(rows), size, listed if rows else "")
 
     def commit(self, messages: list[Written]) -> None:
         done = [m for m in messages if m is not None]
-        Store(self.root).put(DONE, f"{sum(m.files for m in done)} {sum(m.bytes for m in done)}\n".encode())
+        lines = [f"{sum(m.files for m in done)} {sum(m.bytes for m in done)}", *(m.list for m in done if m.list)]
+        Store(self.root).put(DONE, ("\n".join(lines) + "\n").encode())
 
     def abort(self, messages: list[Written]) -> None:
         """The folder stays without its mark; the same write can be run again over it."""
@@ -74,12 +83,27 @@ def write_binary_files(df: DataFrame, name_col: str, content_col: str, root: str
     files.write.format(PageFiles.name()).mode("append").save(resolved(df.sparkSession, root, make=True))
 
 
-def finished(root: str) -> tuple[int, int] | None:
-    """(files, bytes) that the write of a resolved folder reported; None if it isn't finished."""
+def _commit(root: str) -> list[str] | None:
     store = Store(root)
     try:
         with store.open(f"{store.root}/{DONE}") as file:
-            n, size = file.read().split()
+            return file.read().decode().split("\n")[:-1]
     except FileNotFoundError:
         return None
-    return int(n), int(size)
+
+
+def finished(root: str) -> tuple[int, int] | None:
+    """(files, bytes) that the write of a resolved folder reported; None if it isn't finished."""
+    lines = _commit(root)
+    return tuple(map(int, lines[0].split())) if lines else None
+
+
+def committed(spark: SparkSession, path: str) -> DataFrame:
+    """(name, length) of the files that the last finished write to ``path`` committed, from its own lists."""
+    lines = _commit(resolved(spark, path))
+    if lines is None:
+        raise FileNotFoundError(f"no finished write at {path}")
+    schema = "name string, length bigint"
+    if not lines[1:]:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json([f"{path.rstrip('/')}/{name}" for name in lines[1:]])
