@@ -1,15 +1,19 @@
 """Image work: the one place where Python runs per value.
 
 Pixels are decoded by Spark's ``image`` source in the JVM (BGR byte order);
-the NumPy work below runs in Arrow-batched pandas UDFs, a batch of images at a
+the NumPy work below runs on Arrow batches, a slice of images at a
 time.  Every UDF is pure: an image that cannot be processed gives null, never
 a failed task.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +22,8 @@ from pyspark.sql import types as T
 # (0.299, 0.587, 0.114 scaled by 2**14 = 4899, 9617, 1868), rounding 8192.
 GRAY_WEIGHTS_FIXED = (4899, 9617, 1868)
 GRAY_SHIFT = 14
+#: Bytes of features that a task hands on at once.
+SLICE_BYTES = 8 << 20
 
 
 def gray_u8(rgb: np.ndarray) -> np.ndarray:
@@ -82,56 +88,58 @@ def pixel_features_udf(h: int, w: int, out_h: int, out_w: int):
     return features
 
 
-def _decode(row) -> np.ndarray | None:
-    """Spark image struct -> ``(h, w)`` uint8 gray, or None when undecodable."""
-    if row is None:
-        return None
-    h, w, c, data = row["height"], row["width"], row["nChannels"], row["data"]
-    if h is None or h <= 0 or w <= 0 or data is None or len(data) != h * w * c:
+def _gray(h: int | None, w: int | None, c: int | None, data: pa.Scalar) -> np.ndarray | None:
+    """Parts of a Spark image -> ``(h, w)`` uint8 gray, or None when undecodable."""
+    if not h or not w or not c or min(h, w, c) <= 0 or not data.is_valid or data.as_buffer().size != h * w * c:
         return None
-    px = np.frombuffer(bytes(data), dtype=np.uint8).reshape(h, w, c)
+    px = np.frombuffer(data.as_buffer(), dtype=np.uint8).reshape(h, w, c)
     if c == 1:
         return px[..., 0]
     # Spark stores BGR(A); luma wants RGB
     return gray_u8(px[..., 2::-1][..., :3] if c >= 3 else px)
 
 
-def image_features_udf(out_h: int = 224, out_w: int = 224):
-    """Pandas UDF over an ``image`` struct: gray, resize, /255, flatten; null on error."""
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def features(img: pd.DataFrame) -> pd.Series:
-        out = []
-        for row in img.to_dict("records"):
-            try:
-                g = _decode(row)
-            except Exception:  # corrupt bytes -> null features, never a failed task
-                g = None
-            if g is None:
-                out.append(None)
-                continue
-            r = np.clip(np.rint(resize_bilinear(g, out_h, out_w)), 0, 255) / 255.0
-            out.append(r.astype(np.float32).ravel().tolist())
-        return pd.Series(out)
-    return features
+def _features(images: pa.StructArray, out_h: int, out_w: int, as_rows: bool) -> pa.Array:
+    """Gray, resized, scaled images as one Arrow list array over a flat buffer; null where undecodable."""
+    names = [f.name for f in images.type]
+    parts = dict(zip(names, images.flatten()))
+    size = [parts[c].to_pylist() for c in ("height", "width", "nChannels")]
+    flat, known = [], np.zeros(len(images), bool)
+    for i, (h, w, c) in enumerate(zip(*size)):
+        gray = _gray(h, w, c, parts["data"][i])
+        if gray is not None:
+            known[i] = True
+            flat.append((np.clip(np.rint(resize_bilinear(gray, out_h, out_w)), 0, 255) / 255.0).astype(np.float32).ravel())
+    values = pa.array(np.concatenate(flat) if flat else np.zeros(0, np.float32))
+    width = out_h * out_w
+    if as_rows:
+        values = pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, out_w), pa.int32()), values)
+        width = out_h
+    ends = np.concatenate([[0], np.cumsum(known) * width])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values, mask=pa.array(~known))
+
+
+def image_features_udf(out_h: int = 224, out_w: int = 224, as_rows: bool = False):
+    """Arrow UDF over an ``image`` struct: gray, resize, /255, flatten (or rows); null when undecodable.
+
+    A batch is worked off in slices of ``SLICE_BYTES`` of features, so the memory of a task depends neither
+    on the batch nor on the image size.  It is marked non-deterministic although it is not: so a
+    filter on its result reads the column that was computed and doesn't decode every image again.
+    """
+    step = max(1, SLICE_BYTES // (4 * out_h * out_w))
+    kind = T.ArrayType(T.FloatType())
+
+    @F.arrow_udf(T.ArrayType(kind) if as_rows else kind)
+    def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for images in batches:
+            for lo in range(0, len(images), step):
+                yield _features(images.slice(lo, step), out_h, out_w, as_rows)
+    return features.asNondeterministic()
 
 
 def image_2d_udf(out_h: int = 224, out_w: int = 224):
     """Like ``image_features_udf`` but returns rows: ``array<array<float>>``."""
-    @F.pandas_udf(T.ArrayType(T.ArrayType(T.FloatType())))
-    def features(img: pd.DataFrame) -> pd.Series:
-        out = []
-        for row in img.to_dict("records"):
-            try:
-                g = _decode(row)
-            except Exception:
-                g = None
-            if g is None:
-                out.append(None)
-                continue
-            r = (np.clip(np.rint(resize_bilinear(g, out_h, out_w)), 0, 255) / 255.0).astype(np.float32)
-            out.append([list(x) for x in r])
-        return pd.Series(out)
-    return features
+    return image_features_udf(out_h, out_w, as_rows=True)
 
 
 def image_features(img: Column, out_h: int = 224, out_w: int = 224) -> Column:
@@ -139,23 +147,27 @@ def image_features(img: Column, out_h: int = 224, out_w: int = 224) -> Column:
     return image_features_udf(out_h, out_w)(img)
 
 
+def hash_uniform(seed: int, rid: int, variant: int, k: int) -> float:
+    """The ``k``-th number in [0, 1) of one variant: the first 32 bits of an MD5, so any engine draws the same."""
+    return int(hashlib.md5(f"{seed}:{rid}:{variant}:{k}".encode()).hexdigest()[:8], 16) / 2 ** 32
+
+
 def augment_udf(h: int, w: int, variants: int, rotation: float = 10.0, zoom: float = 0.1,
                 shift: float = 0.1, seed: int = 42):
     """Batch function for ``mapInPandas``: ``variants`` augmented copies per image.
 
     Each copy gets a rotation (degrees), independent x/y zoom factors and
-    x/y shifts (fractions of the size) drawn from a generator seeded by
-    ``(seed, id, variant)``, so a retried task yields the same rows.  Pixels
+    x/y shifts (fractions of the size) by ``hash_uniform`` of ``(seed, id,
+    variant)``, so a retried task yields the same rows.  Pixels
     are resampled bilinearly; outside points take the nearest edge pixel; no
     flips.  An image of another size, or without pixels, gives null pixels.
     """
     yy, xx = np.mgrid[0:h, 0:w].astype(np.float64)
     cy, cx = (h - 1) / 2.0, (w - 1) / 2.0
 
-    def one(img: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-        ang = np.deg2rad(rng.uniform(-rotation, rotation))
-        zy, zx = rng.uniform(1 - zoom, 1 + zoom, 2)
-        ty, tx = rng.uniform(-shift, shift) * h, rng.uniform(-shift, shift) * w
+    def one(img: np.ndarray, rid: int, variant: int) -> np.ndarray:
+        ang, zy, zx, ty, tx = (2 * hash_uniform(seed, rid, variant, k) - 1 for k in range(5))
+        ang, zy, zx, ty, tx = np.deg2rad(ang * rotation), 1 + zy * zoom, 1 + zx * zoom, ty * shift * h, tx * shift * w
         cos, sin = np.cos(ang), np.sin(ang)
         # output pixel -> source coordinate (inverse of rotate, zoom, shift)
         dy, dx = yy - cy - ty, xx - cx - tx
@@ -173,7 +185,7 @@ def augment_udf(h: int, w: int, variants: int, rotation: float = 10.0, zoom: flo
             for rid, px in zip(pdf[id_col], pdf[pix_col]):  # one image's variants are held at a time
                 fits = px is not None and len(px) == h * w
                 img = np.asarray(px, dtype=np.float64).reshape(h, w) if fits else None
-                rows = [(rid, v, one(img, np.random.default_rng([seed, int(rid), v])).ravel().tolist() if fits else None)
+                rows = [(rid, v, one(img, int(rid), v).ravel().tolist() if fits else None)
                         for v in range(variants)]
                 yield pd.DataFrame(rows, columns=[id_col, "variant", pix_col])
     return run

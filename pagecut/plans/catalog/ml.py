@@ -194,7 +194,8 @@ def q_augment_full(spark, root):
     px = S.embedding_rows(spark, root).select("vec_id", S.pixels(F.col("embedding")).cast("array<double>").alias("px"))
     run = augment_udf(S.IMG_H, S.IMG_W, variants=2)
     return px.mapInPandas(lambda it: run(it, "vec_id", "px"), "vec_id long, variant long, px array<double>") \
-        .select("vec_id", "variant", F.size("px").alias("n_pixels"))
+        .select("vec_id", "variant", F.posexplode("px").alias("pixel", "value")) \
+        .select("vec_id", "variant", "pixel", F.round("value", 4).alias("value"))
 
 
 def q_stream_bundle_to_pages(spark, root):
@@ -236,7 +237,25 @@ _MEAN2X2 = """(SELECT vec_id, (px[(2 * (i // 4)) * 8 + 2 * (i % 4) + 1] + px[(2
                        lambda x: least(255, greatest(0, CAST(floor((CAST(x AS DOUBLE) + 0.6) * 200) AS INTEGER)))) AS px
                      FROM embeddings), range(0, 16) t(i))"""
 
+_AUGMENTED = """
+    WITH image AS (SELECT vec_id, list_transform(embedding, lambda x: least(255, greatest(0, CAST(floor((CAST(x AS DOUBLE) + 0.6) * 200) AS INTEGER)))) AS px
+                   FROM embeddings),
+    drawn AS (SELECT vec_id, px, v, list_transform(range(0, 5), lambda k:
+                  2 * (('0x' || substr(md5('42:' || vec_id || ':' || v || ':' || k), 1, 8))::BIGINT / 4294967296.0::DOUBLE) - 1) AS u
+              FROM image, range(0, 2) r(v)),
+    turned AS (SELECT vec_id, v, px, i, radians(u[1] * 10) AS t, 1 + u[2] * 0.1::DOUBLE AS zy, 1 + u[3] * 0.1::DOUBLE AS zx,
+                      i // 8 - 3.5::DOUBLE - u[4] * 0.1::DOUBLE * 8 AS dy, i % 8 - 3.5::DOUBLE - u[5] * 0.1::DOUBLE * 8 AS dx
+               FROM drawn, range(0, 64) q(i)),
+    source AS (SELECT vec_id, v, px, i, least(7.0::DOUBLE, greatest(0.0::DOUBLE, (dy * cos(t) - dx * sin(t)) * zy + 3.5::DOUBLE)) AS sy,
+                      least(7.0::DOUBLE, greatest(0.0::DOUBLE, (dy * sin(t) + dx * cos(t)) * zx + 3.5::DOUBLE)) AS sx FROM turned),
+    corner AS (SELECT *, floor(sy)::BIGINT AS y, floor(sx)::BIGINT AS x, least(floor(sy)::BIGINT + 1, 7) AS y1, least(floor(sx)::BIGINT + 1, 7) AS x1 FROM source)
+    SELECT vec_id, v AS variant, CAST(i AS INTEGER) AS pixel,
+           round((px[8 * y + x + 1] * (1 - (sx - x)) + px[8 * y + x1 + 1] * (sx - x)) * (1 - (sy - y))
+                 + (px[8 * y1 + x + 1] * (1 - (sx - x)) + px[8 * y1 + x1 + 1] * (sx - x)) * (sy - y), 4) AS value
+    FROM corner"""
+
 SQL = {
+    "augment_full": _AUGMENTED,
     "verify_written": """
         SELECT bundle, CAST(page // 1024 AS INTEGER) AS block, count(*) AS n_expected, count(*) FILTER (NOT lost) AS n_written,
                coalesce(string_agg(bundle || '/page_' || page || '.png', ',' ORDER BY page) FILTER (NOT lost), '') AS paths,

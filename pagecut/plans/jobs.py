@@ -57,6 +57,9 @@ class TrainResult:
     model: object
     metrics: dict
     test_predictions: DataFrame
+    #: Of a training from a label store: expected pages without an image, bundles without any.
+    missing_pages: DataFrame | None = None
+    missing_bundles: DataFrame | None = None
 
 
 def train(rows: DataFrame, id_col: str, label: str, features: str = "features",
@@ -265,11 +268,15 @@ def train_from_store(spark, store_path: str, images_root: str, model_path: str |
     targets = L.read_store_targets(spark, store_path)
     totals = L.read_store_totals(spark, store_path)
     expected = L.expected_pages(totals, "bundle")
-    pages = image_pages(spark, images_root, size).withColumnRenamed("pdf_name", "bundle")
-    present = L.expected_present(expected, pages, ["bundle", "page_number"])
-    labelled = L.attach_labels(present, targets).join(pages, ["bundle", "page_number"], "inner")
-    return train(labelled.withColumn("page_id", F.concat_ws("/", "bundle", F.col("page_number").cast("string"))),
-                 "page_id", "label", model_path=model_path, **train_args)
+    # every image is decoded once; presence, labels and features come from the written table
+    pages = materialize(image_pages(spark, images_root, size).withColumnRenamed("pdf_name", "bundle"), "page-features")
+    keys = ["bundle", "page_number"]
+    labelled = L.attach_labels(expected, targets).join(pages, keys, "inner")
+    result = train(labelled.withColumn("page_id", F.concat_ws("/", "bundle", F.col("page_number").cast("string"))),
+                   "page_id", "label", model_path=model_path, **train_args)
+    result.missing_pages = L.expected_missing(expected, pages, keys)
+    result.missing_bundles = totals.select("bundle").join(pages.select("bundle"), "bundle", "left_anti")
+    return result
 
 
 def predict_from_images(spark, images_root: str, model_path: str, paths_out: str | None = None,
@@ -288,6 +295,8 @@ def predict_and_split(pages: DataFrame, model_path: str, bundle: str = "pdf_name
     """The end of the workflow: predict first pages with a saved model, then
     cut every bundle at them.  All pages are kept (an unscorable page is
     never a first page); returns per-page segment ids and segment ranges."""
+    # the features may come from decoding images: computed once, read twice
+    pages = materialize(pages.select(bundle, page, features), "pages")
     scored = score_pages(pages, model_path, features, threshold).select(bundle, page, "prediction")
     unscored = pages.where(F.col(features).isNull()).select(bundle, page, F.lit(0.0).alias("prediction"))
     # the narrow scored table is written once; the cut reads it several times

@@ -76,3 +76,46 @@ def test_augmentation_is_deterministic():
     odd = pd.DataFrame({"id": [3, 4], "px": [[1.0, 2.0], None]})
     out = pd.concat(run(iter([odd]), "id", "px"))
     assert list(out["id"]) == [3, 3, 3, 4, 4, 4] and out["px"].isna().all()
+
+
+def test_image_features_in_slices_and_once(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from pagecut.functions import image
+    monkeypatch.setattr(image, "SLICE_BYTES", 4 * 6 * 3)  # three images a slice
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(40):
+        c = (1, 3, 4)[i % 3]
+        px = rng.integers(0, 256, (3 + i % 4, 5, c), dtype=np.uint8)
+        h, data = (-1, b"") if i % 7 == 0 else (px.shape[0], px.tobytes())
+        rows.append((i, ("f", h, 5, c, 0, bytearray(data)) if i != 11 else None))
+    df = spark.createDataFrame(rows, "id int, image struct<origin:string,height:int,width:int,nChannels:int,mode:int,data:binary>").repartition(2)
+    flat = df.select("id", image.image_features(F.col("image"), 2, 3).alias("f")).where("f is not null")
+    assert flat._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    got = {r.id: r.f for r in flat.collect()}
+    assert set(got) == {i for i in range(40) if i % 7 and i != 11}
+    for i, f in got.items():
+        _, h, w, c, _, data = rows[i][1]
+        px = np.frombuffer(bytes(data), np.uint8).reshape(h, w, c)
+        gray = px[..., 0] if c == 1 else image.gray_u8(px[..., 2::-1][..., :3])
+        want = np.clip(np.rint(image.resize_bilinear(gray, 2, 3)), 0, 255) / 255
+        assert np.allclose(f, want.ravel(), atol=1e-6)
+    square = {r.id: r.f for r in df.select("id", image.image_2d_udf(2, 3)(F.col("image")).alias("f")).collect()}
+    assert square[0] is None and all([x for row in square[i] for x in row] == f for i, f in got.items())
+
+
+def test_training_reports_missing_pages(spark):
+    from pyspark.sql import functions as F
+
+    from conftest import SF_MID
+    from pagecut.operators import labels as L
+    from pagecut.plans.catalog import ml as catalog
+    from pagecut.plans.jobs import train_from_store
+    root, store = catalog._write_bundle_images(spark, SF_MID)
+    more = spark.createDataFrame([("label_0", [0], 60), ("ghost", [1], 2)], "bundle string, target_pages array<int>, total_pages int")
+    L.write_label_store(more, store, mode="append")
+    res = train_from_store(spark, store, root, size=(8, 8))
+    assert {(r.bundle, r.page_number) for r in res.missing_pages.where(F.col("bundle") == "ghost").collect()} == {("ghost", 0), ("ghost", 1)}
+    assert [r.bundle for r in res.missing_bundles.collect()] == ["ghost"]
+    assert res.missing_pages.where("bundle = 'label_0'").count() == 60 - 50
