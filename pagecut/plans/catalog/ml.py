@@ -5,17 +5,22 @@ the streaming split, whose output equals the batch split."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pagecut.functions.image import augment_udf, image_2d_udf, png_udf
 from pagecut.ml import models
+from pagecut.ml.network import DenseNetwork, fit_dense
+from pagecut.ml.registry import ModelRegistry
 from pagecut.operators import labels as L
+from pagecut.operators import metrics as M
+from pagecut.operators.sampling import split_hash
 from pagecut.plans import standins as S
 from pagecut.plans.jobs import (image_pages, predict_and_split, predict_first_pages, predict_from_images,
                                 prepare_images, train, train_from_store, tune)
-from pagecut.session import path_status, scratch_path
+from pagecut.session import materialize, path_status, scratch_path
 from pagecut.sinks.files import committed, write_binary_files
 from pagecut.sources.files import read_images
 from pagecut.sources.tables import table
@@ -70,6 +75,46 @@ def q_training_history(spark, root):
     return models.history_table(res.model, spark)
 
 
+def q_train_dense(spark, root):
+    """A dense network from 8 partitions and from one: the same weights, resumed in between, better than its begin."""
+    rows = split_hash(_rows(spark, root), "vec_id", 20, 42)
+    rows = materialize(rows, "dense")
+    learn, valid = rows.where("split = 'train'"), rows.where("split = 'test'")
+    last, best, history = fit_dense(learn.repartition(8), iterations=30, valid=valid.repartition(3), label="y")
+    path = scratch_path(spark, "network")
+    half, _, _ = fit_dense(learn.coalesce(1), iterations=18, valid=valid, label="y")
+    half.save(spark, path)
+    again, _, rest = fit_dense(learn.coalesce(1), iterations=12, valid=valid, label="y", start=DenseNetwork.load(spark, path))
+    scored = best.transform(valid, "features", "score").select(F.col("y").alias("label"), "score")
+    seen = {(i, m): v for i, m, v in history}
+    apart = float(np.abs(last.flat() - again.flat()).max())
+    # the validation part of the small tables has too few positives for a bound on the area itself
+    return scored.agg(F.count(F.lit(1)).alias("n_valid")).select(
+        "n_valid", F.lit(len({i for i, _ in seen})).alias("n_measured"), F.lit(apart < 1e-6).alias("same_weights"),
+        F.lit(max(abs(v - seen[i, m]) for i, m, v in rest) < 1e-6).alias("same_history"),
+        F.lit(seen[30, "loss"] < 0.5 * seen[0, "loss"]).alias("learnt"),
+        F.lit(M.roc_auc(scored).first()["auc"] > 0.8).alias("separates"))
+
+
+def q_best_model(spark, root):
+    """Three strengths of regularisation: published with their areas, the best promoted, reloaded and compared."""
+    registry = ModelRegistry(spark, scratch_path(spark, "registry"))
+    fitted = {}
+    for reg in (0.5, 0.01, 0.1):
+        res = train(_rows(spark, root), "vec_id", "y", classifier=models.logistic(reg=reg))
+        version = registry.publish(lambda path: models.save_model(res.model, path, overwrite=False), res.metrics, f"reg_{reg}")
+        fitted[version] = res
+    top = registry.best("areaUnderROC")
+    registry.promote(top)
+    res = fitted[registry.current()]
+    test = res.test_predictions.select("vec_id", "features_vector", vector_to_array("probability")[1].alias("p_fit"))
+    again = models.load_model(registry.path()).transform(test).select("p_fit", vector_to_array("probability")[1].alias("p_loaded"))
+    most = max(r.metrics["areaUnderROC"] for r in fitted.values())
+    return again.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("p_fit") - F.col("p_loaded"))).alias("max_abs_diff"),
+                     F.lit(registry.versions().select("version").distinct().count()).alias("n_versions"),
+                     F.lit(res.metrics["areaUnderROC"] == most).alias("is_best"))
+
+
 def q_job_tune(spark, root):
     """The grid with its folds: what is drawn by hash is checked by value, the areas and their ranks by what must hold."""
     path = scratch_path(spark, "tuned")
@@ -217,6 +262,8 @@ QUERIES = {
     "model_roundtrip": q_model_roundtrip,
     "job_predict": q_job_predict,
     "training_history": q_training_history,
+    "train_dense": q_train_dense,
+    "best_model": q_best_model,
     "job_tune": q_job_tune,
     "cv_best_model": q_cv_best_model,
     "verify_written": q_verify_written,
@@ -254,7 +301,12 @@ _AUGMENTED = """
                  + (px[8 * y1 + x + 1] * (1 - (sx - x)) + px[8 * y1 + x1 + 1] * (sx - x)) * (sy - y), 4) AS value
     FROM corner"""
 
+_TEST = """(SELECT count(*) FROM embeddings
+            WHERE ('0x' || substr(md5(CAST(vec_id AS VARCHAR) || ':42'), 1, 8))::BIGINT % 100 < 20)"""
+
 SQL = {
+    "train_dense": f"""SELECT {_TEST} AS n_valid, 31 AS n_measured, true AS same_weights, true AS same_history, true AS learnt, true AS separates""",
+    "best_model": f"""SELECT {_TEST} AS n, CAST(0.0 AS DOUBLE) AS max_abs_diff, CAST(3 AS INTEGER) AS n_versions, true AS is_best""",
     "augment_full": _AUGMENTED,
     "verify_written": """
         SELECT bundle, CAST(page // 1024 AS INTEGER) AS block, count(*) AS n_expected, count(*) FILTER (NOT lost) AS n_written,
