@@ -54,6 +54,20 @@ def append_if_absent(arr: Column, x: Column) -> Column:
     return F.array_union(arr, F.array(x))
 
 
+def add_target_pages(store: DataFrame, marks: DataFrame, block: int = PAGE_BLOCK) -> DataFrame:
+    """Store records ``(bundle, block, target_pages)`` with the pages ``marks (bundle, page_number)`` added.
+
+    A page that is listed already is not added twice, new ones go behind the listed ones in page
+    order, and a bundle that the store lacks gets its record.  Marks are put together by
+    record before the join, so a bundle that is marked often meets its record once.
+    """
+    new = marks.groupBy("bundle", block_of(F.col("page_number"), block).alias("block")) \
+        .agg(F.array_sort(F.collect_set("page_number")).alias("__new"))
+    none = F.array().cast("array<int>")
+    return store.select("bundle", "block", "target_pages").join(new, ["bundle", "block"], "full_outer").select(
+        "bundle", "block", F.array_union(F.coalesce("target_pages", none), F.coalesce("__new", none)).alias("target_pages"))
+
+
 def build_label_store(pages: DataFrame, bundle: str, page: str, is_first: Column,
                       block: int = PAGE_BLOCK) -> DataFrame:
     """Store rows ``(bundle string, block, target_pages, total_pages)``."""

@@ -70,6 +70,15 @@ def q_attach_labels_bucketed(spark, root):
     return L.attach_labels_bucketed(p.select("conv_id", "bundle", "page_number"), name)
 
 
+def q_add_target_pages(spark, root):
+    """Every third page marked on top of the stored first pages; marks repeat, and a bundle is new."""
+    p = S.conversation_pages(spark, root)
+    store = L.target_page_lists(p.where("conv_id > 0"), "bundle", "page_number", F.col("is_first"))
+    marks = p.where("page_number % 3 = 0").select("bundle", "page_number")
+    found = L.add_target_pages(store, marks.union(marks))
+    return found.select("bundle", "block", F.array_join(F.col("target_pages").cast("array<string>"), ",").alias("targets"))
+
+
 def q_inline_pages(spark, root):
     p = S.conversation_pages(spark, root)
     nested = p.groupBy("bundle", L.block_of(F.col("page_number")).alias("block")).agg(
@@ -126,6 +135,7 @@ QUERIES = {
     "target_page_lists": q_target_page_lists,
     "attach_labels_by_page": q_attach_labels_by_page,
     "attach_labels_bucketed": q_attach_labels_bucketed,
+    "add_target_pages": q_add_target_pages,
     "inline_pages": q_inline_pages,
     "target_pages_of": q_target_pages_of,
     "page_path": q_page_path,
@@ -161,6 +171,12 @@ SQL = {
     "attach_labels_bucketed": f"""
         SELECT conv_id, {_B} AS bundle, CAST(turn AS INTEGER) AS page_number, CAST(role = 'user' AS INTEGER) AS label
         FROM conversations""",
+    "add_target_pages": f"""
+        SELECT {_B} AS bundle, CAST(turn // 1024 AS INTEGER) AS block,
+               concat_ws(',', nullif(string_agg(CAST(turn AS VARCHAR), ',' ORDER BY turn) FILTER (role = 'user' AND conv_id > 0), ''),
+                              nullif(string_agg(CAST(turn AS VARCHAR), ',' ORDER BY turn)
+                                     FILTER (turn % 3 = 0 AND NOT (role = 'user' AND conv_id > 0)), '')) AS targets
+        FROM conversations GROUP BY conv_id, turn // 1024 HAVING conv_id > 0 OR count(*) FILTER (turn % 3 = 0) > 0""",
     "inline_pages": f"""
         SELECT {_B} AS bundle, CAST(turn AS INTEGER) AS page_number,
                'pages/' || {_B} || '/page_' || CAST(turn AS VARCHAR) || '.png' AS path

@@ -4,11 +4,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagecut.plans.catalog.common import r6
 from pagecut.session import scratch_path
 from pagecut.sinks import write_lines, write_parquet
 from pagecut.sources.files import list_files, paths_frame
+from pagecut.functions.udfs import null_on_error
 from pagecut.sources.tables import table
 
 
@@ -61,7 +63,21 @@ def q_suffix_filter(spark, root):
     return table(spark, root, "part").where(F.col("p_name").endswith("ring")).select("p_partkey", "p_name")
 
 
+@null_on_error(T.IntegerType())
+def _even_length(name):
+    if len(name) % 2:
+        raise ValueError(name)
+    return len(name)
+
+
+def q_null_on_error(spark, root):
+    """A function that fails on some values: null and the reason there, the job goes on."""
+    c = table(spark, root, "customer").select("c_custkey", _even_length(F.col("c_mktsegment")).alias("r"))
+    return c.select("c_custkey", F.col("r.value").alias("value"), F.col("r.error").alias("error"))
+
+
 QUERIES = {
+    "null_on_error": q_null_on_error,
     "paths_frame": q_paths_frame,
     "default_label": q_default_label,
     "text_roundtrip": q_text_roundtrip,
@@ -73,6 +89,9 @@ QUERIES = {
 }
 
 SQL = {
+    "null_on_error": """
+        SELECT c_custkey, CASE WHEN length(c_mktsegment) % 2 = 0 THEN CAST(length(c_mktsegment) AS INTEGER) END AS value,
+               CASE WHEN length(c_mktsegment) % 2 = 1 THEN 'ValueError: ' || c_mktsegment END AS error FROM customer""",
     "paths_frame": "SELECT url AS pdf_path FROM pages",
     "default_label": "SELECT url AS path, url AS image, 0 AS label FROM pages",
     "text_roundtrip": "SELECT url AS value FROM pages",

@@ -19,7 +19,7 @@ from pagecut.operators import metrics as M
 from pagecut.operators.sampling import split_hash
 from pagecut.plans import standins as S
 from pagecut.plans.jobs import (image_pages, predict_and_split, predict_first_pages, predict_from_images,
-                                prepare_images, train, train_from_store, tune)
+                                prepare_images, score_pages, train, train_from_store, tune)
 from pagecut.session import materialize, path_status, scratch_path
 from pagecut.sinks.files import committed, write_binary_files
 from pagecut.sources.files import read_images
@@ -27,8 +27,18 @@ from pagecut.sources.tables import table
 from pagecut.streaming import page_stream, write_page_stream
 
 
-def _metrics_frame(spark, metrics: dict):
-    return spark.createDataFrame([(k, float(v)) for k, v in sorted(metrics.items())], "metric string, value double")
+def _checked(spark, res, least_area=0.8, recheck=True, **more):
+    """What must hold for a fitted model: each metric of the held-out part in its range, the area above ``least_area``.
+
+    The number of held-out rows is drawn by hash, so it is checked by value; the metrics
+    are recomputed by Spark ML's own evaluators and must agree (``recheck``)."""
+    again = models.evaluator_metrics(res.test_predictions) if recheck else res.metrics
+    rows = [(k, bool(0 <= v <= 1), bool(v > least_area) if k == "areaUnderROC" else True, bool(abs(v - again[k]) < 1e-9), True)
+            for k, v in res.metrics.items()] + [(k, True, True, True, bool(v)) for k, v in more.items()]
+    n = res.test_predictions.count()
+    found = spark.createDataFrame(rows, "metric string, in_range boolean, learnt boolean, agrees boolean, holds boolean") \
+        .withColumn("n_test", F.lit(n).cast("bigint"))
+    return found if recheck else found.drop("agrees")
 
 
 def _rows(spark, root):
@@ -36,21 +46,17 @@ def _rows(spark, root):
 
 
 def q_train_lr(spark, root):
-    res = train(_rows(spark, root), "vec_id", "y")
-    return _metrics_frame(spark, res.metrics)
+    return _checked(spark, train(_rows(spark, root), "vec_id", "y"))
 
 
 def q_train_mlp(spark, root):
-    res = train(_rows(spark, root), "vec_id", "y", classifier=models.mlp(64, (16,)))
-    return _metrics_frame(spark, res.metrics)
+    return _checked(spark, train(_rows(spark, root), "vec_id", "y", classifier=models.mlp(64, (16,))))
 
 
 def q_job_train(spark, root):
     path = scratch_path(spark, "model")
     res = train(_rows(spark, root), "vec_id", "y", model_path=path)
-    m = dict(res.metrics)
-    m["model_saved"] = float(path_status(spark, path) is not None)
-    return _metrics_frame(spark, m)
+    return _checked(spark, res, recheck=False, model_saved=path_status(spark, path) is not None)
 
 
 def q_model_roundtrip(spark, root):
@@ -64,15 +70,31 @@ def q_model_roundtrip(spark, root):
 
 
 def q_job_predict(spark, root):
+    """Predicted first pages against the scores: every page, whether it is predicted as its score says."""
     path = scratch_path(spark, "model")
     train(_rows(spark, root), "vec_id", "y", model_path=path)
     pages = _rows(spark, root).withColumn("bundle", F.lit("embeddings")).withColumn("page_number", F.col("vec_id"))
-    return predict_first_pages(pages, path, ["bundle", "page_number"])
+    lines = scratch_path(spark, "first-pages")
+    firsts = predict_first_pages(pages.withColumn("path", F.col("vec_id").cast("string")), path, ["bundle", "page_number"],
+                                 paths_out=lines, path_col="path").select("page_number", F.lit(True).alias("first"))
+    listed = spark.read.text(lines).select(F.col("value").cast("bigint").alias("page_number"), F.lit(True).alias("listed"))
+    scored = score_pages(pages, path).select("bundle", "page_number", "p_first")
+    every = scored.join(firsts, "page_number", "left").join(listed, "page_number", "left")
+    first = F.coalesce("first", F.lit(False))
+    return every.select("bundle", "page_number", (first == (F.col("p_first") > 0.5)).alias("as_scored"),
+                        (first == F.coalesce("listed", F.lit(False))).alias("as_listed"))
 
 
 def q_training_history(spark, root):
+    """The loss by iteration: numbered without a gap, falling, and its last value the one of the last iteration."""
     res = train(_rows(spark, root), "vec_id", "y")
-    return models.history_table(res.model, spark)
+    h = models.history_table(res.model, spark)
+    before = F.lag("value").over(Window.partitionBy("metric").orderBy("iteration"))  # one row an iteration
+    last = models.last_per_metric(models.drop_validation_metrics(h)).first()
+    steps = h.withColumn("before", before)
+    return steps.groupBy("metric").agg((F.max("iteration") == F.count(F.lit(1)) - 1).alias("gapless"), F.min("iteration").alias("begins"),
+                                       F.coalesce(F.bool_and(F.col("value") <= F.col("before")), F.lit(True)).alias("falls"),
+                                       (F.min_by("value", -F.col("iteration")) == F.lit(last["value"])).alias("last_is_last"))
 
 
 def q_train_dense(spark, root):
@@ -135,10 +157,11 @@ def q_cv_best_model(spark, root):
     binned = res.held_out_auc
     exact = BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0).evaluate(res.held_out)
     top = res.grid.where("is_best").first()
-    return spark.createDataFrame([(top["regParam"], top["elasticNetParam"], top["maxIter"], top["avg_auc"],
-                                   binned, exact)],
-                                 "regParam double, elasticNetParam double, maxIter int, cv_auc double, "
-                                 "auc_binned double, auc_exact double")
+    fine = 0.5 <= top["avg_auc"] <= 1 and abs(binned - exact) < 0.01 and exact > 0.8
+    grid = {(g.regParam, g.elasticNetParam, g.maxIter) for g in models.param_grid()}
+    n = res.held_out.count()
+    return spark.createDataFrame([((top["regParam"], top["elasticNetParam"], top["maxIter"]) in grid, fine, n)],
+                                 "in_grid boolean, areas_agree boolean, n_held_out bigint")
 
 
 def _image_dir(spark, root):
@@ -200,30 +223,44 @@ def q_job_prepare_images(spark, root):
 
 def q_job_train_images(spark, root):
     img_root, store = _write_bundle_images(spark, root)
-    res = train_from_store(spark, store, img_root, scratch_path(spark, "model"), size=(S.IMG_H, S.IMG_W))
-    return _metrics_frame(spark, res.metrics)
+    path = scratch_path(spark, "model")
+    res = train_from_store(spark, store, img_root, path, size=(S.IMG_H, S.IMG_W))
+    return _checked(spark, res, 0.6, model_saved=path_status(spark, path) is not None, nothing_missing=res.missing_pages.isEmpty())
 
 
 def q_job_predict_images(spark, root):
+    """First pages from images against the scores of the same images, page by page."""
     img_root, store = _write_bundle_images(spark, root)
     model = scratch_path(spark, "model")
     train_from_store(spark, store, img_root, model, size=(S.IMG_H, S.IMG_W))
-    return predict_from_images(spark, img_root, model, scratch_path(spark, "firstpages"), size=(S.IMG_H, S.IMG_W))
+    firsts = predict_from_images(spark, img_root, model, scratch_path(spark, "firstpages"), size=(S.IMG_H, S.IMG_W))
+    scored = score_pages(image_pages(spark, img_root, (S.IMG_H, S.IMG_W)), model).select("pdf_name", "page_number", "p_first")
+    every = scored.join(firsts.select("pdf_name", "page_number", F.lit(True).alias("first")), ["pdf_name", "page_number"], "left")
+    return every.select("pdf_name", "page_number", (F.coalesce("first", F.lit(False)) == (F.col("p_first") > 0.5)).alias("as_scored"))
 
 
 def q_job_predict_split(spark, root):
-    """Train on the page images, predict first pages, cut the bundles."""
+    """Train on the page images, predict first pages, cut the bundles: what the cut must cover, by bundle."""
     img_root, store = _write_bundle_images(spark, root)
     model = scratch_path(spark, "model")
     train_from_store(spark, store, img_root, model, size=(S.IMG_H, S.IMG_W))
-    pages = image_pages(spark, img_root, (S.IMG_H, S.IMG_W))
-    _, ranges = predict_and_split(pages, model, out_path=scratch_path(spark, "segments"))
-    return ranges
+    pages = materialize(image_pages(spark, img_root, (S.IMG_H, S.IMG_W)), "page-features")
+    cut, ranges = predict_and_split(pages, model, out_path=scratch_path(spark, "segments"))
+    firsts = score_pages(pages, model).where("prediction = 1").groupBy("pdf_name").agg(F.count(F.lit(1)).alias("n_first"), F.min("page_number").alias("lead"))
+    cuts = ranges.groupBy("pdf_name").agg(F.count(F.lit(1)).alias("n_segments"), F.min("start_page").alias("start"), F.sum("n_pages").alias("covered"),
+                                          F.max("end_page").alias("stop"))
+    kept = cut.groupBy("pdf_name").agg(F.count(F.lit(1)).alias("n_kept"))
+    every = pages.groupBy("pdf_name").agg(F.count(F.lit(1)).alias("n_pages"))
+    for other in (firsts, cuts, kept):
+        every = every.join(other, "pdf_name", "left")
+    none = F.col("n_first").isNull() & F.col("n_segments").isNull() & F.col("n_kept").isNull()
+    return every.select("pdf_name", "n_pages", (none | (F.col("n_segments") == F.col("n_first"))).alias("a_segment_a_first_page"),
+                        (none | ((F.col("start") == F.col("lead")) & (F.col("stop") == F.col("n_pages")))).alias("from_first_to_end"),
+                        (none | ((F.col("covered") == F.col("n_pages") - F.col("lead")) & (F.col("n_kept") == F.col("covered")))).alias("covers_the_rest"))
 
 
 def q_train_weighted(spark, root):
-    res = train(_rows(spark, root), "vec_id", "y", class_weights="balanced")
-    return _metrics_frame(spark, res.metrics)
+    return _checked(spark, train(_rows(spark, root), "vec_id", "y", class_weights="balanced"))
 
 
 def q_image_features_2d(spark, root):
@@ -304,7 +341,25 @@ _AUGMENTED = """
 _TEST = """(SELECT count(*) FROM embeddings
             WHERE ('0x' || substr(md5(CAST(vec_id AS VARCHAR) || ':42'), 1, 8))::BIGINT % 100 < 20)"""
 
+_TRAINED = f"""SELECT m AS metric, true AS in_range, true AS learnt, true AS agrees, true AS holds, {_TEST} AS n_test
+    FROM (VALUES ('accuracy'), ('weightedPrecision'), ('weightedRecall'), ('f1'), ('areaUnderROC')) t(m)"""
+_ONE = "UNION ALL SELECT '{0}', true, true, true, true, " + _TEST
+# held-out pages of the image bundles are drawn by bundle and page
+_IMAGES = """(SELECT 'label_' || label AS bundle, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS page FROM embeddings)"""
+_IMAGE_TEST = f"""(SELECT count(*) FROM {_IMAGES} WHERE ('0x' || substr(md5(bundle || '/' || page || ':42'), 1, 8))::BIGINT % 100 < 20)"""
+
 SQL = {
+    "train_lr": _TRAINED,
+    "train_mlp": _TRAINED,
+    "train_weighted": _TRAINED,
+    "job_train": f"SELECT * EXCLUDE (agrees) FROM ({_TRAINED} {_ONE.format('model_saved')})",
+    "job_train_images": (_TRAINED + " " + _ONE.format("model_saved") + " " + _ONE.format("nothing_missing")).replace(_TEST, _IMAGE_TEST),
+    "job_predict": "SELECT 'embeddings' AS bundle, vec_id AS page_number, true AS as_scored, true AS as_listed FROM embeddings",
+    "job_predict_images": f"SELECT bundle AS pdf_name, CAST(page AS INTEGER) AS page_number, true AS as_scored FROM {_IMAGES}",
+    "job_predict_split": f"""SELECT bundle AS pdf_name, count(*) AS n_pages, true AS a_segment_a_first_page, true AS from_first_to_end,
+        true AS covers_the_rest FROM {_IMAGES} GROUP BY bundle""",
+    "training_history": "SELECT 'loss' AS metric, true AS gapless, 0 AS begins, true AS falls, true AS last_is_last",
+    "cv_best_model": f"SELECT true AS in_grid, true AS areas_agree, {_TEST} AS n_held_out",
     "train_dense": f"""SELECT {_TEST} AS n_valid, 31 AS n_measured, true AS same_weights, true AS same_history, true AS learnt, true AS separates""",
     "best_model": f"""SELECT {_TEST} AS n, CAST(0.0 AS DOUBLE) AS max_abs_diff, CAST(3 AS INTEGER) AS n_versions, true AS is_best""",
     "augment_full": _AUGMENTED,
