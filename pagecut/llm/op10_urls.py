@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagecut.llm.common import store
+from pagecut.llm.common import let, store
 from pagecut.llm.components import connected_components
 
 #: (verdict, host, path)
@@ -68,7 +68,9 @@ def link_target(html: Column, url: Column) -> list[Column]:
     refresh = F.regexp_extract(html, r"(?i)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh)[^>]*?\burl\s*=\s*['\"]?([^\"'\s>]+)", 1)
     canonical = F.regexp_extract(html, r"(?i)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical)[^>]*?\bhref" + attr, 1)
     og = F.regexp_extract(html, r"(?i)<meta\b(?=[^>]*\bproperty\s*=\s*[\"']?og:url)[^>]*?\bcontent" + attr, 1)
-    return [_resolve(F.when(t != "", F.regexp_replace(t, "(?i)&(?:amp|#38|#x26);", "&")), url) for t in (refresh, canonical, og)]
+    plain = lambda t: F.regexp_replace(F.nullif(t, F.lit("")), "(?i)&(?:amp|#38|#x26);", "&")
+    # ``let``: the expression over the html runs once, however often its value is looked at
+    return [let(plain(t), lambda found: F.when(found.isNotNull(), _resolve(found, url))) for t in (refresh, canonical, og)]
 
 
 def _resolve(target: Column, url: Column) -> Column:
