@@ -51,12 +51,15 @@ def repeat_words(words: Column, window: int = 8) -> Column:
     return F.when(F.size(words) > window, let(hashes, from_hashes)).otherwise(0)
 
 
+def line_hash(line: Column) -> Column:
+    """Hash of a normalised line."""
+    return F.xxhash64(F.trim(F.regexp_replace(F.lower(line), BLANK + "+", " ")))
+
+
 def _measure(text: Column) -> Column:
     """All per-document figures, and (hash, words) of each line that holds a word."""
     def line_figures(lines: Column) -> Column:
-        normal = F.transform(lines, lambda x: F.struct(
-            F.xxhash64(F.trim(F.regexp_replace(F.lower(x), BLANK + "+", " "))).alias("h"),
-            F.regexp_count(x, F.lit(WORD)).alias("n")))
+        normal = F.transform(lines, lambda x: F.struct(line_hash(x).alias("h"), F.regexp_count(x, F.lit(WORD)).alias("n")))
         return F.struct((F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("dup"), normal.alias("all"))
 
     def word_figures(words: Column) -> Column:
@@ -70,8 +73,9 @@ def _measure(text: Column) -> Column:
 
 
 def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-                 min_words: int = 20, max_repeat_pct: int = 30, min_docs: int = 20, min_left: float = 0.4) -> DataFrame:
-    """Figures and verdict for every row of ``docs``.
+                 min_words: int = 20, max_repeat_pct: int = 30, min_docs: int = 20, min_left: float = 0.4,
+                 remaining: bool = False) -> DataFrame:
+    """Figures and verdict for every row of ``docs``; with ``remaining`` also the text without the removed lines.
 
     Returns id, the base figures, ``n_removed_words`` (words of removed
     lines), ``base_failed`` and ``kept``.  A
@@ -84,8 +88,8 @@ def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
-                       F.col(host_col).alias("host"), _measure(text).alias("m"))
-    rows = rows.select("row", "id", "host", "m.word_chars", "m.n_symbols", F.col("m.words.n").alias("n_words"),
+                       F.col(host_col).alias("host"), _measure(text).alias("m"), *([text.alias("text")] if remaining else []))
+    rows = rows.select("row", "id", "host", *(["text"] if remaining else []), "m.word_chars", "m.n_symbols", F.col("m.words.n").alias("n_words"),
                        F.col("m.words.repeat").alias("n_repeat_words"), F.col("m.lines.dup").alias("n_dup_lines"),
                        F.col("m.lines.all").alias("lines"))
     rows = store(rows, "measures")
@@ -94,9 +98,17 @@ def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     often = lines.groupBy("host", "h").agg(F.count("*").alias("docs")).where(F.col("docs") > min_docs)
     hits = rows.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.h", "l.n").alias("a") \
         .join(often.alias("b"), F.col("a.host").eqNullSafe(F.col("b.host")) & (F.col("a.h") == F.col("b.h")), "left_semi")
-    lost = hits.groupBy("row").agg(F.sum("n").cast("long").alias("n_removed_words"))
+    # the distinct removed lines of one document, at most as many as it has
+    gone = [F.collect_set("h").alias("gone")] if remaining else []
+    lost = hits.groupBy("row").agg(F.sum("n").cast("long").alias("n_removed_words"), *gone)
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words"))
     left = F.col("n_words") - F.col("n_removed_words") >= min_left * F.col("n_words")
     return rows.join(lost, "row", "left").na.fill(0, ["n_removed_words"]).select(
         "id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_words",
-        failed.alias("base_failed"), (~failed & left).alias("kept"))
+        failed.alias("base_failed"), (~failed & left).alias("kept"), *([_without(F.col("text"), F.col("gone")).alias("text")] if remaining else []))
+
+
+def _without(text: Column, gone: Column) -> Column:
+    """``text`` without its lines whose hash is in ``gone``; blank lines stay."""
+    lines = F.filter(F.split(text, "\n", -1), lambda x: ~(x.rlike(WORD) & F.array_contains(gone, line_hash(x))))
+    return F.when(gone.isNull(), text).otherwise(F.array_join(lines, "\n"))

@@ -195,6 +195,16 @@ def test_line_rules(spark):
     assert got[102].base_failed and got[102].n_repeat_words == 72
 
 
+def test_remaining_text(spark):
+    own = lambda i: f"\n\n own {i} line \r\n" + " ".join(f"w{i}x{j}" for j in range(30))
+    rows = [(i, f"SHARED \t header{own(i)}\nshared header", "h", "t") for i in range(25)] + [(90, "shared header", "other", "t"), (91, None, None, "t")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, gone string")
+    got = {r.id: r for r in op08.line_quality(frame, remaining=True).collect()}
+    assert all(got[i].text == own(i)[1:] and got[i].n_removed_words == 4 and got[i].kept for i in range(25))
+    assert got[90].text == "shared header" and got[91].text == ""
+    assert {r.id: r.kept for r in op08.line_quality(frame).collect()} == {i: r.kept for i, r in got.items()}
+
+
 def test_line_limit_is_alike_in_hosts_of_any_size(spark):
     own = lambda i: f"own {i} " + " ".join(f"w{i}x{j}" for j in range(25))
     often, seldom = " ".join(f"often{j}" for j in range(30)), " ".join(f"seldom{j}" for j in range(30))
