@@ -216,10 +216,15 @@ def expected_missing(expected: DataFrame, present: DataFrame, keys: Sequence[str
     return expected.join(present.select(*keys), on=list(keys), how="left_anti")
 
 
-def lookup_target_pages(targets: DataFrame, names: DataFrame, strict: bool = True) -> DataFrame:
-    """Target pages of the requested bundles; an unknown name is an error."""
+def lookup_target_pages(targets: DataFrame, names: DataFrame, strict: bool = True, known: DataFrame | None = None) -> DataFrame:
+    """Target pages of the requested bundles; an unknown name is an error.
+
+    ``known`` has the bundles of the store: one that is stored without a target page has no
+    row in ``targets``, but is not unknown.
+    """
     if strict:
-        unknown = names.join(targets.select("bundle").distinct(), "bundle", "left_anti").limit(1).collect()
+        stored = (targets if known is None else known).select("bundle").distinct()
+        unknown = names.join(stored, "bundle", "left_anti").limit(1).collect()
         if unknown:
             raise KeyError(f"bundle not in label store: {unknown[0]['bundle']}")
     return targets.join(names.select("bundle").distinct(), "bundle", "left_semi")

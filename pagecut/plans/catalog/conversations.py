@@ -89,9 +89,9 @@ def q_inline_pages(spark, root):
 
 def q_target_pages_of(spark, root):
     p = S.conversation_pages(spark, root)
-    targets = L.read_store_targets(spark, _written_store(spark, root))
-    names = p.where("conv_id % 3 = 1").select("bundle").distinct()  # the bundles asked for
-    return L.lookup_target_pages(targets, names)
+    path = _written_store(spark, root)
+    names = p.select("bundle").distinct()
+    return L.lookup_target_pages(L.read_store_targets(spark, path), names, known=L.read_label_store(spark, path))
 
 
 def q_page_path(spark, root):
@@ -183,7 +183,7 @@ SQL = {
         FROM conversations""",
     "target_pages_of": f"""
         SELECT DISTINCT {_B} AS bundle, CAST(turn AS INTEGER) AS page_number FROM conversations
-        WHERE role = 'user' AND conv_id % 3 = 1""",
+        WHERE role = 'user'""",
     "page_path": f"""
         SELECT conv_id, turn, 'pages/' || {_B} || '/page_' || CAST(turn AS VARCHAR) || '.png' AS path
         FROM conversations""",

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from pagecut.operators import labels as L
 from pagecut.operators import metrics as M
+from pagecut.plans import catalog
 from pagecut.session import scratch_path
 from pagecut.sinks.files import committed, write_binary_files
 
@@ -40,6 +41,15 @@ def test_lookup_of_chosen_and_unknown_bundles(spark):
     assert rows(L.lookup_target_pages(targets, ask("a", "nobody"), strict=False)) == [("a", 0)]
 
 
+def test_target_pages_of_every_bundle(spark):
+    """Every bundle's pages are looked up; one that is stored without a target page is not unknown."""
+    root = scratch_path(spark, "tables")
+    turns = [(c, t, "user" if t % 2 == 0 else "assistant") for c in range(7) for t in range(4)] + [(8, 0, "assistant"), (9, 0, None)]
+    spark.createDataFrame([(*t, "") for t in turns], "conv_id long, turn int, role string, text string").write.parquet(f"{root}/conversations.parquet")
+    got = rows(catalog.queries()["target_pages_of"](spark, root), "bundle", "page_number")
+    assert got == sorted((f"conv_{c}", t) for c, t, role in turns if role == "user")
+
+
 def test_written_against_expected(spark):
     path = scratch_path(spark, "written")
     files = spark.createDataFrame([(f"a/page_{i}.png", b"x") for i in (0, 2, 10, 1030)] + [("z/page_0.png", b"y")], "n string, c binary")
