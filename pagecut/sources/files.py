@@ -36,6 +36,16 @@ def read_images(spark: SparkSession, path: str, drop_invalid: bool = False,
             .option("recursiveFileLookup", str(recursive).lower()).load(path))
 
 
+#: Scan partitions (32 small files or 128 MB each) that one task reads when there are many.
+_PARTS = 32
+
+
+def few_tasks(files: DataFrame) -> DataFrame:
+    """A scan of files in fewer tasks: Spark puts no more than 32 files into a partition, however small they are."""
+    parts = files.rdd.getNumPartitions()  # plans the scan, runs nothing
+    return files.coalesce(max(1, min(parts, max(4 * files.sparkSession.sparkContext.defaultParallelism, parts // _PARTS))))
+
+
 PAGE_SCHEMA = T.StructType([
     T.StructField("pdf_name", T.StringType()),
     T.StructField("page_number", T.IntegerType()),

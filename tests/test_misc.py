@@ -119,3 +119,69 @@ def test_training_reports_missing_pages(spark):
     assert {(r.bundle, r.page_number) for r in res.missing_pages.where(F.col("bundle") == "ghost").collect()} == {("ghost", 0), ("ghost", 1)}
     assert [r.bundle for r in res.missing_bundles.collect()] == ["ghost"]
     assert res.missing_pages.where("bundle = 'label_0'").count() == 60 - 50
+
+
+def _png(px, kinds, extra=b""):
+    """A PNG of 8-bit samples whose row y is stored by filter ``kinds[y]`` (0 as it is, 1 left, 2 above); ``extra`` chunks before the data."""
+    import struct
+    import zlib
+    h, w, c = px.shape
+    flat, lines = px.reshape(h, w * c), []
+    for y, kind in enumerate(kinds):
+        before = {0: np.zeros(w * c, np.uint8), 1: np.concatenate([np.zeros(c, np.uint8), flat[y, :-c]]), 2: flat[y - 1] if y else np.zeros(w * c, np.uint8)}[kind]
+        lines.append(bytes([kind]) + (flat[y] - before).tobytes())
+    chunk = lambda tag, body: struct.pack(">I", len(body)) + tag + body + struct.pack(">I", zlib.crc32(tag + body))
+    data = zlib.compress(b"".join(lines))
+    return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 0 if c == 1 else 2, 0, 0, 0)) + (chunk(b"tEXt", extra) if extra else b"")
+            + chunk(b"IDAT", data[:20]) + chunk(b"IDAT", data[20:]) + chunk(b"IEND", b""))
+
+
+def test_image_pages_equal_the_image_source(spark):
+    """Plain PNGs, others, broken files and odd names: the features that Spark's own source gives."""
+    from pyspark.sql import functions as F
+
+    from pagecut.functions.image import image_features, plain_png
+    from pagecut.plans.jobs import image_pages
+    from pagecut.session import scratch_path
+    from pagecut.sinks.files import write_binary_files
+    from pagecut.sources.files import few_tasks, read_images
+    rng = np.random.default_rng(5)
+    files, n_plain = [], 0
+    for i in range(150):
+        px = rng.integers(0, 256, (4 + i % 3, 5, (1, 3)[i % 2]), dtype=np.uint8)
+        data = _png(px, [(i + y) % 3 if i % 5 else 0 for y in range(len(px))], b"Title\0x" if i % 11 == 3 else b"")
+        if i % 13 == 6:
+            data = data[:-9] if i % 2 else data[:50] + b"?" + data[51:]
+        elif i % 11 != 3:
+            assert (plain_png(data).reshape(px.shape) == px).all()
+        n_plain += plain_png(data) is not None
+        files.append((f"{('a', 'b c', 'd+e%20f')[i % 3]}/page_{i}.png", data))
+    assert 0 < n_plain < 150 and plain_png(b"") is None and plain_png(b"\x89PNG\r\n\x1a\n") is None
+    root = scratch_path(spark, "mixed")
+    write_binary_files(spark.createDataFrame(files, "n string, c binary").repartition(4), "n", "c", root)
+    want = {r.o.rsplit("_", 1)[1]: r.f for r in read_images(spark, root).select(
+        F.col("image.origin").alias("o"), image_features(F.col("image"), 3, 4).alias("f")).collect()}
+    got = image_pages(spark, root, (3, 4)).collect()
+    assert {f"{r.page_number}.png": r.features for r in got} == want and len(got) == 150
+    assert sorted(r.path for r in got) == sorted(f"file://{root.removeprefix('file:')}/{n}" for n, _ in files)
+    assert all(r.path.split("/")[-2] == r.pdf_name for r in got)
+    scan = read_images(spark, root)
+    assert scan.rdd.getNumPartitions() > 3 and few_tasks(scan.coalesce(3)).rdd.getNumPartitions() == 3
+
+
+def test_first_pages_are_scored_once(spark):
+    """What is written, sorted and returned comes from one table of the predicted pages, not from scoring again."""
+    from pyspark.sql import functions as F
+
+    from pagecut.plans.jobs import predict_first_pages, score_pages, train
+    from pagecut.session import scratch_path
+    rows = spark.range(400).select("id", (F.col("id") % 4 == 0).cast("int").alias("y"), F.array(
+        (F.col("id") % 4).cast("float"), (F.col("id") % 7).cast("float")).alias("features"))
+    path, lines = scratch_path(spark, "model"), scratch_path(spark, "lines")
+    train(rows, "id", "y", model_path=path)
+    pages = rows.withColumn("path", F.col("id").cast("string"))
+    firsts = predict_first_pages(pages, path, ["id"], paths_out=lines, path_col="path")
+    plan = firsts._jdf.queryExecution().optimizedPlan().toString()
+    assert "UDF" not in plan and "Range" not in plan and "firsts" in "".join(firsts.inputFiles())
+    want = sorted(r.id for r in score_pages(pages, path).where("prediction = 1").collect())
+    assert [r.id for r in firsts.collect()] == want and sorted(int(r.value) for r in spark.read.text(lines).collect()) == want and want
