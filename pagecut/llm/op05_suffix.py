@@ -226,6 +226,17 @@ def suffix_of(text: bytes, packed: int, length: int):
     return text[place:last + length] + text[first:place][::-1] + bytes((place - last, place - first)), first, last
 
 
+def squeeze(batches):
+    """Rows (doc, key, text) with the text compressed, its length before it: texts travel twice."""
+    for b in batches:
+        packed = [len(t).to_bytes(4, "little") + pa.compress(t, "zstd", asbytes=True) for t in b.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(packed, pa.binary())], ["doc", "key", "text"])
+
+
+def unsqueeze(data: bytes) -> bytes:
+    return pa.decompress(data[4:], int.from_bytes(data[:4], "little"), "zstd", asbytes=True)
+
+
 def keep_rest(text: bytes, spans):
     """(kept bytes, bytes removed, runs removed) after removing [start, end) spans of a text."""
     parts, at, removed, n = [], 0, 0, 0
@@ -323,7 +334,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         size = 0
         for b in batches:
             for doc, key, value, spots in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
-                data, doc = value.as_py(), (1 << 63) - 1 if doc is None else doc
+                data, doc = unsqueeze(value.as_py()), (1 << 63) - 1 if doc is None else doc
                 for p in sorted(spots.as_py()):
                     suffix, first, last = suffix_of(data, p, length)
                     here, there = (doc, key, first), run.get(suffix)
@@ -340,7 +351,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         if (out := flush()) is not None:
             yield out
 
-    texts = rows.select("doc", "key", "text")
+    texts = rows.select("doc", "key", "text").mapInArrow(squeeze, "doc long, key long, text binary")
     runs = texts.join(places.hint("shuffle_hash"), "key").select("doc", "key", "text", "places") \
         .mapInArrow(sort_run, "part int, run int, data binary")
 
@@ -405,7 +416,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         for b in batches:
             out = []
             for value, found in zip(b.column(1), b.column(2)):
-                data = value.as_py()
+                data = unsqueeze(value.as_py())
                 kept, removed, n_spans = keep_rest(data, [(s["start"], s["end"]) for s in found.as_py() or ()])
                 out.append((kept, len(data), removed, n_spans))
             cols = list(zip(*out)) if out else [[]] * 4

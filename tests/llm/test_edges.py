@@ -307,3 +307,15 @@ def test_restoring():
     for seen, meant in (("1d10t", "idiot"), ("i d i o t", "idiot"), ("l0ser", "loser"), ("looooser", "loser"), ("$tupid", "stupid"), ("p@thetic", "pathetic"), ("c.l.o.w.n", "clown")):
         assert op03.words(r.restore(f"the {seen}, then")) >= {meant}
     assert r.restore("The hall, 1999!") == "the hall, 1999!"
+
+
+def test_suffix_texts_travel_compressed():
+    import pyarrow as pa
+
+    from pagecut.llm.op05_suffix import squeeze, unsqueeze
+    texts = [b"", "wörter ".encode() * 200, bytes(range(256))]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, None, 3], pa.int64()), pa.array([7, 8, 9], pa.int64()), pa.array(texts, pa.binary())], ["doc", "key", "text"])
+    (out,) = squeeze([batch])
+    assert out.column(0).to_pylist() == [1, None, 3] and out.column(1).to_pylist() == [7, 8, 9]
+    packed = out.column(2).to_pylist()
+    assert [unsqueeze(p) for p in packed] == texts and len(packed[1]) < 100
