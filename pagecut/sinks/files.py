@@ -71,6 +71,13 @@ class PageFiles(DataSource):
         return _Writer(self.options["path"])
 
 
+def _local(root: str) -> str:
+    """The local path behind ``root``; a ValueError for any other store."""
+    if "://" in root and not root.startswith("file://"):
+        raise ValueError(f"not a local path: {root}")
+    return "/" + root[len("file:"):].lstrip("/") if root.startswith("file:") else root
+
+
 def write_binary_files(df: DataFrame, name_col: str, content_col: str, root: str) -> None:
     """Write ``content`` to ``<root>/<name>``, one file for each row, then ``_SUCCESS`` with their number.
 
